@@ -2,7 +2,9 @@
 
 Numbers follow the grammar of Python's ``float()`` (underscores between digits,
 ``nan``/``inf`` words, surrounding Unicode white space) for ASCII digits; Spark's own
-cast differs on ``1_000``, ``1d`` and ``+nan``, so a pattern guards every cast.
+cast differs on ``1_000``, ``1d`` and ``+nan``, so one pattern guards every
+cast. Each function refers to its input as few times as it can, so that the pattern
+runs once per value.
 Missing values leave this module as NULL, never as NaN.
 """
 
@@ -18,14 +20,17 @@ WHITE_SPACE = (
     r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
-_DIGITS = r"[0-9](?:_?[0-9])*"
-DECIMAL_NUMBER = (
-    rf"^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
+_DIGITS = r"[0-9](?:_?[0-9])*+"
+_DECIMAL = rf"[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+# The words float() reads as infinity and not-a-number, any case, any sign.
+# Group 1 is the number without surrounding white space; a NaN loses its sign.
+NUMBER = (
+    rf"^{WHITE_SPACE}*+(?:[+-](?=[nN]))?"
+    rf"({_DECIMAL}|(?i:[+-]?inf(?:inity)?|nan)){WHITE_SPACE}*+\z"
 )
-# Words read as not-a-number, infinity, true and false.
-NAN_WORDS = ("nan", "+nan", "-nan")
-POSITIVE_INFINITY_WORDS = ("inf", "+inf", "infinity", "+infinity")
-NEGATIVE_INFINITY_WORDS = ("-inf", "-infinity")
+# Quotes, brackets and the space, removed before a cast.
+MARKUP = "\"'[] "
+# Words read as false and true.
 FALSE_WORDS = ("False", "false", "FALSE", "F", "f")
 TRUE_WORDS = ("True", "true", "TRUE", "T", "t")
 
@@ -37,23 +42,18 @@ def strip(c: Column) -> Column:
 
 def strip_markup(c: Column) -> Column:
     """Delete quotes, square brackets and every space, then trim."""
-    return strip(F.translate(c, "\"'[] ", ""))
+    return strip(F.translate(c, MARKUP, ""))
 
 
 def parse_number(c: Column) -> Column:
     """DOUBLE value of the text, NaN and infinities kept; NULL if it is no number."""
-    s = strip(c)
-    word = F.lower(s)
-    return (
-        F.when(s.rlike(DECIMAL_NUMBER), F.translate(s, "_", "").try_cast("double"))
-        .when(word.isin(*NAN_WORDS), F.lit(float("nan")))
-        .when(word.isin(*POSITIVE_INFINITY_WORDS), F.lit(float("inf")))
-        .when(word.isin(*NEGATIVE_INFINITY_WORDS), F.lit(float("-inf")))
-    )
+    # No match gives NULL here, which spares the cast a failure on every junk value.
+    number = F.get(F.regexp_extract_all(c, F.lit(NUMBER), F.lit(1)), F.lit(0))
+    return F.translate(number, "_", "").try_cast("double")
 
 
 def nan_to_null(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
+    return F.nanvl(c, F.lit(None).cast("double"))
 
 
 def _is_infinite(number: Column) -> Column:
@@ -87,7 +87,7 @@ def is_boolean(c: Column) -> Column:
 
 def cast_float(c: Column) -> Column:
     """DOUBLE after markup removal; junk and NaN give NULL."""
-    return nan_to_null(parse_number(strip_markup(c)))
+    return nan_to_null(parse_number(F.translate(c, MARKUP, "")))
 
 
 def cast_int(c: Column) -> Column:

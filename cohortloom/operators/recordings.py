@@ -5,11 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.operators.scale import skew_join
-
-# Largest target list sent to every executor.
-BROADCAST_TARGETS = 100_000
-
+from cohortloom.operators.scale import maybe_broadcast, skew_join
 
 def list_entities(table: DataFrame) -> DataFrame:
     return table.select("entity_id").distinct().orderBy("entity_id")
@@ -62,11 +58,6 @@ def sample_entities(entities: DataFrame, count: int, seed: str, strict: bool = T
     return ids.orderBy(position, "entity_id").limit(count)
 
 
-def maybe_broadcast(small: DataFrame, limit: int = BROADCAST_TARGETS) -> DataFrame:
-    """Broadcast hint only after counting no more than ``limit`` rows."""
-    return F.broadcast(small) if small.limit(limit + 1).count() <= limit else small
-
-
 def split_targets(table: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of the targets, rows of everyone else)."""
     ids = maybe_broadcast(targets.select("entity_id"))
@@ -99,7 +90,7 @@ def assemble_entities(entity_text: DataFrame, index: DataFrame, samples: DataFra
         .unionByName(index.where(~named).select("*", *empty))
         .select("entity_id", "seq", "record_id", "n_channels", "n_samples")
     )
-    with_slots = skew_join(slots, entity_text, ["entity_id"], count_on=index)
+    with_slots = skew_join(slots, entity_text, ["entity_id"], broadcast_rows=0, count_on=index)
     without = entity_text.join(index.select("entity_id").distinct(), "entity_id", "left_anti")
     return with_slots.unionByName(without, allowMissingColumns=True)
 

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 ROWS_PER_TASK = 2_000_000
 # A key outside the 1000 most frequent holds less than a thousandth of the rows.
 HOT_KEY_LIMIT = 1000
+# Narrow rows (keys and a few numbers) that may be sent to every executor.
+BROADCAST_ROWS = 200_000
 # Number of order buckets; bounds the boundary list the driver sees.
 MAX_BUCKETS = 8192
 
@@ -47,6 +49,15 @@ def written_table(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Repartition a table scan that comes in fewer pieces than there are cores.
+
+    For scans in front of costly row work; a large table passes unchanged.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     """Rows of the biggest key group (all rows when there are no keys)."""
     if not keys:
@@ -111,22 +122,31 @@ def running_total(
     )
 
 
+def maybe_broadcast(small: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only after counting no more than ``limit`` rows."""
+    return F.broadcast(small) if small.limit(limit + 1).count() <= limit else small
+
+
 def skew_join(
     big: DataFrame,
     small: DataFrame,
     on: Sequence[str],
     how: str = "inner",
     hot_rows: int = ROWS_PER_TASK,
+    broadcast_rows: int = BROADCAST_ROWS,
     count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``big`` to ``small`` (one row per key) without sending a hot key to one task.
 
-    The most frequent keys are counted first. Keys above ``hot_rows`` number at most
-    HOT_KEY_LIMIT, so the rows of ``small`` for them are a bounded broadcast and the hot
-    rows of ``big`` never move; everything else is an ordinary equi-join. ``count_on``
-    is a cheaper table with the same key frequencies.
+    A small side of at most ``broadcast_rows`` rows, counted first, is broadcast and
+    ``big`` does not move. Pass 0 where rows are wide. Otherwise the most frequent keys
+    are counted, on ``count_on`` where a cheaper table has the same key frequencies. Keys
+    above ``hot_rows`` number at most HOT_KEY_LIMIT, so the rows of ``small`` for them
+    are a bounded broadcast; everything else is an ordinary equi-join.
     """
     on = list(on)
+    if broadcast_rows and small.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return big.join(F.broadcast(small), on, how)
     counted = (count_on if count_on is not None else big).groupBy(*on).agg(
         F.count(F.lit(1)).alias("n_rows")
     )

@@ -10,7 +10,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.functions import hashing
+from cohortloom.functions.hashing import (
+    NO_SHINGLE,
+    coefficients,
+    fingerprint,
+    run_minima,
+    split_fingerprints,
+)
 from cohortloom.operators.recordings import split_targets
 
 # Shingles hashed at a time: one hash vector of this length stays in the CPU cache.
@@ -45,7 +51,7 @@ def minhash_bands(shingles: DataFrame, num_hashes: int, bands: int) -> DataFrame
         [T.StructField("entity_id", id_type), T.StructField("band", T.IntegerType())]
         + [T.StructField(v, T.IntegerType()) for v in values]
     )
-    family = hashing.coefficients(num_hashes)
+    family = coefficients(num_hashes)
 
     def partial(ids: pa.Array, md5: pa.Array) -> pa.RecordBatch:
         entity = ids.dictionary_encode()
@@ -53,14 +59,14 @@ def minhash_bands(shingles: DataFrame, num_hashes: int, bands: int) -> DataFrame
         fixed = md5.cast(pa.binary(16))
         raw = np.frombuffer(fixed.buffers()[1], dtype=np.uint8)
         raw = raw[16 * fixed.offset : 16 * (fixed.offset + len(fixed))]
-        prints = hashing.split_fingerprints(raw)
+        prints = split_fingerprints(raw)
         order = np.lexsort((prints, codes))
         codes, prints = codes[order], prints[order]
         fresh = np.ones(len(codes), dtype=bool)
         fresh[1:] = (codes[1:] != codes[:-1]) | (prints[1:] != prints[:-1])
         codes, prints = codes[fresh], prints[fresh]
         starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
-        minima = hashing.run_minima(prints, starts, family).reshape(-1, rows)
+        minima = run_minima(prints, starts, family).reshape(-1, rows)
         ids_out = entity.dictionary.take(pa.array(np.repeat(codes[starts], bands)))
         band = np.tile(np.arange(bands, dtype=np.int32), len(starts))
         columns = [ids_out, pa.array(band)]
@@ -84,7 +90,7 @@ def minhash_bands(shingles: DataFrame, num_hashes: int, bands: int) -> DataFrame
             yield flush()
 
     present = shingles.where(F.col("entity_id").isNotNull() & F.col("shingle").isNotNull())
-    prints = present.select("entity_id", hashing.fingerprint(F.col("shingle")).alias("md5"))
+    prints = present.select("entity_id", fingerprint(F.col("shingle")).alias("md5"))
     smallest = [F.min(v).alias(v) for v in values]
     return prints.mapInArrow(partials, schema).groupBy("entity_id", "band").agg(*smallest)
 
@@ -104,7 +110,7 @@ def minhash_signatures(
     signatures = found.select("entity_id", F.flatten("parts.v").alias("sig"))
     if entities is None:
         return signatures
-    nothing = F.array_repeat(F.lit(hashing.NO_SHINGLE), num_hashes)
+    nothing = F.array_repeat(F.lit(NO_SHINGLE), num_hashes)
     every = entities.select("entity_id").distinct().join(signatures, "entity_id", "left")
     return every.select("entity_id", F.coalesce("sig", nothing).alias("sig"))
 

@@ -12,7 +12,7 @@ from cohortloom.operators import features as ft
 from cohortloom.operators import hypothesis, metadata, metrics, models, recordings, signals
 from cohortloom.operators import similarity as sim
 from cohortloom.operators import spectral
-from cohortloom.operators.scale import scratch_path, written_table
+from cohortloom.operators.scale import scratch_path, spread, written_table
 from cohortloom.plans import jobs, views
 from cohortloom.sources import cohort_files as files
 
@@ -147,9 +147,8 @@ def classify_values(spark, d):
 @query
 def classify_words(spark, d):
     """Every word of every document, counted per document and class."""
-    words = views.table(spark, d, "documents").select(
-        "doc_id", F.explode(F.split("text", " ")).alias("word")
-    )
+    texts = spread(views.table(spark, d, "documents").select("doc_id", "text"))
+    words = texts.select("doc_id", F.explode(F.split("text", " ")).alias("word"))
     flags = words.select("doc_id", *_classes(F.col("word")))
     counts = [F.count_if(c).alias(c) for c in flags.columns if c != "doc_id"]
     return flags.groupBy("doc_id").agg(F.count(F.lit(1)).alias("words"), *counts)

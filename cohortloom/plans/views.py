@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.operators.scale import running_total
+from cohortloom.operators.scale import running_total, spread
 from cohortloom.operators.similarity import document_shingles
 
 GAIN, OFFSET = 50.0, 10
@@ -259,7 +259,8 @@ def value_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shingles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document_shingles(table(spark, sf_dir, "documents"), "doc_id")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return document_shingles(spread(documents), "doc_id")
 
 
 def document_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
