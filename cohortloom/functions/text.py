@@ -15,18 +15,20 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters Python's str.strip() removes.
-WHITE_SPACE = (
-    r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# The characters float() skips around a number, and the four separators
+# str.strip() removes besides.
+_UNICODE_SPACES = (
+    r"\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+NUMBER_SPACE = rf"[\x{{09}}-\x{{0d}}\x{{20}}{_UNICODE_SPACES}]"
+WHITE_SPACE = rf"[\x{{09}}-\x{{0d}}\x{{1c}}-\x{{20}}{_UNICODE_SPACES}]"
 _DIGITS = r"[0-9](?:_?[0-9])*+"
 _DECIMAL = rf"[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
 # The words float() reads as infinity and not-a-number, any case, any sign.
 # Group 1 is the number without surrounding white space; a NaN loses its sign.
 NUMBER = (
-    rf"^{WHITE_SPACE}*+(?:[+-](?=[nN]))?"
-    rf"({_DECIMAL}|(?i:[+-]?inf(?:inity)?|nan)){WHITE_SPACE}*+\z"
+    rf"^{NUMBER_SPACE}*+(?:[+-](?=[nN]))?"
+    rf"({_DECIMAL}|(?i:[+-]?inf(?:inity)?|nan)){NUMBER_SPACE}*+\z"
 )
 # Quotes, brackets and the space, removed before a cast.
 MARKUP = "\"'[] "
@@ -87,7 +89,7 @@ def is_boolean(c: Column) -> Column:
 
 def cast_float(c: Column) -> Column:
     """DOUBLE after markup removal; junk and NaN give NULL."""
-    return nan_to_null(parse_number(F.translate(c, MARKUP, "")))
+    return nan_to_null(parse_number(strip_markup(c)))
 
 
 def cast_int(c: Column) -> Column:

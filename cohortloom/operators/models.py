@@ -33,6 +33,13 @@ def _preparation(names: Sequence[str]) -> list:
     return [imputer, assembler, scaler]
 
 
+def _labelled(
+    features: DataFrame, labels: DataFrame, names: Sequence[str], label: str
+) -> DataFrame:
+    known = labels.where(F.col(label).isNotNull()).select("entity_id", label)
+    return features.select("entity_id", *names).join(known, "entity_id")
+
+
 def fit_outcome(
     features: DataFrame,
     labels: DataFrame,
@@ -41,9 +48,7 @@ def fit_outcome(
     seed: int = 42,
 ) -> PipelineModel:
     """Classifier of the outcome: ``network`` (multilayer perceptron) or ``logistic``."""
-    rows = features.join(
-        labels.where(F.col("outcome").isNotNull()).select("entity_id", "outcome"), "entity_id"
-    )
+    rows = _labelled(features, labels, names, "outcome")
     usable = usable_features(rows, names)
     if kind == "network":
         model = MultilayerPerceptronClassifier(
@@ -71,9 +76,7 @@ def fit_cpc(
     seed: int = 42,
 ) -> PipelineModel:
     """Regressor of the ordinal score: ``trees`` (boosted) or ``linear`` with an L2 penalty."""
-    rows = features.join(
-        labels.where(F.col("cpc").isNotNull()).select("entity_id", "cpc"), "entity_id"
-    )
+    rows = _labelled(features, labels, names, "cpc")
     usable = usable_features(rows, names)
     options = {"featuresCol": "scaled_features", "labelCol": "cpc", "predictionCol": "cpc_raw"}
     if kind == "trees":

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from cohortloom.operators.scale import maybe_broadcast, skew_join
 
+
+
 def list_entities(table: DataFrame) -> DataFrame:
     return table.select("entity_id").distinct().orderBy("entity_id")
 

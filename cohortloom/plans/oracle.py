@@ -103,8 +103,11 @@ BLANK = (
 )
 
 
-def _strip(x: str) -> str:
-    return f"regexp_replace(regexp_replace({x}, '^[{BLANK}]+', ''), '[{BLANK}]+$', '')"
+NUMBER_BLANK = BLANK.replace("\\x{1c}-\\x{20}", "\\x{20}")
+
+
+def _strip(x: str, blank: str = BLANK) -> str:
+    return f"regexp_replace(regexp_replace({x}, '^[{blank}]+', ''), '[{blank}]+$', '')"
 
 
 def _markup(x: str) -> str:
@@ -114,7 +117,7 @@ def _markup(x: str) -> str:
 
 def _number(x: str) -> str:
     """NULL if no number, else DOUBLE with NaN and infinities."""
-    s = _strip(x)
+    s = _strip(x, NUMBER_BLANK)
     return f"""CASE
       WHEN lower({s}) IN ('nan', '+nan', '-nan') THEN CAST('nan' AS DOUBLE)
       WHEN lower({s}) IN ('inf', '+inf', 'infinity', '+infinity') THEN CAST('inf' AS DOUBLE)
