@@ -58,13 +58,6 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the biggest key group (all rows when there are no keys)."""
-    if not keys:
-        return df.count()
-    return df.groupBy(*keys).count().agg(F.max("count")).head()[0] or 0
-
-
 def order_bucket(df: DataFrame, order: str, buckets: int, out: str) -> DataFrame:
     """Add a bucket number that grows with ``order``; equal values share a bucket.
 
@@ -83,6 +76,26 @@ def order_bucket(df: DataFrame, order: str, buckets: int, out: str) -> DataFrame
     return numbered.transform(df.withColumn(f"{out}_pos", position)).drop(f"{out}_pos")
 
 
+def _sum_before(value: Column, keys: list[str], order: list[str]) -> Column:
+    earlier = Window.partitionBy(*keys).orderBy(*order)
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(value).over(earlier), F.lit(0)).cast("long")
+
+
+def _total_in_buckets(
+    df: DataFrame, value: Column, out: str, keys: list[str], order: list[str], buckets: int
+) -> DataFrame:
+    """Totals per order bucket give each bucket's start; the window runs inside buckets."""
+    bucket, start = f"{out}_bucket", f"{out}_start"
+    split = order_bucket(df, order[0], buckets, bucket)
+    totals = split.groupBy(*keys, bucket).agg(F.sum(value).alias(start))
+    # At most MAX_BUCKETS rows per key reach this window.
+    starts = totals.withColumn(start, _sum_before(F.col(start), keys, [bucket]))
+    inside = _sum_before(value, [*keys, bucket], order)
+    placed = split.join(starts, [*keys, bucket])
+    return placed.withColumn(out, F.col(start) + inside).select(*df.columns, out)
+
+
 def running_total(
     df: DataFrame,
     value: Column,
@@ -91,35 +104,31 @@ def running_total(
     order: Sequence[str] = (),
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Add the sum of ``value`` over the earlier rows of the same key.
+    """Add the sum of ``value`` over the earlier rows of the same key (keys not NULL).
 
     ``order`` must be unique per key and start with a numeric, date or timestamp
-    column. Groups of a checked size use one window per key. Larger groups, and the
-    whole table when there are no keys, are cut into order buckets: totals per bucket
-    give each bucket's start and the window runs inside the buckets only.
+    column. Keys are counted first. Those of at most ``rows_per_task`` rows share one
+    window per key; the larger ones, and the whole table when there are no keys, are cut
+    into order buckets, so that no window holds a hot key.
     """
-    keys, order = list(keys), list(order)
-    before = Window.rowsBetween(Window.unboundedPreceding, -1)
-    largest = largest_group(df, keys)
-    value = value.cast("long")
-    if keys and largest <= rows_per_task:
-        w = before.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(out, F.coalesce(F.sum(value).over(w), F.lit(0)).cast("long"))
+    keys, order, value = list(keys), list(order), value.cast("long")
 
-    bucket, start = f"{out}_bucket", f"{out}_start"
-    buckets = min(MAX_BUCKETS, max(2, math.ceil(largest / rows_per_task)))
-    split = order_bucket(df, order[0], buckets, bucket)
-    totals = split.groupBy(*keys, bucket).agg(F.sum(value).alias(start))
-    # At most MAX_BUCKETS rows per key reach this window.
-    w = before.partitionBy(*keys).orderBy(bucket)
-    starts = totals.withColumn(start, F.coalesce(F.sum(start).over(w), F.lit(0)))
-    w = before.partitionBy(*keys, bucket).orderBy(*order)
-    inside = F.coalesce(F.sum(value).over(w), F.lit(0))
-    return (
-        split.join(starts, [*keys, bucket])
-        .withColumn(out, (F.col(start) + inside).cast("long"))
-        .drop(bucket, start)
-    )
+    def buckets(rows: int) -> int:
+        return min(MAX_BUCKETS, max(2, math.ceil(rows / rows_per_task)))
+
+    if not keys:
+        return _total_in_buckets(df, value, out, keys, order, buckets(df.count()))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    hot = counts.where(F.col("n_rows") > rows_per_task)
+    found = hot.agg(F.count(F.lit(1)).alias("keys"), F.max("n_rows").alias("largest")).head()
+    if not found["keys"]:
+        return df.withColumn(out, _sum_before(value, keys, order))
+    if found["keys"] > BROADCAST_ROWS:
+        return _total_in_buckets(df, value, out, keys, order, buckets(found["largest"]))
+    hot_keys = F.broadcast(hot.select(*keys))
+    hot_rows, cold_rows = (df.join(hot_keys, keys, how) for how in ("left_semi", "left_anti"))
+    split = _total_in_buckets(hot_rows, value, out, keys, order, buckets(found["largest"]))
+    return split.unionByName(cold_rows.withColumn(out, _sum_before(value, keys, order)))
 
 
 def maybe_broadcast(small: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -139,10 +148,11 @@ def skew_join(
     """Join ``big`` to ``small`` (one row per key) without sending a hot key to one task.
 
     A small side of at most ``broadcast_rows`` rows, counted first, is broadcast and
-    ``big`` does not move. Pass 0 where rows are wide. Otherwise the most frequent keys
-    are counted, on ``count_on`` where a cheaper table has the same key frequencies. Keys
-    above ``hot_rows`` number at most HOT_KEY_LIMIT, so the rows of ``small`` for them
-    are a bounded broadcast; everything else is an ordinary equi-join.
+    ``big`` does not move; pass 0 where its rows are wide. Otherwise the most frequent
+    keys are counted, on ``count_on`` where a cheaper table has the same frequencies. The
+    keys above ``hot_rows`` are at most HOT_KEY_LIMIT: their rows of ``big`` are salted
+    over all tasks and their few rows of ``small`` repeated once per salt. Everything
+    else is an ordinary equi-join.
     """
     on = list(on)
     if broadcast_rows and small.limit(broadcast_rows + 1).count() <= broadcast_rows:
@@ -154,8 +164,16 @@ def skew_join(
     hot = known.orderBy(F.desc("n_rows")).limit(HOT_KEY_LIMIT).drop("n_rows").collect()
     if not hot:
         return big.join(small, on, how)
-    hot_keys = F.broadcast(big.sparkSession.createDataFrame(hot, known.select(*on).schema))
-    hot_small = F.broadcast(small.join(hot_keys, on, "left_semi"))
-    hot_part = big.join(hot_keys, on, "left_semi").join(hot_small, on, how)
+    spark = big.sparkSession
+    hot_keys = F.broadcast(spark.createDataFrame(hot, known.select(*on).schema))
+    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    others = [c for c in big.columns if c not in on] or on
+    salted_big = big.join(hot_keys, on, "left_semi").withColumn(
+        "salt", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int")
+    )
+    salted_small = small.join(hot_keys, on, "left_semi").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    )
+    hot_part = salted_big.join(salted_small, [*on, "salt"], how).drop("salt")
     cold_part = big.join(hot_keys, on, "left_anti").join(small, on, how)
     return hot_part.unionByName(cold_part)

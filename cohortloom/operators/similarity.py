@@ -18,6 +18,7 @@ from cohortloom.functions.hashing import (
     split_fingerprints,
 )
 from cohortloom.operators.recordings import split_targets
+from cohortloom.operators.scale import skew_join
 
 # Shingles hashed at a time: one hash vector of this length stays in the CPU cache.
 CHUNK = 32_768
@@ -195,12 +196,19 @@ def candidate_similarity(
     check_sig = signatures.select(
         F.col("entity_id").alias("check_id"), F.col("sig").alias("check_sig")
     )
-    score = ESTIMATES[estimate](F.col("target_sig"), F.col("check_sig"))
-    return (
-        candidates.join(check_sig, "check_id")
-        .join(target_sig, "target_id")
-        .select("target_id", "check_id", score.alias("similarity"))
+    first = signatures.select(F.size("sig")).head()
+    row_bytes = 4 * first[0] + 64 if first else 64
+    # One target may have most of the candidates, so its key is split unless all target
+    # signatures fit the broadcast limit.
+    both = skew_join(
+        candidates.join(check_sig, "check_id"),
+        target_sig,
+        ["target_id"],
+        broadcast_rows=BROADCAST_BYTES // row_bytes,
+        count_on=candidates,
     )
+    score = ESTIMATES[estimate](F.col("target_sig"), F.col("check_sig"))
+    return both.select("target_id", "check_id", score.alias("similarity"))
 
 
 def similar_entities(

@@ -224,6 +224,23 @@ def truncate_cohort(spark, d):
     return kept
 
 
+@query
+def truncate_cohort_tables(spark, d):
+    """The whole truncation job, table folder to table folder; returns the kept index."""
+    source, target = scratch_path(spark, "cohort"), scratch_path(spark, "truncated")
+    files.write_cohort(
+        views.entity_text(spark, d),
+        views.recording_index(spark, d),
+        views.order_samples(spark, d),
+        source,
+    )
+    jobs.truncate(spark, source, target, HOUR_LIMIT)
+    _, index, samples = files.read_cohort(spark, target)
+    stored = recordings.recording_summary(samples)
+    kept = index.join(stored, ["entity_id", "record_id"], "left")
+    return kept.select("entity_id", "seq", "record_id", "hour", "n_samples")
+
+
 @query
 def sample_entities(spark, d):
     return recordings.sample_entities(views.document_ids(spark, d), TARGETS, SEED)
@@ -382,6 +399,13 @@ def similar_entities(spark, d):
     return found.select("target_id", "check_id", _rounded("similarity"))
 
 
+@query
+def similar_entities_full_size(spark, d):
+    """The job at its default size: 1000 hashes, 50 bands, 5 targets."""
+    found = jobs.find_similar(views.shingles(spark, d), views.document_ids(spark, d))
+    return found.select("target_id", "check_id", _rounded("similarity"))
+
+
 @query
 def similar_one_per_target(spark, d):
     found = jobs.find_similar(
@@ -418,6 +442,14 @@ def label_map(spark, d):
     return files.read_label_map(spark, path)
 
 
+@query
+def label_map_scores(spark, d):
+    labels = metadata.load_labels(views.entity_text(spark, d))
+    path = scratch_path(spark, "scores")
+    files.write_label_map(labels.select("entity_id", F.col("cpc").alias("label")), path)
+    return files.read_label_map(spark, path)
+
+
 @query
 def classification_metrics(spark, d):
     m = metrics.classification_metrics(views.labels(spark, d))
@@ -456,11 +488,9 @@ def permutation_test(spark, d):
 
 
 @query
-def permutation_test_balanced(spark, d):
-    """Toxic labels against low-quality flags: close means, so p is not extreme."""
-    pairs = views.labels(spark, d).select(
-        "entity_id", "predicted", (F.col("entity_id") % 13 == 0).cast("int").alias("actual")
-    )
+def permutation_test_close(spark, d):
+    """Low-quality flags against toxic flags: close means, so p is not extreme."""
+    pairs = views.labels(spark, d).withColumn("actual", 1 - F.col("actual"))
     result = hypothesis.permutation_test(pairs, 1000, SEED)
     return result.withColumn("statistic", F.round("statistic", 6))
 

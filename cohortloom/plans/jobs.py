@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.operators import features as ft
@@ -13,12 +13,20 @@ from cohortloom.operators import hypothesis, metadata, metrics, models, recordin
 from cohortloom.operators import similarity as sim
 from cohortloom.operators import spectral
 from cohortloom.operators.scale import written_table
+from cohortloom.sources import cohort_files as files
 
 # Defaults of the similarity job.
 NUM_HASHES, BANDS, TARGETS, MIN_SIMILARITY = 1000, 50, 5, 0.8
 SKIPPED_RECORDINGS = 4
 
 
+def truncate(spark: SparkSession, source: str, target: str, hour_limit: float) -> None:
+    """Write the cohort tables of ``source`` up to the hour to ``target``."""
+    files.write_cohort(
+        *recordings.truncate_cohort(*files.read_cohort(spark, source), hour_limit), target
+    )
+
+
 def signature_table(shingles: DataFrame, num_hashes: int, bands: int, **options) -> DataFrame:
     """Signatures with band keys, written once: the similarity job reads them three times."""
     signatures = sim.minhash_signatures(shingles, num_hashes, bands, **options)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cohortloom.plans import catalog as c
+from cohortloom.plans import jobs
 from cohortloom.plans import views as v
 
 # Shared building blocks (common table expressions).
@@ -152,7 +153,7 @@ def _cast(kind: str) -> str:
     return f"WITH {CELLS} SELECT cell_id, {value} AS value FROM cell"
 
 
-def _signature(shingle_cte: str, source: str) -> str:
+def _signature(shingle_cte: str, source: str, hashes: int = c.NUM_HASHES) -> str:
     """Minimum of every hash function per entity, shingle by shingle."""
     return f"""{shingle_cte},
 fp AS (SELECT DISTINCT entity_id, CAST(concat('0x', substr(md5(shingle), 1, 7)) AS BIGINT) AS hi,
@@ -160,7 +161,7 @@ fp AS (SELECT DISTINCT entity_id, CAST(concat('0x', substr(md5(shingle), 1, 7))
 fam AS (SELECT i, 1 + CAST(concat('0x', substr(md5(concat('a', i)), 1, 7)) AS BIGINT) AS a,
   CAST(concat('0x', substr(md5(concat('b', i)), 1, 7)) AS BIGINT) AS b,
   1 + CAST(concat('0x', substr(md5(concat('c', i)), 1, 7)) AS BIGINT) AS c
-  FROM range({c.NUM_HASHES}) r(i)),
+  FROM range({hashes}) r(i)),
 mh AS (SELECT entity_id, i, min((a * hi + c * lo + b) % 2147483647) AS h
   FROM fp CROSS JOIN fam GROUP BY entity_id, i)"""
 
@@ -170,18 +171,27 @@ sh AS (SELECT entity_id, shingle FROM (
   SELECT doc_id AS entity_id, unnest(string_split(lower(text), ' ')) AS shingle FROM documents) t
   WHERE shingle <> '')"""
 SIGNATURES = _signature(DOCUMENT_SHINGLES, "sh")
-ROWS = c.NUM_HASHES // c.BANDS
-BAND_ROWS = SIGNATURES + f""",
-band_of AS (SELECT entity_id, CAST(i // {ROWS} AS INTEGER) AS band,
-  md5(string_agg(CAST(h AS VARCHAR), ',' ORDER BY i)) AS band_key FROM mh GROUP BY entity_id, i // {ROWS})"""
-TARGETS = f"""
+
+
+def _bands(hashes: int, bands: int) -> str:
+    rows = hashes // bands
+    return _signature(DOCUMENT_SHINGLES, "sh", hashes) + f""",
+band_of AS (SELECT entity_id, CAST(i // {rows} AS INTEGER) AS band,
+  md5(string_agg(CAST(h AS VARCHAR), ',' ORDER BY i)) AS band_key FROM mh GROUP BY entity_id, i // {rows})"""
+
+
+def _targets(count: int) -> str:
+    return f"""
 tgt AS (SELECT doc_id AS entity_id FROM documents
-  ORDER BY md5(concat('{c.SEED}', CAST(doc_id AS VARCHAR))), doc_id LIMIT {c.TARGETS})"""
-CANDIDATES = BAND_ROWS + "," + TARGETS + """,
+  ORDER BY md5(concat('{c.SEED}', CAST(doc_id AS VARCHAR))), doc_id LIMIT {count})"""
+
+
+def _scored(hashes: int, bands: int, targets: int) -> str:
+    """Candidates by shared bands, compared by the sets of their signature values."""
+    return _bands(hashes, bands) + "," + _targets(targets) + """,
 cand AS (SELECT DISTINCT t.entity_id AS target_id, o.entity_id AS check_id
   FROM band_of t JOIN band_of o ON t.band = o.band AND t.band_key = o.band_key
-  WHERE t.entity_id IN (SELECT entity_id FROM tgt) AND o.entity_id NOT IN (SELECT entity_id FROM tgt))"""
-SCORED = CANDIDATES + """,
+  WHERE t.entity_id IN (SELECT entity_id FROM tgt) AND o.entity_id NOT IN (SELECT entity_id FROM tgt)),
 vals AS (SELECT DISTINCT entity_id, h FROM mh),
 card AS (SELECT entity_id, count(*) AS n FROM vals GROUP BY entity_id),
 common AS (SELECT target_id, check_id, count(*) AS k FROM cand
@@ -190,6 +200,12 @@ common AS (SELECT target_id, check_id, count(*) AS k FROM cand
 scored AS (SELECT target_id, check_id, CAST(k AS DOUBLE) / (x.n + y.n - k) AS similarity
   FROM common JOIN card x ON x.entity_id = target_id JOIN card y ON y.entity_id = check_id)"""
 
+
+BAND_ROWS = _bands(c.NUM_HASHES, c.BANDS)
+TARGETS = _targets(c.TARGETS)
+SCORED = _scored(c.NUM_HASHES, c.BANDS, c.TARGETS)
+FULL_SIZE = _scored(jobs.NUM_HASHES, jobs.BANDS, jobs.TARGETS)
+
 SHINGLES_OF_SIGNALS = SAMPLES + """,
 sh AS (SELECT entity_id, string_agg(CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || '.0', ',' ORDER BY channel)
   AS shingle, record_id FROM sample_of GROUP BY entity_id, record_id, idx)"""
@@ -399,6 +415,10 @@ vec AS (SELECT vec_id AS entity_id, unnest(range(len(embedding))) AS idx,
         "truncate_cohort": f"""WITH {INDEX}, {ORDER_SAMPLES} SELECT * FROM order_sample s WHERE EXISTS (
             SELECT 1 FROM index_of i WHERE i.hour <= {c.HOUR_LIMIT} AND i.entity_id = s.entity_id
               AND i.record_id = s.record_id)""",
+        "truncate_cohort_tables": f"""WITH {INDEX}, {ORDER_SAMPLES} SELECT i.entity_id, i.seq, i.record_id,
+            i.hour, nullif((SELECT count(*) FROM order_sample s WHERE s.entity_id = i.entity_id
+              AND s.record_id = i.record_id), 0) AS n_samples FROM index_of i
+            WHERE i.hour <= {c.HOUR_LIMIT}""",
         "sample_entities": f"WITH {TARGETS} SELECT entity_id FROM tgt",
         "split_targets": f"""WITH {TARGETS} SELECT doc_id AS entity_id, CASE WHEN doc_id IN
             (SELECT entity_id FROM tgt) THEN 'target' ELSE 'check' END AS side FROM documents""",
@@ -433,11 +453,13 @@ vec AS (SELECT vec_id AS entity_id, unnest(range(len(embedding))) AS idx,
             FROM psd_of GROUP BY entity_id, channel""",
         "minhash_signature": f"WITH {SIGNATURES} {signature_text}",
         "lsh_bands": f"WITH {BAND_ROWS} SELECT entity_id, band, band_key FROM band_of",
-        "lsh_candidates": f"WITH {CANDIDATES} SELECT target_id, check_id FROM cand",
+        "lsh_candidates": f"WITH {SCORED} SELECT target_id, check_id FROM cand",
         "signature_jaccard": f"""WITH {SCORED} SELECT target_id, check_id,
             round(similarity, 6) AS similarity FROM scored""",
         "similar_entities": f"""WITH {SCORED} SELECT target_id, check_id,
             round(similarity, 6) AS similarity FROM scored WHERE similarity > 0.8""",
+        "similar_entities_full_size": f"""WITH {FULL_SIZE} SELECT target_id, check_id,
+            round(similarity, 6) AS similarity FROM scored WHERE similarity > 0.8""",
         "similar_one_per_target": f"""WITH {SCORED} SELECT target_id, check_id,
             round(similarity, 6) AS similarity FROM (SELECT *, row_number() OVER (
               PARTITION BY target_id ORDER BY similarity DESC, check_id) AS place FROM scored
@@ -445,6 +467,8 @@ vec AS (SELECT vec_id AS entity_id, unnest(range(len(embedding))) AS idx,
         "pair_labels": f"WITH {LABELS} SELECT entity_id, actual, predicted FROM pairs",
         "label_map": """SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS entity_id,
             CASE WHEN c_acctbal < 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label FROM customer""",
+        "label_map_scores": """SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS entity_id,
+            CAST(1 + c_custkey % 5 AS DOUBLE) AS label FROM customer""",
         "classification_metrics": f"""WITH {LABELS}, t AS (SELECT count(*) AS n,
             avg(CASE WHEN actual = predicted THEN 1.0 ELSE 0.0 END) AS accuracy,
             sum(actual * predicted) AS tp, sum(actual) AS pos, sum(predicted) AS called FROM pairs)
@@ -464,10 +488,9 @@ vec AS (SELECT vec_id AS entity_id, unnest(range(len(embedding))) AS idx,
         "signed_ranks": f"""WITH {PAIRS}, {RANKS} SELECT entity_id, diff,
             CASE WHEN diff > 0 THEN low ELSE -low END AS signed_rank FROM ranked""",
         "permutation_test": f"WITH {_permutation(LABELS, 1000)} {PERMUTATION_COLUMNS}",
-        "permutation_test_balanced": "WITH "
+        "permutation_test_close": "WITH "
         + _permutation(
-            "pairs AS (SELECT doc_id AS entity_id, CASE WHEN doc_id % 13 = 0 THEN 1 ELSE 0 END AS actual, "
-            "toxic AS predicted FROM labels)",
+            "pairs AS (SELECT doc_id AS entity_id, 1 - quality AS actual, toxic AS predicted FROM labels)",
             1000,
         )
         + PERMUTATION_COLUMNS,

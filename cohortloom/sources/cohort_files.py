@@ -107,6 +107,22 @@ def write_recording_index(index: DataFrame, root: str) -> None:
     )
 
 
+COHORT_TABLES = ("entity_text", "recording_index", "samples")
+
+
+def write_cohort(
+    entity_text: DataFrame, index: DataFrame, samples: DataFrame, root: str
+) -> None:
+    """The cohort as three parquet tables: the layout for large data."""
+    for name, table in zip(COHORT_TABLES, (entity_text, index, samples)):
+        table.write.parquet(f"{root}/{name}")
+
+
+def read_cohort(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    text, index, samples = (spark.read.parquet(f"{root}/{name}") for name in COHORT_TABLES)
+    return text, index, samples
+
+
 def write_label_map(labels: DataFrame, path: str) -> None:
     """(entity_id, label) as one JSON object per line, so the file stays splittable."""
     labels.select("entity_id", "label").write.json(path)

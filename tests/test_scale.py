@@ -43,6 +43,13 @@ def test_running_total_one_value(spark):
     assert [r.t for r in out.orderBy("id").collect()] == list(range(40))
 
 
+def test_running_total_with_too_many_hot_keys(skewed, monkeypatch):
+    expected = rows(scale.running_total(skewed, F.lit(1), "t", ["k"], ["a", "b"]))
+    monkeypatch.setattr(scale, "BROADCAST_ROWS", 3)
+    split = scale.running_total(skewed, F.lit(1), "t", ["k"], ["a", "b"], rows_per_task=7)
+    assert rows(split) == expected
+
+
 def test_running_total_of_nothing(spark):
     empty = spark.range(0).select(F.col("id").alias("a"))
     assert scale.running_total(empty, F.lit(1), "t", order=["a"]).count() == 0
