@@ -8,11 +8,12 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Rows one task may sort or one key may hold before the work is split.
-ROWS_PER_TASK = 2_000_000
+ROWS_PER_TASK = 10_000_000
 # A key outside the 1000 most frequent holds less than a thousandth of the rows.
 HOT_KEY_LIMIT = 1000
 # Narrow rows (keys and a few numbers) that may be sent to every executor.
@@ -58,22 +59,20 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
-def order_bucket(df: DataFrame, order: str, buckets: int, out: str) -> DataFrame:
-    """Add a bucket number that grows with ``order``; equal values share a bucket.
-
-    Boundaries are approximate quantiles, so buckets hold similar numbers of rows.
-    """
+def order_bounds(df: DataFrame, order: str, buckets: int) -> list[float]:
+    """Boundaries that cut ``order`` into buckets of similar size, by approximate quantiles."""
     shares = [i / buckets for i in range(1, buckets)]
+    position = _position(df, order)
+    found = df.agg(F.percentile_approx(position, shares, max(10_000, 20 * buckets))).head()[0]
+    # The bucketizer wants two buckets or more; an empty one does no harm.
+    return [-math.inf, *(sorted(set(found or [])) or [0.0]), math.inf]
+
+
+def _position(df: DataFrame, order: str) -> Column:
     position = F.col(order)
     if df.schema[order].dataType.simpleString() in ("date", "timestamp_ntz"):
         position = position.cast("timestamp")
-    position = position.cast("double")
-    bounds = df.agg(F.percentile_approx(position, shares, max(10_000, 20 * buckets))).head()[0]
-    splits = [-math.inf, *sorted(set(bounds or [])), math.inf]
-    if len(splits) == 2:
-        splits.insert(1, 0.0)
-    numbered = Bucketizer(splits=splits, inputCol=f"{out}_pos", outputCol=out)
-    return numbered.transform(df.withColumn(f"{out}_pos", position)).drop(f"{out}_pos")
+    return position.cast("double")
 
 
 def _sum_before(value: Column, keys: list[str], order: list[str]) -> Column:
@@ -82,18 +81,17 @@ def _sum_before(value: Column, keys: list[str], order: list[str]) -> Column:
     return F.coalesce(F.sum(value).over(earlier), F.lit(0)).cast("long")
 
 
-def _total_in_buckets(
-    df: DataFrame, value: Column, out: str, keys: list[str], order: list[str], buckets: int
-) -> DataFrame:
-    """Totals per order bucket give each bucket's start; the window runs inside buckets."""
-    bucket, start = f"{out}_bucket", f"{out}_start"
-    split = order_bucket(df, order[0], buckets, bucket)
-    totals = split.groupBy(*keys, bucket).agg(F.sum(value).alias(start))
-    # At most MAX_BUCKETS rows per key reach this window.
-    starts = totals.withColumn(start, _sum_before(F.col(start), keys, [bucket]))
-    inside = _sum_before(value, [*keys, bucket], order)
-    placed = split.join(starts, [*keys, bucket])
-    return placed.withColumn(out, F.col(start) + inside).select(*df.columns, out)
+def _frequent_keys(counted: DataFrame, keys: list[str], rows: int) -> list[Row]:
+    """The keys above ``rows`` with their n_rows, biggest first, at most HOT_KEY_LIMIT."""
+    known = counted.where(F.col("n_rows") > rows).dropna(subset=keys)
+    return known.orderBy(F.desc("n_rows")).limit(HOT_KEY_LIMIT).collect()
+
+
+def _mark_hot(df: DataFrame, hot: list[Row], keys: list[str], schema: StructType) -> DataFrame:
+    """Add ``is_hot``; the hot keys are few enough for a broadcast."""
+    names = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema)
+    marks = F.broadcast(names.withColumn("is_hot", F.lit(True)))
+    return df.join(marks, keys, "left").withColumn("is_hot", F.coalesce("is_hot", F.lit(False)))
 
 
 def running_total(
@@ -107,28 +105,41 @@ def running_total(
     """Add the sum of ``value`` over the earlier rows of the same key (keys not NULL).
 
     ``order`` must be unique per key and start with a numeric, date or timestamp
-    column. Keys are counted first. Those of at most ``rows_per_task`` rows share one
-    window per key; the larger ones, and the whole table when there are no keys, are cut
-    into order buckets, so that no window holds a hot key.
+    column. Keys are counted first; while none exceeds ``rows_per_task`` this is one
+    window per key. Larger keys, and the whole table when there are no keys, are cut
+    into order buckets: totals per bucket give each bucket's start and the window runs
+    inside the buckets, so that no task holds a hot key.
     """
     keys, order, value = list(keys), list(order), value.cast("long")
-
-    def buckets(rows: int) -> int:
-        return min(MAX_BUCKETS, max(2, math.ceil(rows / rows_per_task)))
-
-    if not keys:
-        return _total_in_buckets(df, value, out, keys, order, buckets(df.count()))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    hot = counts.where(F.col("n_rows") > rows_per_task)
-    found = hot.agg(F.count(F.lit(1)).alias("keys"), F.max("n_rows").alias("largest")).head()
-    if not found["keys"]:
-        return df.withColumn(out, _sum_before(value, keys, order))
-    if found["keys"] > BROADCAST_ROWS:
-        return _total_in_buckets(df, value, out, keys, order, buckets(found["largest"]))
-    hot_keys = F.broadcast(hot.select(*keys))
-    hot_rows, cold_rows = (df.join(hot_keys, keys, how) for how in ("left_semi", "left_anti"))
-    split = _total_in_buckets(hot_rows, value, out, keys, order, buckets(found["largest"]))
-    return split.unionByName(cold_rows.withColumn(out, _sum_before(value, keys, order)))
+    if keys:
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+        hot = _frequent_keys(counts, keys, rows_per_task)
+        if not hot:
+            return df.withColumn(out, _sum_before(value, keys, order))
+        largest = hot[0]["n_rows"]
+        if len(hot) < HOT_KEY_LIMIT:
+            marked = _mark_hot(df, hot, keys, counts.select(*keys).schema)
+        else:
+            marked = df.withColumn("is_hot", F.lit(True))
+    else:
+        largest = df.count()
+        marked = df.withColumn("is_hot", F.lit(True))
+
+    buckets = min(MAX_BUCKETS, max(2, math.ceil(largest / rows_per_task)))
+    bounds = order_bounds(marked.where("is_hot"), order[0], buckets)
+    split = Bucketizer(splits=bounds, inputCol="position", outputCol="bucket").transform(
+        marked.withColumn("position", _position(df, order[0]))
+    )
+    split = split.withColumn("bucket", F.when(F.col("is_hot"), F.col("bucket")).otherwise(-1.0))
+    totals = split.where("is_hot").groupBy(*keys, "bucket").agg(F.sum(value).alias("total"))
+    # At most MAX_BUCKETS rows per key reach this window.
+    starts = totals.select(
+        *keys, "bucket", _sum_before(F.col("total"), keys, ["bucket"]).alias("start")
+    )
+    inside = _sum_before(value, [*keys, "bucket"], order)
+    placed = split.join(starts, [*keys, "bucket"], "left")
+    start = F.coalesce("start", F.lit(0))
+    return placed.withColumn(out, start + inside).select(*df.columns, out)
 
 
 def maybe_broadcast(small: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -151,8 +162,8 @@ def skew_join(
     ``big`` does not move; pass 0 where its rows are wide. Otherwise the most frequent
     keys are counted, on ``count_on`` where a cheaper table has the same frequencies. The
     keys above ``hot_rows`` are at most HOT_KEY_LIMIT: their rows of ``big`` are salted
-    over all tasks and their few rows of ``small`` repeated once per salt. Everything
-    else is an ordinary equi-join.
+    over all tasks and their few rows of ``small`` repeated once per salt. All other
+    rows have salt 0, so it is one equi-join either way.
     """
     on = list(on)
     if broadcast_rows and small.limit(broadcast_rows + 1).count() <= broadcast_rows:
@@ -160,20 +171,17 @@ def skew_join(
     counted = (count_on if count_on is not None else big).groupBy(*on).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
-    known = counted.where(F.col("n_rows") > hot_rows).dropna(subset=on)
-    hot = known.orderBy(F.desc("n_rows")).limit(HOT_KEY_LIMIT).drop("n_rows").collect()
+    hot = _frequent_keys(counted, on, hot_rows)
     if not hot:
         return big.join(small, on, how)
-    spark = big.sparkSession
-    hot_keys = F.broadcast(spark.createDataFrame(hot, known.select(*on).schema))
-    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    schema = counted.select(*on).schema
     others = [c for c in big.columns if c not in on] or on
-    salted_big = big.join(hot_keys, on, "left_semi").withColumn(
-        "salt", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int")
-    )
-    salted_small = small.join(hot_keys, on, "left_semi").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    salt = F.when(F.col("is_hot"), F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
+    salted = _mark_hot(big, hot, on, schema).withColumn("salt", F.coalesce(salt, F.lit(0)))
+    last = F.when(F.col("is_hot"), F.lit(salts - 1)).otherwise(0)
+    repeated = _mark_hot(small, hot, on, schema).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), last))
     )
-    hot_part = salted_big.join(salted_small, [*on, "salt"], how).drop("salt")
-    cold_part = big.join(hot_keys, on, "left_anti").join(small, on, how)
-    return hot_part.unionByName(cold_part)
+    joined = salted.drop("is_hot").join(repeated.drop("is_hot"), [*on, "salt"], how)
+    return joined.drop("salt")

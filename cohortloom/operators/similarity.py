@@ -171,9 +171,10 @@ def _is_small(df: DataFrame, row_bytes: int) -> bool:
 
 def value_set_jaccard(x: Column, y: Column) -> Column:
     """Jaccard similarity of the two arrays' value sets; NULL when both are empty."""
-    return F.try_divide(
-        F.size(F.array_intersect(x, y)).cast("double"), F.size(F.array_union(x, y)).cast("double")
-    )
+    common = F.size(F.array_intersect(x, y)).cast("double")
+    jaccard = F.try_divide(common, F.size(F.array_union(x, y)).cast("double"))
+    # Copies are frequent among candidates and need no sets.
+    return F.when((x == y) & (F.size(x) > 0), F.lit(1.0)).otherwise(jaccard)
 
 
 def position_match(x: Column, y: Column) -> Column:

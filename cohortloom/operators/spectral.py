@@ -2,8 +2,8 @@
 
 Segments of n_fft samples without overlap, mean removed per segment, periodic Hamming
 window, one-sided density scaled by 1/(fs * sum(w^2)), mean over segments. The last
-partial segment is dropped and a series shorter than one segment gives no row. A
-segment is the unit of parallel work, so one long recording spreads over all tasks.
+partial segment is dropped and a series shorter than one segment gives no row. A missing
+sample makes its series NULL. A segment is the unit of parallel work, so one long recording spreads over all tasks.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortloom.functions.text import nan_to_null
 from cohortloom.operators.scale import skew_join
 
 # Band limits in hertz, both ends included.
@@ -26,15 +27,56 @@ DEFAULT_N_FFT = 256
 def segments_from_samples(
     samples: DataFrame, keys: list[str], n_fft: int = DEFAULT_N_FFT
 ) -> DataFrame:
-    """Cut long samples (idx counts 0, 1, ...) into whole segments of n_fft values."""
-    segment = F.floor(F.col("idx") / n_fft).alias("segment")
-    point = F.struct(F.col("idx"), F.col("value").cast("double").alias("value"))
-    cut = samples.select(*keys, "sampling_frequency", segment, point.alias("point"))
-    groups = cut.groupBy(*keys, "sampling_frequency", "segment").agg(
-        F.array_sort(F.collect_list("point")).alias("points")
+    """Cut long samples (idx counts 0, 1, ...) into whole segments of n_fft values.
+
+    Samples are shuffled by segment and sorted, and runs of n_fft rows become one row.
+    """
+    kept = [samples.schema[k] for k in [*keys, "sampling_frequency"]]
+    values = T.StructField("segment_values", T.ArrayType(T.DoubleType()))
+    schema = T.StructType([*kept, values])
+    names = [f.name for f in kept]
+    segment = F.floor(F.col("idx") / n_fft)
+    cut = samples.select(
+        *names,
+        segment.alias("segment"),
+        F.xxhash64(*keys, segment).alias("mark"),
+        (F.col("idx") % n_fft).cast("int").alias("offset"),
+        F.coalesce(F.col("value").cast("double"), F.lit(float("nan"))).alias("value"),
+    )
+    # The mark decides nearly every comparison; the keys keep equal marks apart.
+    order = ["mark", *keys, "segment", "offset"]
+    ordered = cut.repartition("mark").sortWithinPartitions(*order)
+    # Only the first row of a segment carries the keys to Python.
+    first_row = F.col("offset") == 0
+    sent = ordered.select(
+        *[F.when(first_row, F.col(n)).alias(n) for n in names], "mark", "offset", "value"
     )
-    whole = groups.where(F.size("points") == n_fft)
-    return whole.select(*keys, "sampling_frequency", F.col("points.value").alias("segment_values"))
+
+    def whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.RecordBatch | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([b for b in (rest, batch) if b is not None])
+            joined = table.combine_chunks().to_batches()
+            if not joined:
+                continue
+            rows = joined[0]
+            mark, offset = rows["mark"].to_numpy(), rows["offset"].to_numpy()
+            fresh = (mark[1:] != mark[:-1]) | (offset[1:] <= offset[:-1])
+            starts = np.r_[0, np.flatnonzero(fresh) + 1]
+            lengths = np.diff(np.r_[starts, len(mark)])
+            # A run that is whole needs no further rows; a shorter last one may go on.
+            whole = starts[lengths == n_fft]
+            rest = rows.slice(starts[-1]) if lengths[-1] < n_fft else None
+            if len(whole):
+                picked = (whole[:, None] + np.arange(n_fft)).ravel()
+                flat = pa.array(rows["value"].to_numpy()[picked])
+                offsets = pa.array(np.arange(0, len(picked) + 1, n_fft, dtype=np.int32))
+                first = pa.array(whole)
+                columns = [rows[f.name].take(first) for f in kept]
+                columns.append(pa.ListArray.from_arrays(offsets, flat))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return sent.mapInArrow(whole_runs, schema)
 
 
 def segments_from_arrays(
@@ -91,7 +133,7 @@ def welch_psd(segments: DataFrame, keys: list[str], n_fft: int = DEFAULT_N_FFT)
     by_bin = rows.select(*keys, "sampling_frequency", F.posexplode("psd").alias("bin", "p"))
     return (
         by_bin.groupBy(*keys, "sampling_frequency", "bin")
-        .agg(F.avg("p").alias("psd"))
+        .agg(nan_to_null(F.avg("p")).alias("psd"))
         .select(
             *keys, "bin", (F.col("bin") * F.col("sampling_frequency") / n_fft).alias("frequency"),
             "psd",
@@ -123,7 +165,7 @@ def band_power(
         return columns
 
     rows = _segment_rows(segments, keys, n_fft, list(limits), means)
-    return rows.groupBy(*keys).agg(*[F.avg(b).alias(b) for b in limits])
+    return rows.groupBy(*keys).agg(*[nan_to_null(F.avg(b)).alias(b) for b in limits])
 
 
 def latest_samples(samples: DataFrame, latest: DataFrame) -> DataFrame:

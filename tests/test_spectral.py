@@ -63,3 +63,28 @@ def test_band_power_includes_both_limits(arrays):
     assert row.alpha == pytest.approx((psd[2] + psd[3]) / 2)
     assert row.beta == pytest.approx(sum(psd[3:8]) / 5)
     assert row.empty is None
+
+
+def test_missing_sample_gives_null(spark):
+    gap = spark.createDataFrame(
+        [("g", FS, i, None if i == 3 else float(i)) for i in range(32)],
+        "entity_id string, sampling_frequency double, idx int, value double",
+    )
+    segments = spectral.segments_from_samples(gap, ["entity_id"], N)
+    assert spectral.band_power(segments, ["entity_id"], N).head().delta is None
+
+
+def test_segments_cross_batches(spark):
+    series = spark.range(0, 5000, 1, 7).selectExpr(
+        "cast(id % 3 as string) as entity_id", "64.0D as sampling_frequency",
+        "id div 3 as idx", "cast(id as double) as value",
+    )
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        rows = spectral.segments_from_samples(series, ["entity_id"], N).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(rows) == sum(((5000 - e + 2) // 3) // N for e in range(3))
+    for r in rows:
+        e, v = int(r.entity_id), r.segment_values
+        assert (v[0] - e) % (3 * N) == 0 and v == [v[0] + 3 * j for j in range(N)]
