@@ -10,12 +10,12 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 # Rows one task may sort or one key may hold before the work is split.
 ROWS_PER_TASK = 10_000_000
-# A key outside the 1000 most frequent holds less than a thousandth of the rows.
-HOT_KEY_LIMIT = 1000
+# A key outside the 10,000 most frequent holds less than a ten-thousandth of the rows.
+HOT_KEY_LIMIT = 10_000
 # Narrow rows (keys and a few numbers) that may be sent to every executor.
 BROADCAST_ROWS = 200_000
 # Number of order buckets; bounds the boundary list the driver sees.
@@ -87,11 +87,17 @@ def _frequent_keys(counted: DataFrame, keys: list[str], rows: int) -> list[Row]:
     return known.orderBy(F.desc("n_rows")).limit(HOT_KEY_LIMIT).collect()
 
 
-def _mark_hot(df: DataFrame, hot: list[Row], keys: list[str], schema: StructType) -> DataFrame:
-    """Add ``is_hot``; the hot keys are few enough for a broadcast."""
-    names = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema)
-    marks = F.broadcast(names.withColumn("is_hot", F.lit(True)))
-    return df.join(marks, keys, "left").withColumn("is_hot", F.coalesce("is_hot", F.lit(False)))
+def _mark_parts(
+    df: DataFrame, hot: list[Row], keys: list[str], schema: StructType, rows: int
+) -> DataFrame:
+    """Add ``parts``: pieces of ``rows`` rows a hot key is cut into, 1 for other keys.
+
+    The list of hot keys is short enough for a broadcast.
+    """
+    parts = [(*[r[k] for k in keys], math.ceil(r["n_rows"] / rows)) for r in hot]
+    schema = StructType([*schema.fields, StructField("parts", IntegerType())])
+    marks = F.broadcast(df.sparkSession.createDataFrame(parts, schema))
+    return df.join(marks, keys, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
 
 
 def running_total(
@@ -118,20 +124,21 @@ def running_total(
             return df.withColumn(out, _sum_before(value, keys, order))
         largest = hot[0]["n_rows"]
         if len(hot) < HOT_KEY_LIMIT:
-            marked = _mark_hot(df, hot, keys, counts.select(*keys).schema)
+            marked = _mark_parts(df, hot, keys, counts.select(*keys).schema, rows_per_task)
         else:
-            marked = df.withColumn("is_hot", F.lit(True))
+            marked = df.withColumn("parts", F.lit(2))
     else:
         largest = df.count()
-        marked = df.withColumn("is_hot", F.lit(True))
+        marked = df.withColumn("parts", F.lit(2))
+    is_hot = F.col("parts") > 1
 
     buckets = min(MAX_BUCKETS, max(2, math.ceil(largest / rows_per_task)))
-    bounds = order_bounds(marked.where("is_hot"), order[0], buckets)
+    bounds = order_bounds(marked.where(is_hot), order[0], buckets)
     split = Bucketizer(splits=bounds, inputCol="position", outputCol="bucket").transform(
         marked.withColumn("position", _position(df, order[0]))
     )
-    split = split.withColumn("bucket", F.when(F.col("is_hot"), F.col("bucket")).otherwise(-1.0))
-    totals = split.where("is_hot").groupBy(*keys, "bucket").agg(F.sum(value).alias("total"))
+    split = split.withColumn("bucket", F.when(is_hot, F.col("bucket")).otherwise(-1.0))
+    totals = split.where(is_hot).groupBy(*keys, "bucket").agg(F.sum(value).alias("total"))
     # At most MAX_BUCKETS rows per key reach this window.
     starts = totals.select(
         *keys, "bucket", _sum_before(F.col("total"), keys, ["bucket"]).alias("start")
@@ -161,9 +168,9 @@ def skew_join(
     A small side of at most ``broadcast_rows`` rows, counted first, is broadcast and
     ``big`` does not move; pass 0 where its rows are wide. Otherwise the most frequent
     keys are counted, on ``count_on`` where a cheaper table has the same frequencies. The
-    keys above ``hot_rows`` are at most HOT_KEY_LIMIT: their rows of ``big`` are salted
-    over all tasks and their few rows of ``small`` repeated once per salt. All other
-    rows have salt 0, so it is one equi-join either way.
+    keys above ``hot_rows`` are at most HOT_KEY_LIMIT: each gets a salt per ``hot_rows``
+    of its rows, and its row of ``small`` is repeated for every salt, which adds no more
+    rows than ``big`` has pieces. All other rows have salt 0: it stays one equi-join.
     """
     on = list(on)
     if broadcast_rows and small.limit(broadcast_rows + 1).count() <= broadcast_rows:
@@ -174,14 +181,12 @@ def skew_join(
     hot = _frequent_keys(counted, on, hot_rows)
     if not hot:
         return big.join(small, on, how)
-    salts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = counted.select(*on).schema
     others = [c for c in big.columns if c not in on] or on
-    salt = F.when(F.col("is_hot"), F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
-    salted = _mark_hot(big, hot, on, schema).withColumn("salt", F.coalesce(salt, F.lit(0)))
-    last = F.when(F.col("is_hot"), F.lit(salts - 1)).otherwise(0)
-    repeated = _mark_hot(small, hot, on, schema).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), last))
+    salt = F.pmod(F.xxhash64(*others), F.col("parts")).cast("int")
+    salted = _mark_parts(big, hot, on, schema, hot_rows).withColumn("salt", salt)
+    repeated = _mark_parts(small, hot, on, schema, hot_rows).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     )
-    joined = salted.drop("is_hot").join(repeated.drop("is_hot"), [*on, "salt"], how)
+    joined = salted.drop("parts").join(repeated.drop("parts"), [*on, "salt"], how)
     return joined.drop("salt")

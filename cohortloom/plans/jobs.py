@@ -43,8 +43,8 @@ def find_similar(
     seed: str = "42",
     **options,
 ) -> DataFrame:
-    """Similar entities of a seeded sample of targets."""
-    chosen = recordings.sample_entities(entities, targets, seed)
+    """Similar entities of a seeded sample of targets, which is drawn and written once."""
+    chosen = written_table(recordings.sample_entities(entities, targets, seed), "targets")
     signatures = signature_table(shingles, num_hashes, bands)
     return sim.similar_entities(signatures, chosen, bands, min_similarity, **options)
 

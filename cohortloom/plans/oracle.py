@@ -69,10 +69,15 @@ sample_of AS (SELECT *, CAST(CAST((raw - 10) / 50.0 AS FLOAT) AS DOUBLE) AS valu
 
 SPEC = SAMPLES + """,
 spec_of AS (SELECT entity_id, record_id, channel, count(*) AS num_samples,
-  max(CASE WHEN idx = 0 THEN raw END) AS initial_value, sum(raw) AS total,
+  max(CASE WHEN idx = 0 THEN raw END) AS first_raw, sum(raw) AS total,
+  concat(entity_id, '_', record_id, CASE WHEN entity_id % 3 = 2 AND record_id = 1 AND channel = 'click'
+    THEN '_b' ELSE '' END, '.mat') AS signal_file,
+  max(CASE WHEN idx = 0 THEN raw END) + CASE WHEN entity_id % 4 = 1 AND channel = 'view' THEN 1 ELSE 0 END
+    AS initial_value,
   sum(raw) + CASE WHEN entity_id % 5 = 0 AND channel = 'error' THEN 1 ELSE 0 END AS checksum
   FROM sample_of GROUP BY entity_id, record_id, channel),
-longest_of AS (SELECT entity_id, record_id, max(num_samples) AS longest, count(*) AS n_channels
+longest_of AS (SELECT entity_id, record_id, max(num_samples) AS longest, count(*) AS n_channels,
+  count(DISTINCT signal_file) AS n_files
   FROM spec_of GROUP BY entity_id, record_id)"""
 
 USER_SAMPLES = """
@@ -362,7 +367,7 @@ vec AS (SELECT vec_id AS entity_id, unnest(range(len(embedding))) AS idx,
             64.0::DOUBLE AS sampling_frequency, longest AS num_samples,
             CAST(row_number() OVER (PARTITION BY s.entity_id, s.record_id ORDER BY channel) - 1
               AS INTEGER) AS position,
-            concat(s.entity_id, '_', s.record_id, '.mat') AS signal_file, 50.0::DOUBLE AS gain,
+            signal_file, 50.0::DOUBLE AS gain,
             10::BIGINT AS adc_offset, initial_value, CAST(checksum AS BIGINT) AS checksum, channel
             FROM spec_of s JOIN longest_of l ON s.entity_id = l.entity_id AND s.record_id = l.record_id""",
         "assemble_entities": f"""WITH {ENTITY_TEXT}, {INDEX}, {ORDER_SAMPLES},
@@ -437,7 +442,8 @@ vec AS (SELECT vec_id AS entity_id, unnest(range(len(embedding))) AS idx,
             round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std
             FROM sample_of GROUP BY entity_id, channel""",
         "signal_quality_report": f"""WITH {SPEC} SELECT s.entity_id, s.record_id, channel,
-            true AS one_file_ok, num_samples = longest AS shape_ok, true AS initial_ok,
+            n_files = 1 AS one_file_ok, num_samples = longest AS shape_ok,
+            first_raw = initial_value AS initial_ok,
             total = checksum AS checksum_ok
             FROM spec_of s JOIN longest_of l ON s.entity_id = l.entity_id AND s.record_id = l.record_id""",
         "concat_recordings": f"""WITH {SAMPLES} SELECT entity_id, channel,

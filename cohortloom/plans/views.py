@@ -107,26 +107,31 @@ def sample_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def channel_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What headers claim about ``samples``; some checksums are wrong on purpose."""
-    wrong = F.when((F.col("entity_id") % 5 == 0) & (F.col("channel") == "error"), 1).otherwise(0)
+    """What headers claim about ``samples``; every kind of claim is sometimes wrong."""
+    entity, channel = F.col("entity_id"), F.col("channel")
+    wrong_sum = ((entity % 5 == 0) & (channel == "error")).cast("int")
+    wrong_first = ((entity % 4 == 1) & (channel == "view")).cast("int")
+    other_file = (entity % 3 == 2) & (F.col("record_id") == 1) & (channel == "click")
     return (
         samples(spark, sf_dir)
         .groupBy("entity_id", "record_id", "channel")
         .agg(
             F.count(F.lit(1)).cast("int").alias("num_samples"),
-            F.min_by("raw", "idx").alias("initial_value"),
+            F.min_by("raw", "idx").alias("first"),
             F.sum("raw").alias("total"),
         )
         .select(
             "entity_id",
             "record_id",
             "channel",
-            F.concat_ws("_", "entity_id", "record_id").alias("signal_file"),
+            F.concat_ws(
+                "_", "entity_id", "record_id", F.when(other_file, F.lit("b"))
+            ).alias("signal_file"),
             F.lit(GAIN).alias("gain"),
             F.lit(OFFSET).alias("adc_offset"),
             "num_samples",
-            "initial_value",
-            (F.col("total") + wrong).alias("checksum"),
+            (F.col("first") + wrong_first).alias("initial_value"),
+            (F.col("total") + wrong_sum).alias("checksum"),
         )
     )
 
