@@ -27,8 +27,8 @@ BROADCAST_BYTES = 64 * 2**20
 
 
 def document_shingles(documents: DataFrame, id_column: str, text: str = "text") -> DataFrame:
-    """Lower-case words of whole texts. Repeats stay: a minimum ignores them."""
-    words = F.explode(F.split(F.lower(F.col(text)), " ")).alias("shingle")
+    """Distinct lower-case words of whole texts, found inside the row."""
+    words = F.explode(F.array_distinct(F.split(F.lower(F.col(text)), " "))).alias("shingle")
     return documents.select(F.col(id_column).alias("entity_id"), words).where("shingle <> ''")
 
 
@@ -138,35 +138,59 @@ def with_band_keys(signatures: DataFrame, num_hashes: int, bands: int) -> DataFr
     return signatures.withColumn("band_keys", keys)
 
 
-def lsh_candidates(signatures: DataFrame, targets: DataFrame, bands: int) -> DataFrame:
-    """Distinct (target_id, check_id) sharing a band, targets excluded on the check side.
+def _side(table: DataFrame, side: str) -> DataFrame:
+    return table.select(
+        F.col("entity_id").alias(f"{side}_id"),
+        F.col("sig").alias(f"{side}_sig"),
+        F.col("band_keys").alias(f"{side}_keys"),
+    )
+
+
+def _fits_broadcast(target: DataFrame) -> bool:
+    """Whether all target signatures and band keys stay below the broadcast limit."""
+    first = target.select(F.size("target_sig"), F.size("target_keys")).head()
+    row_bytes = 4 * first[0] + 32 * first[1] if first else 1
+    limit = BROADCAST_BYTES // row_bytes
+    return target.select("target_id").limit(limit + 1).count() <= limit
+
+
+def candidate_pairs(signatures: DataFrame, targets: DataFrame, bands: int) -> DataFrame:
+    """Pairs of a target and another entity that share a band, with both signatures.
 
     A pair is emitted at its first common band only, so no distinct is needed and a
     bucket of copies costs one row per pair. A target set of a checked size is
-    broadcast and the check side does not move; a larger one is an equi-join.
+    broadcast: the other entities are scanned once and never move. A larger one is an
+    equi-join of narrow band rows, with the signatures looked up afterwards.
     """
-    keyed = signatures.select("entity_id", "band_keys")
-    target, check = split_targets(keyed, targets)
-
-    def by_band(df: DataFrame, side: str) -> DataFrame:
-        return df.select(
-            F.col("entity_id").alias(f"{side}_id"),
-            F.col("band_keys").alias(f"{side}_keys"),
-            F.posexplode("band_keys").alias("band", "band_key"),
-        )
-
-    target_bands = by_band(target, "target")
-    if _is_small(target, 8 * bands * bands):
-        target_bands = F.broadcast(target_bands)
+    target_rows, check_rows = split_targets(signatures, targets)
+    target, check = _side(target_rows, "target"), _side(check_rows, "check")
     equal = F.zip_with("check_keys", "target_keys", lambda x, y: x == y)
-    first_common = F.array_position(equal, F.lit(True)) - 1
-    pairs = by_band(check, "check").join(target_bands, ["band", "band_key"])
-    return pairs.where(F.col("band") == first_common).select("target_id", "check_id")
+    # Copies agree in band 0 already, which spares them the search for the first band.
+    first_equal = F.get("check_keys", F.lit(0)) == F.get("target_keys", F.lit(0))
+    at_first_band = (
+        F.when(F.col("band") == 0, F.lit(True))
+        .when(first_equal, F.lit(False))
+        .otherwise(F.col("band") == F.array_position(equal, F.lit(True)) - 1)
+    )
+    pair = ["target_id", "check_id", "target_sig", "check_sig"]
+    cut = {s: F.posexplode(f"{s}_keys").alias("band", "band_key") for s in ("target", "check")}
+    on_band = ["band", "band_key"]
+    if _fits_broadcast(target):
+        by_band = F.broadcast(target.select("target_id", cut["target"]))
+        found = check.select("*", cut["check"]).join(by_band, on_band)
+        return found.join(F.broadcast(target), "target_id").where(at_first_band).select(*pair)
+    narrow_target = target.select("target_id", "target_keys", cut["target"])
+    narrow_check = check.select("check_id", "check_keys", cut["check"])
+    ids = narrow_check.join(narrow_target, on_band).where(at_first_band)
+    found = ids.select("target_id", "check_id").join(check.drop("check_keys"), "check_id")
+    # One target may have most of the pairs, so its key is split.
+    target_sig = target.drop("target_keys")
+    return skew_join(found, target_sig, ["target_id"], broadcast_rows=0, count_on=ids).select(*pair)
 
 
-def _is_small(df: DataFrame, row_bytes: int) -> bool:
-    limit = max(1, BROADCAST_BYTES // row_bytes)
-    return df.select("entity_id").limit(limit + 1).count() <= limit
+def lsh_candidates(signatures: DataFrame, targets: DataFrame, bands: int) -> DataFrame:
+    """Distinct (target_id, check_id) sharing a band; only band keys are read."""
+    return candidate_pairs(signatures, targets, bands).select("target_id", "check_id")
 
 
 def value_set_jaccard(x: Column, y: Column) -> Column:
@@ -187,29 +211,12 @@ ESTIMATES = {"value_set": value_set_jaccard, "position": position_match}
 
 
 def candidate_similarity(
-    signatures: DataFrame, candidates: DataFrame, estimate: str = "value_set"
+    signatures: DataFrame, targets: DataFrame, bands: int, estimate: str = "value_set"
 ) -> DataFrame:
-    """(target_id, check_id, similarity) by two keyed lookups of the signatures."""
-    wanted = candidates.select(F.col("target_id").alias("entity_id")).distinct()
-    target_sig = signatures.join(wanted, "entity_id", "left_semi").select(
-        F.col("entity_id").alias("target_id"), F.col("sig").alias("target_sig")
-    )
-    check_sig = signatures.select(
-        F.col("entity_id").alias("check_id"), F.col("sig").alias("check_sig")
-    )
-    first = signatures.select(F.size("sig")).head()
-    row_bytes = 4 * first[0] + 64 if first else 64
-    # One target may have most of the candidates, so its key is split unless all target
-    # signatures fit the broadcast limit.
-    both = skew_join(
-        candidates.join(check_sig, "check_id"),
-        target_sig,
-        ["target_id"],
-        broadcast_rows=BROADCAST_BYTES // row_bytes,
-        count_on=candidates,
-    )
+    """(target_id, check_id, similarity) of every candidate pair."""
+    pairs = candidate_pairs(signatures, targets, bands)
     score = ESTIMATES[estimate](F.col("target_sig"), F.col("check_sig"))
-    return both.select("target_id", "check_id", score.alias("similarity"))
+    return pairs.select("target_id", "check_id", score.alias("similarity"))
 
 
 def similar_entities(
@@ -223,10 +230,9 @@ def similar_entities(
     """Pairs of a target and another entity whose similarity lies above the cut.
 
     All qualifying candidates are kept; ``one_per_target`` keeps the best of each.
-    ``signatures`` needs band_keys and should be a written table: it is read three times.
+    ``signatures`` needs band_keys and should be a written table: it is read twice.
     """
-    candidates = lsh_candidates(signatures, targets, bands)
-    scored = candidate_similarity(signatures, candidates, estimate)
+    scored = candidate_similarity(signatures, targets, bands, estimate)
     similar = scored.where(F.col("similarity") > min_similarity)
     if not one_per_target:
         return similar

@@ -380,9 +380,7 @@ def lsh_candidates(spark, d):
 
 @query
 def signature_jaccard(spark, d):
-    signatures = _signatures(spark, d)
-    candidates = sim.lsh_candidates(signatures, _targets(spark, d), BANDS)
-    both = sim.candidate_similarity(signatures, candidates)
+    both = sim.candidate_similarity(_signatures(spark, d), _targets(spark, d), BANDS)
     return both.select("target_id", "check_id", _rounded("similarity"))
 
 

@@ -28,7 +28,7 @@ def truncate(spark: SparkSession, source: str, target: str, hour_limit: float) -
 
 
 def signature_table(shingles: DataFrame, num_hashes: int, bands: int, **options) -> DataFrame:
-    """Signatures with band keys, written once: the similarity job reads them three times."""
+    """Signatures with band keys, written once: targets and others both read them."""
     signatures = sim.minhash_signatures(shingles, num_hashes, bands, **options)
     return written_table(sim.with_band_keys(signatures, num_hashes, bands), "signatures")
 
