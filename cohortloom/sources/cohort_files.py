@@ -88,7 +88,15 @@ def recording_columns(index_text: DataFrame, sep: str = "\t") -> DataFrame:
 
 
 def write_entity_text(entity_text: DataFrame, root: str) -> None:
-    entity_text.select("entity_id", "text").write.partitionBy("entity_id").text(root)
+    """One text file per entity, written by every core."""
+    rows = entity_text.select("entity_id", "text")
+    _by_entity(rows).write.partitionBy("entity_id").text(root)
+
+
+def _by_entity(rows: DataFrame) -> DataFrame:
+    """A fixed number of partitions: small files cost time, not bytes, to write."""
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(tasks, "entity_id")
 
 
 def write_recording_index(index: DataFrame, root: str) -> None:
@@ -98,7 +106,7 @@ def write_recording_index(index: DataFrame, root: str) -> None:
     """
     cells = [F.col(c).cast("string").alias(name) for c, name in INDEX_COLUMNS.items()]
     (
-        index.repartition("entity_id")
+        _by_entity(index)
         .sortWithinPartitions("entity_id", "seq")
         .select("entity_id", *cells)
         .write.partitionBy("entity_id")
