@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -27,11 +28,13 @@ _local_scratch: dict[str, str] = {}
 def scratch_path(spark: SparkSession, label: str) -> str:
     """Fresh folder under the shared ``spark.checkpoint.dir``.
 
-    Only a local master may go without that setting; it then gets a temporary folder.
+    Only a session that runs in one process may go without that setting; it then gets a
+    temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        # "local-cluster[...]" has executors of its own, which need the shared folder.
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         app = spark.sparkContext.applicationId
         if app not in _local_scratch:

@@ -3,8 +3,9 @@
 import __spark_entry__ as entry_points
 import parity
 import pytest
+from cohortloom.plans import catalog, oracle
 
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracle.oracle_sql()
 TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
