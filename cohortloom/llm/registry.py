@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, jump_hash
+from cohortloom.llm import bpe, cross_parse, jump_hash, license_index
 from cohortloom.llm.shared import documents
 
 SHARDS = 8
@@ -23,8 +24,23 @@ def op3_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_hash.shard_documents(documents(spark, sf_dir, "doc_id", "text"), SHARDS)
 
 
+def op5_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases, labels and score of every document."""
+    return license_index.scan_licenses(documents(spark, sf_dir, "doc_id", "text")).drop("spans")
+
+
+def op7_cross_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from the rows that aren't held out."""
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    model = cross_parse.Model(cross_parse.training_texts(docs, "text", "lang", "doc_id"))
+    return cross_parse.predict(docs, model).select(
+        "doc_id", cross_parse.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_byte_bpe, op3_jump_sharding)}
+    found = (op1_byte_bpe, op3_jump_sharding, op5_license_index, op7_cross_parse)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
