@@ -16,6 +16,8 @@ TRAIN_ROWS = 64
 TRAIN_BYTES = 1 << 14
 #: Bytes of a text that are parsed in step with others; a phrase ends where its block ends.
 BLOCK = 512
+#: Bytes that are parsed at once; a multiple of the block.
+STEP_BYTES = 1 << 20
 UNDETERMINED = "und"
 
 
@@ -88,6 +90,22 @@ class Model:
 
     def phrases(self, texts: list[bytes]) -> np.ndarray:
         """Phrases of every text (rows) in every language (columns)."""
+        out = np.zeros((len(texts), len(self.tables)), dtype=np.int64)
+        held: list[tuple[int, bytes]] = []
+        room = STEP_BYTES
+        for i, text in enumerate(texts):
+            for at in range(0, len(text), STEP_BYTES):
+                part = text[at : at + STEP_BYTES]
+                if len(part) > room and held:
+                    np.add.at(out, [i for i, _ in held], self._parsed([t for _, t in held]))
+                    held, room = [], STEP_BYTES
+                held.append((i, part))
+                room -= len(part)
+        if held:
+            np.add.at(out, [i for i, _ in held], self._parsed([t for _, t in held]))
+        return out
+
+    def _parsed(self, texts: list[bytes]) -> np.ndarray:
         sizes = np.array([len(t) for t in texts], dtype=np.int64)
         blocks = -(-sizes // BLOCK)
         first = np.concatenate([[0], np.cumsum(blocks)])

@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, cross_parse, jump_hash, license_index, rabitq, spaced_seeds
+from cohortloom.llm import bpe, cross_parse, jump_hash, license_index, rabitq, spaced_seeds, wavelet
 from cohortloom.llm.shared import documents
 
 SHARDS = 8
+#: Id that ends each document in the token files.
+END_ID = 2
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +45,13 @@ def op7_cross_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, size and checksum of every document's ids, read back from the token files."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        definition = file.read()
+    return wavelet.round_trip(documents(spark, sf_dir, "doc_id", "text"), definition, END_ID)
+
+
 def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that stand in documents."""
     docs = documents(spark, sf_dir, "doc_id", "text")
@@ -57,6 +66,7 @@ def queries() -> dict:
         op3_jump_sharding,
         op5_license_index,
         op7_cross_parse,
+        op8_wavelet_matrix,
         op10_spaced_seeds,
     )
     return {f.__name__: f for f in found}
