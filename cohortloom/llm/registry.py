@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, cross_parse, jump_hash, license_index, rabitq, spaced_seeds, wavelet
+from cohortloom.llm import block_anchors, bpe, cross_parse, jump_hash, license_index, rabitq, spaced_seeds, wavelet
 from cohortloom.llm.shared import documents
 
 SHARDS = 8
@@ -52,6 +52,12 @@ def op8_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.round_trip(documents(spark, sf_dir, "doc_id", "text"), definition, END_ID)
 
 
+def op9_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated windows of words."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return block_anchors.digests(block_anchors.remove_repeats(docs))
+
+
 def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that stand in documents."""
     docs = documents(spark, sf_dir, "doc_id", "text")
@@ -67,6 +73,7 @@ def queries() -> dict:
         op5_license_index,
         op7_cross_parse,
         op8_wavelet_matrix,
+        op9_block_anchors,
         op10_spaced_seeds,
     )
     return {f.__name__: f for f in found}
