@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import block_anchors, bpe, cross_parse, jump_hash, license_index, rabitq, spaced_seeds, wavelet
+from cohortloom.llm import (
+    block_anchors,
+    bpe,
+    cross_parse,
+    jump_hash,
+    license_index,
+    rabitq,
+    spaced_seeds,
+    suffix_dedup,
+    wavelet,
+)
 from cohortloom.llm.shared import documents
 
 SHARDS = 8
@@ -36,6 +46,12 @@ def op5_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_index.scan_licenses(documents(spark, sf_dir, "doc_id", "text")).drop("spans")
 
 
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without bytes that stood earlier."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return suffix_dedup.digests(suffix_dedup.remove_duplicates(docs))
+
+
 def op7_cross_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from the rows that aren't held out."""
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
@@ -71,6 +87,7 @@ def queries() -> dict:
         op2_rotated_codes,
         op3_jump_sharding,
         op5_license_index,
+        op6_suffix_array,
         op7_cross_parse,
         op8_wavelet_matrix,
         op9_block_anchors,
