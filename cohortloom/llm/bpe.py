@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -126,10 +127,12 @@ def _coded(df, ranks, pattern, kept, cell, out, function) -> DataFrame:
     return map_arrow(source, run, ", ".join(filter(None, (fields, f"`{out}` binary"))))
 
 
-def round_trip(df: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """Per document its ids and the bytes decoded from them (doc_id, ids, decoded)."""
-    coded = encode(df.select("doc_id", "text"), ranks, pattern)
-    again = coded.select("doc_id", "ids", F.col("ids").alias("decoded"))
+def round_trip(
+    df: DataFrame, ranks: dict[bytes, int], pattern: str, keys: Sequence[str] = ("doc_id",)
+) -> DataFrame:
+    """Per document the key columns, its ids, and the bytes decoded from them."""
+    coded = encode(df.select(*keys, "text"), ranks, pattern)
+    again = coded.select(*keys, "ids", F.col("ids").alias("decoded"))
     return decode(again, ranks, pattern, "decoded", "decoded")
 
 

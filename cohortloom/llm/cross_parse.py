@@ -166,27 +166,29 @@ def prepared(text: str) -> bytes:
     return text.lower().encode()
 
 
-def predict(
-    df: DataFrame, model: Model, text: str = "text", key: str = "doc_id", also: tuple[str, ...] = ()
+def with_language(
+    df: DataFrame, model: Model, text: str = "text", pred: str = "lang_pred", score: str = "score"
 ) -> DataFrame:
-    """Language of every whole text (key, lang_pred, score, and the columns in ``also``).
+    """All columns, and the language of every whole text with its score.
 
     The language whose automaton spells the text with the fewest normalised phrases wins, ties
     go to the first name. ``score`` is the lead over the second, from 0 to 1 (1 if only one
     language was learned). A text that is null or has no letter is 'und' with score 0, and so
-    is every text if nothing was learned. Rows don't move and each gives one row.
+    is every text if nothing was learned. Rows don't move and each gives one row. Columns that
+    are already named ``pred`` or ``score`` give way.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in also if c != key]
+    kept = [c for c in df.columns if c not in (pred, score)]
+    inner = [f"c{i}" for i in range(len(kept))]
 
     def run(batches):
         import regex
 
         letter, model = regex.compile(r"\p{L}"), shared.value
         for batch in batches:
-            cells = batch["__text"].to_pylist()
+            cells = batch["text"].to_pylist()
             known = [i for i, t in enumerate(cells) if letter.search(t)] if model.languages else []
-            language, score = [UNDETERMINED] * len(cells), [0.0] * len(cells)
+            language, lead = [UNDETERMINED] * len(cells), [0.0] * len(cells)
             if known:
                 rates = model.rates([prepared(cells[i]) for i in known])
                 order = np.argsort(rates, axis=1, kind="stable")
@@ -194,11 +196,20 @@ def predict(
                     best = rates[row, order[row, 0]]
                     second = rates[row, order[row, 1]] if rates.shape[1] > 1 else math.inf
                     language[i] = model.languages[order[row, 0]]
-                    score[i] = float(1 - best / second)
-            columns = [batch[c] for c in ("key", *kept)]
-            columns += [pa.array(language, pa.string()), pa.array(score, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[key, *kept, "lang_pred", "score"])
-
-    source = df.select(F.col(key).alias("key"), *kept, filled(text).alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(key, *kept).schema)
-    return map_arrow(source, run, f"{fields}, lang_pred string, score double")
+                    lead[i] = float(1 - best / second)
+            columns = [batch[c] for c in inner]
+            columns += [pa.array(language, pa.string()), pa.array(lead, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*inner, "pred", "score"])
+
+    source = df.select(
+        *(F.col(f"`{c}`").alias(i) for c, i in zip(kept, inner)), filled(text).alias("text")
+    )
+    fields = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in source.schema[: len(kept)])
+    found = map_arrow(source, run, f"{fields}pred string, score double")
+    return found.toDF(*kept, pred, score)
+
+
+def predict(df: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """Language of every whole text (key, lang_pred, score), as ``with_language`` finds it."""
+    source = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    return with_language(source, model).select(F.col("key").alias(key), "lang_pred", "score")

@@ -11,7 +11,7 @@ texts stay where they are.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm.shared import arrow_rows, filled, map_arrow, scratch_path
 
-PACK_SCHEMA = "pack long, keys array<long>, sizes array<int>, text binary"
+PACK_SCHEMA = "pack long, keys array<long>, sizes array<int>, more array<string>, text binary"
 #: Least bytes of text in a pack, and what it grows by with the square root of all bytes, so
 #: that neither packs nor the parts they send become too many.
 PACK_BYTES, PACK_GROWTH = 4 << 20, 25
@@ -31,38 +31,46 @@ PART_ENTRIES = 4_000_000
 
 def write_packs(
     df: DataFrame, text: str = "text", key: str = "doc_id", ordered: bool = False,
-    pack_bytes: int | None = None,
+    pack_bytes: int | None = None, carried: Sequence[str] = (),
 ) -> tuple[DataFrame, int]:
     """Pack all rows into a table in the shared scratch folder; also returns the bytes of text.
 
     With ``ordered``, the packs' numbers follow the keys, null keys first. Null texts are empty.
+    ``carried`` names columns that go along as JSON, in ``more``.
     """
-    rows = df.select(F.col(key).cast("long").alias("key"), filled(text).alias("text"))
+    more = F.to_json(F.struct(*carried)) if carried else F.lit(None).cast("string")
+    rows = df.select(
+        F.col(key).cast("long").alias("key"), more.alias("more"), filled(text).alias("text")
+    )
     total = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     size = pack_bytes or max(PACK_BYTES, PACK_GROWTH * math.isqrt(total))
     if ordered:
         order = F.col("key").asc_nulls_first(), F.xxhash64("text")
         ranges = max(1, math.ceil(total / (8 * size)))
         rows = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order, "text")
-    placed = rows.select(F.spark_partition_id().alias("place"), "key", "text")
+    placed = rows.select(F.spark_partition_id().alias("place"), "key", "more", "text")
 
     def gather(batches):
         cells = {"pack": pa.int64(), "keys": pa.list_(pa.int64()), "sizes": pa.list_(pa.int32()),
-                 "text": pa.binary()}
+                 "more": pa.list_(pa.string()), "text": pa.binary()}
 
         def packed():
-            keys, texts, held, number, place = [], [], 0, 0, 0
+            docs, held, number, place = [], 0, 0, 0
+
+            def pack():
+                keys, more, texts = map(list, zip(*docs))
+                return place << 32 | number, keys, [*map(len, texts)], more, b"".join(texts)
+
             for batch in batches:
-                for place, key, text in zip(*(c.to_pylist() for c in batch.columns)):
+                for place, key, more, text in zip(*(c.to_pylist() for c in batch.columns)):
                     data = text.encode()
                     if held and held + len(data) > size:
-                        yield place << 32 | number, keys, [*map(len, texts)], b"".join(texts)
-                        keys, texts, held, number = [], [], 0, number + 1
-                    keys.append(key)
-                    texts.append(data)
+                        yield pack()
+                        docs, held, number = [], 0, number + 1
+                    docs.append((key, more, data))
                     held += len(data) + 16
-            if keys:
-                yield place << 32 | number, keys, [*map(len, texts)], b"".join(texts)
+            if docs:
+                yield pack()
 
         yield from arrow_rows(cells, packed(), 1)
 
@@ -90,9 +98,7 @@ def parts_for(entries: int) -> int:
     return 1 << max(0, math.ceil(math.log2(max(1, entries / PART_ENTRIES))))
 
 
-def exchange(
-    packs: DataFrame, send: Callable, answer: Callable, parts: int, extra: str = "packs"
-) -> DataFrame:
+def exchange(packs: DataFrame, send: Callable, answer: Callable, parts: int) -> DataFrame:
     """Ask all packs' parts a question and return the answers, a row for each pack.
 
     ``send`` turns a pack's row (a dict) into sorted distinct 64-bit fingerprints and a tuple of

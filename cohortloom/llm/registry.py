@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.llm import (
+    bagminhash,
     block_anchors,
     bpe,
     cross_parse,
@@ -41,6 +42,12 @@ def op3_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_hash.shard_documents(documents(spark, sf_dir, "doc_id", "text"), SHARDS)
 
 
+def op4_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-copy class of every document."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return bagminhash.classes(docs).select("doc_id", "class_id", "n_shingles")
+
+
 def op5_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases, labels and score of every document."""
     return license_index.scan_licenses(documents(spark, sf_dir, "doc_id", "text")).drop("spans")
@@ -86,6 +93,7 @@ def queries() -> dict:
         op1_byte_bpe,
         op2_rotated_codes,
         op3_jump_sharding,
+        op4_bagminhash,
         op5_license_index,
         op6_suffix_array,
         op7_cross_parse,

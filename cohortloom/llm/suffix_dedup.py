@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -337,14 +338,16 @@ def _later_in(frame: pd.DataFrame, length: int):
 
 
 def remove_duplicates(
-    df: DataFrame, length: int = LENGTH, mark: int = MARK, text: str = "text", key: str = "doc_id"
-) -> DataFrame:
+    df: DataFrame, length: int = LENGTH, mark: int = MARK, text: str = "text", key: str = "doc_id",
+    carried: Sequence[str] = (),
+) -> DataFrame:
     """Remove bytes that a string seen earlier covers (key, n_bytes, n_removed, n_spans, kept).
 
     A byte of a text's UTF-8 goes if a string of ``length`` bytes that covers it also starts
     earlier: in a row of smaller key (null keys first), or earlier in the same text. Rows of one
     key stand in a fixed order. Strings never cross texts and are judged on the input. ``kept``
-    holds the bytes left, which may break a character; ``n_spans`` counts removed runs.
+    holds the bytes left, which may break a character; ``n_spans`` counts removed runs. Columns
+    named in ``carried`` are returned as JSON in ``more``.
 
     Sorting all suffixes would move the text many times. So strings are first told apart by the
     least hash of the ``mark``-byte runs in them: a string whose mark is nowhere else can't be
@@ -352,7 +355,7 @@ def remove_duplicates(
     whose mark also stands in other bytes are left to the suffix arrays; stretches with the same
     mark meet in one array, which is built by the difference cover.
     """
-    packs, total = pk.write_packs(df, text, key)
+    packs, total = pk.write_packs(df, text, key, carried=carried)
     parts = pk.parts_for(2 * total // (length - mark + 2))
     asked = _Questions(length, mark, parts)
     marks = pk.exchange(packs, asked.send_marks, asked.many_marks, parts)
@@ -396,23 +399,24 @@ def remove_duplicates(
                 removed = np.cumsum(marks[:-1]) > 0
                 raw = np.frombuffer(marked.data, np.uint8)
                 end = 0
-                for doc_key, size in zip(row["keys"], row["sizes"].tolist()):
+                for doc_key, size, more in zip(row["keys"], row["sizes"].tolist(), row["more"]):
                     own = removed[end : end + size]
                     left = raw[end : end + size][~own].tobytes()
                     spans = int(own[:1].sum() + (own[1:] & ~own[:-1]).sum())
-                    yield doc_key, size, size - len(left), spans, left
+                    yield doc_key, size, size - len(left), spans, more, left
                     end += size
 
         cells = {"key": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(),
-                 "n_spans": pa.int64(), "kept": pa.binary()}
+                 "n_spans": pa.int64(), "more": pa.string(), "kept": pa.binary()}
         yield from arrow_rows(cells, rows())
 
     found = map_arrow(
         pk.with_answers(packs, marks, kinds, later, runs),
         cut,
-        "key long, n_bytes long, n_removed long, n_spans long, kept binary",
+        "key long, n_bytes long, n_removed long, n_spans long, more string, kept binary",
     )
-    return found.withColumnRenamed("key", key)
+    found = found.withColumnRenamed("key", key)
+    return found if carried else found.drop("more")
 
 
 def digests(kept: DataFrame, key: str = "doc_id") -> DataFrame:
