@@ -42,9 +42,12 @@ def feature_matrix(
     """entity_id and the feature columns as DOUBLE; what is missing is NULL.
 
     ``samples`` is long: entity_id, record_id, channel, idx, value, sampling_frequency.
-    Statistics come from all recordings, band power and quality from the latest one.
+    Statistics come from all recordings that the index lists, band power and quality from
+    the latest one.
     """
-    known = samples.where(F.col("channel").isin(*channels))
+    record = ["entity_id", "record_id"]
+    listed = index.where(F.col("record_id").isNotNull()).select(*record).distinct()
+    known = samples.where(F.col("channel").isin(*channels)).join(listed, record, "left_semi")
     latest = recordings.latest_recording(index)
     keys = ["entity_id", "channel"]
     stats = signals.channel_stats(known)

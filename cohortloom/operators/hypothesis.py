@@ -18,6 +18,8 @@ from cohortloom.operators.scale import ROWS_PER_TASK, running_total, skew_join
 ZONE_SIGMAS = 10.0
 # Significance level of every decision.
 ALPHA = 0.05
+# Decimal places that values are rounded to, so that sums and comparisons are exact.
+DECIMALS = 9
 # Exact whole numbers wider than a BIGINT.
 _WIDE = "decimal(38,0)"
 
@@ -35,7 +37,7 @@ def _pool(pairs: DataFrame, scale: int) -> DataFrame:
         return pairs.where(F.col(column).isNotNull()).select(
             F.concat(F.lit(prefix), F.col("entity_id").cast("string")).alias("row_id"),
             F.lit(is_x).alias("is_x"),
-            (F.col(column).cast("double") * scale).alias("scaled"),
+            F.rint(F.col(column).cast("double") * scale).alias("scaled"),
         )
 
     both = side("actual", "a", True).unionByName(side("predicted", "p", False))
@@ -43,7 +45,7 @@ def _pool(pairs: DataFrame, scale: int) -> DataFrame:
 
 
 def permutation_test(
-    pairs: DataFrame, permutations: int = 1000, seed: str = "42", scale: int = 1
+    pairs: DataFrame, permutations: int = 1000, seed: str = "42", scale: int = 10**DECIMALS
 ) -> DataFrame:
     """Share of random splits whose mean difference exceeds the observed one, strictly.
 
@@ -51,8 +53,9 @@ def permutation_test(
     first sample. That cut lies near the share n_x/n of the hash range: hashes well
     below it are only summed, those well above are dropped, and just the few around it
     (about sqrt(n) per permutation) are ranked. Work spreads over rows and
-    permutations alike. Values times ``scale`` must be whole, which keeps the
-    comparison exact.
+    permutations alike. Values may be any doubles: they are taken as fixed-point numbers,
+    rounded to DECIMALS places (to multiples of 1 / ``scale``), which keeps sums and the
+    comparison exact. Either column may lack values; each keeps all it has.
     """
     pool = _pool(pairs, scale)
     size = pool.agg(
@@ -60,11 +63,8 @@ def permutation_test(
         F.count_if(~F.col("is_x")).alias("n_y"),
         F.sum(F.when(F.col("is_x"), F.col("scaled").cast(_WIDE))).alias("s_x"),
         F.sum(F.when(~F.col("is_x"), F.col("scaled").cast(_WIDE))).alias("s_y"),
-        F.count_if(F.col("scaled") != F.rint("scaled")).alias("fractions"),
     ).head()
     n_x, n_y = size.n_x, size.n_y
-    if size.fractions:
-        raise ValueError(f"{size.fractions} values times {scale} are not whole numbers")
     if not n_x or not n_y:
         raise ValueError("both samples need at least one value")
     n, total = n_x + n_y, int(size.s_x) + int(size.s_y)
@@ -80,7 +80,9 @@ def permutation_test(
 
     spark = pairs.sparkSession
     tasks = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        spark.sparkContext.defaultParallelism,
+        math.ceil(n * permutations / ROWS_PER_TASK),
     )
     permuted = (
         pool.select("row_id", F.col("scaled").cast("long").alias("value"))
@@ -205,7 +207,11 @@ def decision(p_value: Column, alpha: float = ALPHA) -> Column:
 
 
 def test_decisions(pairs: DataFrame, permutations: int = 1000, seed: str = "42") -> DataFrame:
-    """test, statistic, p_value, decision of all tests on the same pairs."""
+    """test, statistic, p_value, decision of all tests on the same pairs.
+
+    The permutation and Wald tests use all values of each column, paired or not; the signed
+    ranks use the entities that have both.
+    """
     results = {
         "permutation": permutation_test(pairs, permutations, seed),
         "wald": wald_test(pairs),

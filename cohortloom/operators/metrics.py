@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def pair_labels(actual: DataFrame, predicted: DataFrame) -> DataFrame:
-    """Actual and predicted values joined by entity; both present."""
+def pair_labels(actual: DataFrame, predicted: DataFrame, how: str = "inner") -> DataFrame:
+    """Actual and predicted values joined by entity; both present, or with "full" either."""
     return actual.select("entity_id", F.col("label").alias("actual")).join(
-        predicted.select("entity_id", F.col("label").alias("predicted")), "entity_id"
+        predicted.select("entity_id", F.col("label").alias("predicted")), "entity_id", how
     )
 
 

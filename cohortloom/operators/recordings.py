@@ -92,7 +92,7 @@ def assemble_entities(entity_text: DataFrame, index: DataFrame, samples: DataFra
         .unionByName(index.where(~named).select("*", *empty))
         .select("entity_id", "seq", "record_id", "n_channels", "n_samples")
     )
-    with_slots = skew_join(slots, entity_text, ["entity_id"], broadcast_rows=0, count_on=index)
+    with_slots = slots.join(entity_text, "entity_id")
     without = entity_text.join(index.select("entity_id").distinct(), "entity_id", "left_anti")
     return with_slots.unionByName(without, allowMissingColumns=True)
 
@@ -111,7 +111,8 @@ def truncate_cohort(
     kept = truncate_by_hour(index, hour_limit)
     keys = ["entity_id", "record_id"]
     named = kept.where(F.col("record_id").isNotNull()).select(*keys).distinct()
-    return entity_text, kept, skew_join(samples, named, keys, "left_semi")
+    # Adaptive execution broadcasts a small side and splits hot recordings, without counting.
+    return entity_text, kept, samples.join(named, keys, "left_semi")
 
 
 def select_channels(

@@ -9,18 +9,13 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 # Rows one task may sort or one key may hold before the work is split.
 ROWS_PER_TASK = 10_000_000
-# A key outside the 10,000 most frequent holds less than a ten-thousandth of the rows.
-HOT_KEY_LIMIT = 10_000
 # Narrow rows (keys and a few numbers) that may be sent to every executor.
 BROADCAST_ROWS = 200_000
-# Number of order buckets; bounds the boundary list the driver sees.
-MAX_BUCKETS = 8192
 
 _local_scratch: dict[str, str] = {}
 
@@ -84,23 +79,22 @@ def _sum_before(value: Column, keys: list[str], order: list[str]) -> Column:
     return F.coalesce(F.sum(value).over(earlier), F.lit(0)).cast("long")
 
 
-def _frequent_keys(counted: DataFrame, keys: list[str], rows: int) -> list[Row]:
-    """The keys above ``rows`` with their n_rows, biggest first, at most HOT_KEY_LIMIT."""
-    known = counted.where(F.col("n_rows") > rows).dropna(subset=keys)
-    return known.orderBy(F.desc("n_rows")).limit(HOT_KEY_LIMIT).collect()
+def _frequent_keys(df: DataFrame, keys: list[str], rows: int) -> tuple[DataFrame, int]:
+    """The keys of more than ``rows`` rows with the pieces each is cut into, and all their rows.
 
+    There are no more of them than the table has pieces of that size; they are written once.
+    """
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    known = counted.where(F.col("n_rows") > rows).dropna(subset=keys)
+    parts = F.ceil(F.col("n_rows") / rows).cast("int").alias("parts")
+    hot = written_table(known.select(*keys, "n_rows", parts), "hot-keys")
+    return hot.select(*keys, "parts"), hot.agg(F.sum("n_rows")).head()[0] or 0
 
-def _mark_parts(
-    df: DataFrame, hot: list[Row], keys: list[str], schema: StructType, rows: int
-) -> DataFrame:
-    """Add ``parts``: pieces of ``rows`` rows a hot key is cut into, 1 for other keys.
 
-    The list of hot keys is short enough for a broadcast.
-    """
-    parts = [(*[r[k] for k in keys], math.ceil(r["n_rows"] / rows)) for r in hot]
-    schema = StructType([*schema.fields, StructField("parts", IntegerType())])
-    marks = F.broadcast(df.sparkSession.createDataFrame(parts, schema))
-    return df.join(marks, keys, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+def _mark_parts(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """Add ``parts``: pieces a hot key is cut into, 1 for other keys."""
+    marked = df.join(maybe_broadcast(hot), keys, "left")
+    return marked.withColumn("parts", F.coalesce("parts", F.lit(1)))
 
 
 def running_total(
@@ -121,28 +115,24 @@ def running_total(
     """
     keys, order, value = list(keys), list(order), value.cast("long")
     if keys:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-        hot = _frequent_keys(counts, keys, rows_per_task)
-        if not hot:
+        hot, split_rows = _frequent_keys(df, keys, rows_per_task)
+        if not split_rows:
             return df.withColumn(out, _sum_before(value, keys, order))
-        largest = hot[0]["n_rows"]
-        if len(hot) < HOT_KEY_LIMIT:
-            marked = _mark_parts(df, hot, keys, counts.select(*keys).schema, rows_per_task)
-        else:
-            marked = df.withColumn("parts", F.lit(2))
+        marked = _mark_parts(df, hot, keys)
     else:
-        largest = df.count()
+        split_rows = df.count()
         marked = df.withColumn("parts", F.lit(2))
     is_hot = F.col("parts") > 1
 
-    buckets = min(MAX_BUCKETS, max(2, math.ceil(largest / rows_per_task)))
+    # The bounds cut the rows of all hot keys together, wherever in the order each key lies.
+    buckets = max(2, math.ceil(split_rows / rows_per_task))
     bounds = order_bounds(marked.where(is_hot), order[0], buckets)
     split = Bucketizer(splits=bounds, inputCol="position", outputCol="bucket").transform(
         marked.withColumn("position", _position(df, order[0]))
     )
     split = split.withColumn("bucket", F.when(is_hot, F.col("bucket")).otherwise(-1.0))
     totals = split.where(is_hot).groupBy(*keys, "bucket").agg(F.sum(value).alias("total"))
-    # At most MAX_BUCKETS rows per key reach this window.
+    # A row per bucket and key reaches this window.
     starts = totals.select(
         *keys, "bucket", _sum_before(F.col("total"), keys, ["bucket"]).alias("start")
     )
@@ -171,24 +161,19 @@ def skew_join(
     A small side of at most ``broadcast_rows`` rows, counted first, is broadcast and
     ``big`` does not move; pass 0 where its rows are wide. Otherwise the most frequent
     keys are counted, on ``count_on`` where a cheaper table has the same frequencies. The
-    keys above ``hot_rows`` are at most HOT_KEY_LIMIT: each gets a salt per ``hot_rows``
-    of its rows, and its row of ``small`` is repeated for every salt, which adds no more
+    keys above ``hot_rows`` each get a salt per ``hot_rows`` of their rows, and their row of ``small`` is repeated for every salt, which adds no more
     rows than ``big`` has pieces. All other rows have salt 0: it stays one equi-join.
     """
     on = list(on)
     if broadcast_rows and small.limit(broadcast_rows + 1).count() <= broadcast_rows:
         return big.join(F.broadcast(small), on, how)
-    counted = (count_on if count_on is not None else big).groupBy(*on).agg(
-        F.count(F.lit(1)).alias("n_rows")
-    )
-    hot = _frequent_keys(counted, on, hot_rows)
-    if not hot:
+    hot, split_rows = _frequent_keys(count_on if count_on is not None else big, on, hot_rows)
+    if not split_rows:
         return big.join(small, on, how)
-    schema = counted.select(*on).schema
     others = [c for c in big.columns if c not in on] or on
     salt = F.pmod(F.xxhash64(*others), F.col("parts")).cast("int")
-    salted = _mark_parts(big, hot, on, schema, hot_rows).withColumn("salt", salt)
-    repeated = _mark_parts(small, hot, on, schema, hot_rows).withColumn(
+    salted = _mark_parts(big, hot, on).withColumn("salt", salt)
+    repeated = _mark_parts(small, hot, on).withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     )
     joined = salted.drop("parts").join(repeated.drop("parts"), [*on, "salt"], how)

@@ -514,13 +514,28 @@ def wilcoxon_normal(spark, d):
 @query
 def test_decisions(spark, d):
     actual, predicted = _label_side(spark, d, "actual"), _label_side(spark, d, "predicted")
-    result = jobs.compare_predictions(actual, predicted, permutations=200, seed=SEED)
+    result = jobs.compare_predictions(actual, predicted, permutations=1000, seed=SEED)
     return result.select("test", _rounded("statistic"), _rounded("p_value"), "decision")
 
 
 test_decisions.__test__ = False
 
 
+@query
+def compare_unpaired(spark, d):
+    """Fractional values of two label maps that share part of their entities."""
+    events = views.table(spark, d, "events")
+    actual = events.where("event_id % 3 <> 0").select(
+        F.col("event_id").alias("entity_id"), (F.floor(F.col("value") * 8) / 8).alias("label")
+    )
+    predicted = events.where("event_id % 3 <> 1").select(
+        F.col("event_id").alias("entity_id"),
+        (F.floor(F.col("value") * 8) / 8 + (F.col("event_id") % 5 - 2) / 4).alias("label"),
+    )
+    result = jobs.compare_predictions(actual, predicted, permutations=20, seed=SEED)
+    return result.select("test", _rounded("statistic", 4), _rounded("p_value"), "decision")
+
+
 # Features and models
 
 
@@ -592,5 +607,5 @@ def score_cohort(spark, d):
 @query
 def train_and_evaluate(spark, d):
     return jobs.train_and_evaluate(
-        *_cohort(spark, d), channels=CHANNELS, n_fft=views.USER_N_FFT, kinds=("logistic", "linear")
+        *_cohort(spark, d), channels=CHANNELS, n_fft=views.USER_N_FFT
     )

@@ -105,6 +105,9 @@ def train_and_evaluate(
 
 
 def compare_predictions(actual: DataFrame, predicted: DataFrame, **options) -> DataFrame:
-    """All tests on two label maps (entity_id, label), paired by entity."""
-    pairs = written_table(metrics.pair_labels(actual, predicted), "pairs")
+    """All tests on two label maps (entity_id, label), paired by entity.
+
+    Entities that only one map has count in the tests on unpaired samples.
+    """
+    pairs = written_table(metrics.pair_labels(actual, predicted, "full"), "pairs")
     return hypothesis.test_decisions(pairs, **options)

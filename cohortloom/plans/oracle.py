@@ -253,9 +253,9 @@ def _band_columns(digits: int = 6) -> str:
 
 def _permutation(cte: str, permutations: int) -> str:
     return f"""{cte},
-pool AS (SELECT 'a' || entity_id AS row_id, true AS is_x, CAST(actual AS BIGINT) AS val FROM pairs
+pool AS (SELECT 'a' || entity_id AS row_id, true AS is_x, CAST(round(actual * 1000000000) AS HUGEINT) AS val FROM pairs
   WHERE actual IS NOT NULL UNION ALL
-  SELECT 'p' || entity_id, false, CAST(predicted AS BIGINT) FROM pairs WHERE predicted IS NOT NULL),
+  SELECT 'p' || entity_id, false, CAST(round(predicted * 1000000000) AS HUGEINT) FROM pairs WHERE predicted IS NOT NULL),
 size AS (SELECT count(*) FILTER (is_x) AS n_x, count(*) FILTER (NOT is_x) AS n_y,
   sum(val) FILTER (is_x) AS s_x, sum(val) FILTER (NOT is_x) AS s_y FROM pool),
 shuffled AS (SELECT perm, val, row_number() OVER (PARTITION BY perm
@@ -264,7 +264,7 @@ shuffled AS (SELECT perm, val, row_number() OVER (PARTITION BY perm
 sums AS (SELECT perm, sum(CASE WHEN place <= n_x THEN val ELSE 0 END) AS s1,
   sum(CASE WHEN place > n_x THEN val ELSE 0 END) AS s2 FROM shuffled CROSS JOIN size GROUP BY perm),
 perm_of AS (SELECT any_value(n_x) AS n_x, any_value(n_y) AS n_y,
-  any_value(abs(CAST(s_x AS DOUBLE) / n_x - CAST(s_y AS DOUBLE) / n_y)) AS statistic,
+  any_value(abs(CAST(s_x AS DOUBLE) / n_x - CAST(s_y AS DOUBLE) / n_y)) / 1e9 AS statistic,
   count(*) AS n_permutations,
   count(*) FILTER (abs(s1 * n_y - s2 * n_x) > abs(s_x * n_y - s_y * n_x)) AS n_above
   FROM sums CROSS JOIN size)"""
@@ -303,6 +303,24 @@ normal AS (SELECT n, CAST(t AS DOUBLE) AS statistic, (t - n * (n + 1) / 4.0)
 )
 
 
+def _decisions(cte: str, permutations: int, digits: int) -> str:
+    return f"""WITH {_permutation(cte, permutations)}, {RANKS}, {WALD}, {SIMPLE}, {NORMAL},
+        results AS (SELECT 'permutation' AS test, statistic,
+            CAST(n_above AS DOUBLE) / n_permutations AS p FROM perm_of
+          UNION ALL SELECT 'wald', z, p FROM wald CROSS JOIN wald_p
+          UNION ALL SELECT 'wilcoxon_simple', statistic, p FROM simple_p
+          UNION ALL SELECT 'wilcoxon_normal', statistic, p FROM normal CROSS JOIN normal_p)
+        SELECT test, round(statistic, {digits}) AS statistic, round(p, 6) AS p_value,
+          CASE WHEN p <= 0.05 THEN 'Reject H0' ELSE 'Fail to Reject H0' END AS decision FROM results"""
+
+
+# Eighths and quarters are exact as doubles, and so is every sum of them.
+UNPAIRED = """pairs AS (SELECT entity_id, a.label AS actual, p.label AS predicted FROM
+  (SELECT event_id AS entity_id, floor(value * 8) / 8 AS label FROM events WHERE event_id % 3 <> 0) a
+  FULL JOIN (SELECT event_id AS entity_id, floor(value * 8) / 8 + (event_id % 5 - 2) / 4.0 AS label
+    FROM events WHERE event_id % 3 <> 1) p USING (entity_id))"""
+
+
 def _feature_matrix() -> str:
     psd = _psd(
         USER_SAMPLES + ",\nlast_block AS (SELECT entity_id, max(block) AS block FROM user_sample "
@@ -506,14 +524,8 @@ vec AS (SELECT vec_id AS entity_id, unnest(range(len(embedding))) AS idx,
             round(p, 9) AS p_value FROM simple_p""",
         "wilcoxon_normal": f"""WITH {PAIRS}, {RANKS}, {NORMAL} SELECT n, statistic, round(z, 6) AS z,
             round(p, 6) AS p_value FROM normal CROSS JOIN normal_p""",
-        "test_decisions": f"""WITH {_permutation(LABELS, 200)}, {RANKS}, {WALD}, {SIMPLE}, {NORMAL},
-            results AS (SELECT 'permutation' AS test, statistic,
-                CAST(n_above AS DOUBLE) / n_permutations AS p FROM perm_of
-              UNION ALL SELECT 'wald', z, p FROM wald CROSS JOIN wald_p
-              UNION ALL SELECT 'wilcoxon_simple', statistic, p FROM simple_p
-              UNION ALL SELECT 'wilcoxon_normal', statistic, p FROM normal CROSS JOIN normal_p)
-            SELECT test, round(statistic, 6) AS statistic, round(p, 6) AS p_value,
-              CASE WHEN p <= 0.05 THEN 'Reject H0' ELSE 'Fail to Reject H0' END AS decision FROM results""",
+        "test_decisions": _decisions(LABELS, 1000, 6),
+        "compare_unpaired": _decisions(UNPAIRED, 20, 4),
         "feature_matrix": _feature_matrix(),
         "mean_impute": f"WITH {FIELDS} SELECT entity_id, {imputed} FROM meta_of",
         "linear_score": f"""WITH {FIELDS}, s AS (SELECT entity_id, {logit} + ({c.SCORE_BIAS}) AS x FROM meta_of)

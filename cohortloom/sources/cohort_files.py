@@ -17,12 +17,21 @@ INDEX_COLUMNS = {"hour": "Hour", "time": "Time", "quality": "Quality", "record_i
 _INDEX_TYPES = {"hour": "int", "time": "string", "quality": "float", "record_id": "string"}
 
 
+def _decoded(text: Column) -> Column:
+    """Percent escapes resolved; a plus sign stands for itself."""
+    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
 def _entity_of(path: Column) -> Column:
-    return F.regexp_extract(path, r"(?:entity_id=)?([^/=]+)/[^/]+$", 1)
+    """Entity of a file by its folder's name, which Spark's writers escape after the label."""
+    folder = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
+    label = "entity_id="
+    escaped = F.substring(folder, len(label) + 1, 1 << 20)
+    return F.when(folder.startswith(label), _decoded(escaped)).otherwise(folder)
 
 
 def _whole_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
-    path = F.col("_metadata.file_path")
+    path = _decoded(F.col("_metadata.file_path"))
     return (
         spark.read.text(
             root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}"
@@ -43,7 +52,7 @@ def list_entities(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select(_entity_of(F.col("path")).alias("entity_id"))
     )
-    return files.where(~F.col("entity_id").startswith("_")).distinct().orderBy("entity_id")
+    return files.distinct().orderBy("entity_id")
 
 
 def read_entity_text(spark: SparkSession, root: str) -> DataFrame:
@@ -133,13 +142,19 @@ def read_cohort(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, D
 
 def write_label_map(labels: DataFrame, path: str) -> None:
     """(entity_id, label) as one JSON object per line, so the file stays splittable."""
-    labels.select("entity_id", "label").write.json(path)
+    labels.select("entity_id", "label").write.option("ignoreNullFields", False).json(path)
 
 
 # One "key": value member of a flat JSON object; the value keeps its quotes.
 _MEMBER = r'"((?:[^"\\]|\\.)*)"\s*:\s*("(?:[^"\\]|\\.)*"|[^,{}\[\]\s]+)'
 
 
+def _unquoted(string: Column) -> Column:
+    """A JSON string with its escapes resolved."""
+    one = F.from_json(F.concat(F.lit("["), string, F.lit("]")), "array<string>")
+    return F.get(one, F.lit(0))
+
+
 def numeric_labels(json_text: DataFrame, key: str | None = None, value: str = "value") -> DataFrame:
     """Numeric entries of label maps held in column ``json``.
 
@@ -155,7 +170,7 @@ def numeric_labels(json_text: DataFrame, key: str | None = None, value: str = "v
                     F.regexp_extract_all("json", F.lit(_MEMBER), F.lit(2)).alias("raw"),
                 )
             ).alias("m")
-        ).select(F.col("m.id").alias("entity_id"), F.col("m.raw").alias("raw"))
+        ).select(_unquoted(F.concat(F.lit('"'), "m.id", F.lit('"'))).alias("entity_id"), "m.raw")
     else:
 
         def member(name: str) -> Column:
@@ -163,7 +178,9 @@ def numeric_labels(json_text: DataFrame, key: str | None = None, value: str = "v
             return F.regexp_extract("json", pattern, 1)
 
         members = json_text.select(
-            F.regexp_replace(member(key), '^"|"$', "").alias("entity_id"),
+            F.when(member(key).startswith('"'), _unquoted(member(key)))
+            .otherwise(member(key))
+            .alias("entity_id"),
             member(value).alias("raw"),
         )
     number = tx.parse_number(F.col("raw"))

@@ -64,5 +64,32 @@ def test_label_map_of_one_object(spark, tmp_path):
     )
     got = files.read_label_map(spark, str(tmp_path), layout="object")
     assert rows(got) == sorted(
-        [("a", 1.0), ("d", 1.0), ("e", None), ("f", -2.5), ('g\\"x', 30.0)], key=repr
+        [("a", 1.0), ("d", 1.0), ("e", None), ("f", -2.5), ('g"x', 30.0)], key=repr
     )
+
+
+@pytest.mark.parametrize("written", [True, False])
+def test_odd_entity_names(spark, tmp_path, written):
+    names = ["a b", "x=y", "_u", "p+q", "100%", "é", *(["a:b"] if written else [])]
+    root = tmp_path / "cohort"
+    if written:
+        texts = spark.createDataFrame([(n, "Age: 1") for n in names], "entity_id string, text string")
+        files.write_entity_text(texts, str(root))
+    else:
+        names.remove("_u")
+        for n in names:
+            (root / n).mkdir(parents=True)
+            (root / n / "t.txt").write_text("Age: 1")
+    assert {r.entity_id for r in files.read_entity_text(spark, str(root)).collect()} == set(names)
+    assert {r.entity_id for r in files.list_entities(spark, str(root)).collect()} == set(names)
+
+
+def test_label_map_keys_and_missing_labels(spark, tmp_path):
+    labels = spark.createDataFrame([("é", 1.0), ('a"b', 2.0), ("c", None)], "entity_id string, label double")
+    files.write_label_map(labels, str(tmp_path / "m"))
+    assert rows(files.read_label_map(spark, str(tmp_path / "m"))) == [('a"b', 2.0), ("é", 1.0)]
+    assert spark.read.json(str(tmp_path / "m")).count() == 3
+    (tmp_path / "o").mkdir()
+    (tmp_path / "o" / "one.json").write_text('{"\\u00e9": 1, "a\\"b": 2}')
+    got = files.read_label_map(spark, str(tmp_path / "o"), layout="object")
+    assert rows(got) == [('a"b', 2.0), ("é", 1.0)]

@@ -5,6 +5,7 @@ import random
 import pytest
 from conftest import rows
 from cohortloom.operators import hypothesis as hy
+from cohortloom.plans import jobs
 
 random.seed(5)
 PAIRS = [
@@ -61,11 +62,24 @@ def test_permutation_zone_is_checked(pairs, monkeypatch):
         hy.permutation_test(pairs, 50).collect()
 
 
-def test_permutation_wants_whole_values(spark):
-    df = spark.createDataFrame([(1, 0.25, 0.5), (2, 1.25, 1.0)], "entity_id long, actual double, predicted double")
-    with pytest.raises(ValueError):
-        hy.permutation_test(df, 5)
-    assert hy.permutation_test(df, 5, scale=4).head().statistic == 0.0
+def test_permutation_takes_any_doubles(spark):
+    rng = random.Random(8)
+    data = [(i, rng.gauss(2, 1), rng.gauss(2.1, 1) if i % 3 else None) for i in range(200)]
+    df = spark.createDataFrame(data, "entity_id long, actual double, predicted double")
+    got = hy.permutation_test(df, 120, "3").head()
+    fixed = [(i, round(x * 10**9), None if y is None else round(y * 10**9)) for i, x, y in data]
+    assert got.n_above == brute_permutation(fixed, 120, "3") and 0 < got.p_value < 1
+    assert (got.n_x, got.n_y) == (200, 133)
+    y = [p for _, _, p in data if p is not None]
+    assert got.statistic == pytest.approx(abs(sum(x for _, x, _ in data) / 200 - sum(y) / 133), abs=1e-8)
+
+
+def test_unpaired_values_count_where_they_can(spark):
+    actual = spark.createDataFrame([("a", 1.25), ("b", 2.5), ("c", 3.0), ("d", 4.5)], "entity_id string, label double")
+    predicted = spark.createDataFrame([("b", 2.0), ("c", 3.75), ("d", 4.0), ("e", 9.0)], "entity_id string, label double")
+    found = {r.test: r for r in jobs.compare_predictions(actual, predicted, permutations=10).collect()}
+    assert found["permutation"].statistic == pytest.approx(abs(11.25 / 4 - 18.75 / 4))
+    assert found["wilcoxon_simple"].statistic == 2.0
 
 
 def test_wald(complete):

@@ -108,3 +108,26 @@ def test_concat_positions(spark, samples):
         assert rows(got.where("entity_id = 'a' and channel = 'x'")) == [
             ("a", "x", 0, 7.0), ("a", "x", 1, 1.0), ("a", "x", 2, 2.0),
         ]
+
+
+def test_missing_values_keep_their_place_in_shingles(spark):
+    from cohortloom.operators import signals
+
+    df = spark.createDataFrame(
+        [("e", "r", c, i, v) for i, step in enumerate([(1.0, None, 2.0), (1.0, 2.0, None)]) for c, v in zip("abc", step)],
+        "entity_id string, record_id string, channel string, idx int, value double",
+    )
+    assert rows(signals.signal_shingles(df).select("shingle")) == [("1.0,2.0,nan",), ("1.0,nan,2.0",)]
+
+
+def test_stored_channel_without_header_is_reported(spark):
+    from cohortloom.operators import signals
+
+    samples = spark.createDataFrame([("e", "r", c, 0, 5) for c in "ab"], "entity_id string, record_id string, channel string, idx int, raw long")
+    spec = spark.createDataFrame(
+        [("e", "r", "a", "f", 1, 5, 5)],
+        "entity_id string, record_id string, channel string, signal_file string, num_samples long, initial_value long, checksum long",
+    )
+    report = {r.channel: r for r in signals.signal_quality_report(samples, spec).collect()}
+    assert report["a"].shape_ok and report["a"].checksum_ok
+    assert report["b"].one_file_ok and not report["b"].shape_ok and not report["b"].checksum_ok

@@ -43,11 +43,19 @@ def test_running_total_one_value(spark):
     assert [r.t for r in out.orderBy("id").collect()] == list(range(40))
 
 
-def test_running_total_with_too_many_hot_keys(skewed, monkeypatch):
-    expected = rows(scale.running_total(skewed, F.lit(1), "t", ["k"], ["a", "b"]))
-    monkeypatch.setattr(scale, "HOT_KEY_LIMIT", 3)
-    split = scale.running_total(skewed, F.lit(1), "t", ["k"], ["a", "b"], rows_per_task=7)
-    assert rows(split) == expected
+def test_running_total_of_hot_keys_in_separate_ranges(spark, monkeypatch):
+    """Every key lies in a range of its own; no (key, bucket) is much larger than asked."""
+    apart = spark.range(4000).select(
+        F.floor(F.col("id") / 400).alias("k"), F.floor(F.col("id") / 2).alias("a"), F.col("id").alias("b")
+    )
+    bounds = []
+    plain = scale.order_bounds
+    monkeypatch.setattr(scale, "order_bounds", lambda *a: bounds.append(plain(*a)) or bounds[-1])
+    split = scale.running_total(apart, F.lit(1), "t", ["k"], ["a", "b"], rows_per_task=100)
+    assert [r.t for r in split.orderBy("b").collect()] == [i % 400 for i in range(4000)]
+    edges = bounds[0][1:-1]
+    placed = apart.groupBy("k", sum((F.col("a") >= e).cast("int") for e in edges)).count()
+    assert placed.agg(F.max("count")).head()[0] <= 200
 
 
 def test_running_total_of_nothing(spark):
