@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import scoring
 from cohortloom.operators.features import mean_imputer, usable_features
+from cohortloom.operators.scale import written_table
 
 # Hidden layer sizes of the outcome network and rounds of training.
 HIDDEN_LAYERS = (128, 64, 32, 16)
 MAX_ITERATIONS = 50
 L2_PENALTY = 0.001
+TREE_ROUNDS, TREE_DEPTH = 20, 4
 
 
 def _preparation(names: Sequence[str]) -> list:
@@ -36,8 +38,10 @@ def _preparation(names: Sequence[str]) -> list:
 def _labelled(
     features: DataFrame, labels: DataFrame, names: Sequence[str], label: str
 ) -> DataFrame:
+    """Features of the entities with a label, written once: every fitting pass reads them."""
     known = labels.where(F.col(label).isNotNull()).select("entity_id", label)
-    return features.select("entity_id", *names).join(known, "entity_id")
+    rows = features.select("entity_id", *names).join(known, "entity_id")
+    return written_table(rows, "labelled")
 
 
 def fit_outcome(
@@ -74,15 +78,18 @@ def fit_cpc(
     names: Sequence[str],
     kind: str = "trees",
     seed: int = 42,
+    rounds: int = TREE_ROUNDS,
+    depth: int = TREE_DEPTH,
+    penalty: float = L2_PENALTY,
 ) -> PipelineModel:
     """Regressor of the ordinal score: ``trees`` (boosted) or ``linear`` with an L2 penalty."""
     rows = _labelled(features, labels, names, "cpc")
     usable = usable_features(rows, names)
     options = {"featuresCol": "scaled_features", "labelCol": "cpc", "predictionCol": "cpc_raw"}
     if kind == "trees":
-        model = GBTRegressor(maxIter=20, maxDepth=4, seed=seed, **options)
+        model = GBTRegressor(maxIter=rounds, maxDepth=depth, seed=seed, **options)
     else:
-        model = LinearRegression(maxIter=MAX_ITERATIONS, regParam=L2_PENALTY, **options)
+        model = LinearRegression(maxIter=MAX_ITERATIONS, regParam=penalty, **options)
     return Pipeline(stages=[*_preparation(usable), model]).fit(rows)
 
 
@@ -98,11 +105,11 @@ def score_cohort(
     Entities listed in ``failed`` (their data could not be assembled) get NULL scores, or
     ``fill_failed`` where given.
     """
+    # Both models score the same row, one after the other.
     by_outcome = outcome_model.transform(features).select(
-        "entity_id", F.get(vector_to_array("probability"), F.lit(1)).alias("p")
+        *features.columns, F.get(vector_to_array("probability"), F.lit(1)).alias("p")
     )
-    by_cpc = cpc_model.transform(features).select("entity_id", "cpc_raw")
-    scored = by_outcome.join(by_cpc, "entity_id")
+    scored = cpc_model.transform(by_outcome).select("entity_id", "p", "cpc_raw")
     if failed is None:
         scored = scored.withColumn("failed", F.lit(False))
     else:

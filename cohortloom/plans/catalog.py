@@ -346,6 +346,15 @@ def band_power(spark, d):
     return power.select(*keys, *[_rounded(b) for b in spectral.BANDS])
 
 
+@query
+def band_power_fine(spark, d):
+    """Segments of 32 at 64 samples a second: 2 Hz bins, so that every band has bins of its own."""
+    signal = views.embedding_signals(spark, d).withColumn("sampling_frequency", F.lit(64.0))
+    segments = spectral.segments_from_arrays(signal, ["entity_id"], 32)
+    power = spectral.band_power(segments, ["entity_id"], 32)
+    return power.select("entity_id", *[_rounded(b, 8) for b in spectral.BANDS])
+
+
 # Similarity
 
 
@@ -594,6 +603,43 @@ def fit_cpc(spark, d):
     return model.transform(table).select("entity_id", "cpc_raw")
 
 
+@query
+def fit_cpc_linear(spark, d):
+    """Least squares on one feature without a penalty, for which SQL has the closed form."""
+    orders = views.table(spark, d, "orders")
+    known = F.col("o_custkey") % 3 > 0
+    table = orders.select(
+        F.col("o_orderkey").alias("entity_id"),
+        (F.col("o_totalprice") / 1000).cast("double").alias("price"),
+        F.when(known, 1 + F.col("o_custkey") % 5 + F.col("o_totalprice") / 100000)
+        .cast("double")
+        .alias("cpc"),
+    )
+    features, labels = table.select("entity_id", "price"), table.select("entity_id", "cpc")
+    model = models.fit_cpc(features, labels, ["price"], "linear", penalty=0.0)
+    return model.transform(features).select("entity_id", _rounded("cpc_raw", 4))
+
+
+@query
+def score_properties(spark, d):
+    """What holds for any fitted models: keys, failed entities, classes and ranges of scores."""
+    scored = score_cohort(spark, d)
+    shown = ["predicted_outcome", "poor_probability", "predicted_cpc"]
+    filled = sum(F.col(c).isNotNull().cast("int") for c in shown)
+    p = F.col("poor_probability")
+    inside = p.between(0, 1) & F.col("predicted_cpc").between(1, 5)
+    same_class = F.col("predicted_outcome") == (p > 0.5).cast("int")
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("entity_id").alias("n_entities"),
+        F.count_if("failed").alias("n_failed"),
+        F.count_if(F.col("failed") & (filled > 0)).alias("scored_failed"),
+        F.count_if(~F.col("failed") & (filled < 3)).alias("unscored"),
+        F.count_if(~F.col("failed") & ~inside).alias("out_of_range"),
+        F.count_if(~F.col("failed") & ~same_class).alias("wrong_class"),
+    )
+
+
 @query
 def score_cohort(spark, d):
     text, table = views.entity_text(spark, d), _written_features(spark, d)

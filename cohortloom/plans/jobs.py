@@ -41,11 +41,16 @@ def find_similar(
     bands: int = BANDS,
     min_similarity: float = MIN_SIMILARITY,
     seed: str = "42",
+    include_empty: bool = False,
     **options,
 ) -> DataFrame:
-    """Similar entities of a seeded sample of targets, which is drawn and written once."""
+    """Similar entities of a seeded sample of targets, which is drawn and written once.
+
+    With ``include_empty``, entities without shingles take part and equal each other.
+    """
     chosen = written_table(recordings.sample_entities(entities, targets, seed), "targets")
-    signatures = signature_table(shingles, num_hashes, bands)
+    every = {"entities": entities} if include_empty else {}
+    signatures = signature_table(shingles, num_hashes, bands, **every)
     return sim.similar_entities(signatures, chosen, bands, min_similarity, **options)
 
 
@@ -68,13 +73,18 @@ def train(
     features: DataFrame,
     names: Sequence[str],
     kinds: tuple[str, str] = ("network", "trees"),
+    save_to: str | None = None,
 ) -> tuple[PipelineModel, PipelineModel]:
-    """Outcome and score model fitted on one feature table."""
+    """Outcome and score model fitted on one feature table, saved below ``save_to`` if given."""
     labels = metadata.load_labels(entity_text)
-    return (
+    fitted = (
         models.fit_outcome(features, labels, names, kinds[0]),
         models.fit_cpc(features, labels, names, kinds[1]),
     )
+    if save_to:
+        for name, model in zip(("outcome", "cpc"), fitted):
+            model.write().save(f"{save_to.rstrip('/')}/{name}")
+    return fitted
 
 
 def train_and_evaluate(

@@ -475,6 +475,21 @@ vec AS (SELECT vec_id AS entity_id, unnest(range(len(embedding))) AS idx,
             FROM psd_of""",
         "band_power": f"""WITH {last_psd} SELECT entity_id, channel, {_band_columns()}
             FROM psd_of GROUP BY entity_id, channel""",
+        "band_power_fine": f"""WITH {_psd(vectors, "vec", "entity_id", 32, 64.0)}
+            SELECT entity_id, {_band_columns(8)} FROM psd_of GROUP BY entity_id""",
+        "fit_cpc_linear": """WITH p AS (SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) / 1000 AS price,
+              CASE WHEN o_custkey % 3 > 0 THEN 1 + o_custkey % 5 + CAST(o_totalprice AS DOUBLE) / 100000 END AS cpc
+              FROM orders),
+            line AS (SELECT regr_slope(cpc, price) AS a, regr_intercept(cpc, price) AS b FROM p)
+            SELECT o_orderkey AS entity_id, round(a * price + b, 4) AS cpc_raw FROM p CROSS JOIN line""",
+        "score_properties": f"""WITH {INDEX}, {ORDER_SAMPLES}, failed AS (SELECT DISTINCT entity_id
+              FROM index_of i WHERE record_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM order_sample s
+              WHERE s.entity_id = i.entity_id AND s.record_id = i.record_id))
+            SELECT count(*) AS n, count(*) AS n_entities,
+              (SELECT count(*) FROM failed SEMI JOIN (SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS entity_id
+                FROM customer) USING (entity_id)) AS n_failed,
+              CAST(0 AS BIGINT) AS scored_failed, CAST(0 AS BIGINT) AS unscored,
+              CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS wrong_class FROM customer""",
         "minhash_signature": f"WITH {SIGNATURES} {signature_text}",
         "lsh_bands": f"WITH {BAND_ROWS} SELECT entity_id, band, band_key FROM band_of",
         "lsh_candidates": f"WITH {SCORED} SELECT target_id, check_id FROM cand",

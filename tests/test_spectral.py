@@ -88,3 +88,27 @@ def test_segments_cross_batches(spark):
     for r in rows:
         e, v = int(r.entity_id), r.segment_values
         assert (v[0] - e) % (3 * N) == 0 and v == [v[0] + 3 * j for j in range(N)]
+
+
+def test_swapped_bands_would_show(spark, data):
+    """The bands of the fine query have bins of their own, and another band gives other numbers."""
+    from cohortloom.plans import catalog
+
+    df = catalog.queries()["band_power_fine"](spark, data)
+    rows_ = [r for r in df.collect() if r.theta is not None]
+    assert len(rows_) > 100
+    for a, b in (("delta", "theta"), ("theta", "alpha"), ("alpha", "beta")):
+        assert sum(r[a] != r[b] for r in rows_) > 0.99 * len(rows_)
+
+
+def test_recordings_outside_the_index_are_not_features(spark):
+    from cohortloom.operators import features as ft
+
+    text = spark.createDataFrame([("e", "Age: 3\nOutcome: Good\nCPC: 1")], "entity_id string, text string")
+    index = spark.createDataFrame([("e", 0, 1.0, 0.5, "r0")], "entity_id string, seq int, hour double, quality double, record_id string")
+    samples = spark.createDataFrame(
+        [("e", r, "Fz-Cz", i, v, 32.0) for r, v in (("r0", 1.0), ("r9", 101.0)) for i in range(8)],
+        "entity_id string, record_id string, channel string, idx int, value double, sampling_frequency double",
+    )
+    (row,) = ft.feature_matrix(text, index, samples, ["Fz-Cz"], 4).collect()
+    assert (row.mean_Fz_Cz, row.std_Fz_Cz) == (1.0, 0.0)
