@@ -1,6 +1,6 @@
 """Documents in packs, and questions about fingerprints that packs ask each other.
 
-A pack is a row that holds the texts of some megabytes of documents. To learn which of its
+A pack is a row that holds the compressed texts of about a megabyte of documents. To learn which of its
 fingerprints also occur elsewhere, a pack sends its distinct ones, sorted and split by their
 leading bits into parts, a row for each part; a task that holds a part merges what the packs
 sent and answers with a bit for each. So the rows that Spark moves are few and compact, a
@@ -24,9 +24,9 @@ from cohortloom.llm.shared import arrow_rows, filled, map_arrow, scratch_path
 PACK_SCHEMA = "pack long, keys array<long>, sizes array<int>, more array<string>, text binary"
 #: Least bytes of text in a pack, and what it grows by with the square root of all bytes, so
 #: that neither packs nor the parts they send become too many.
-PACK_BYTES, PACK_GROWTH = 4 << 20, 25
+PACK_BYTES, PACK_GROWTH = 1 << 20, 8
 #: Fingerprints that a task merges.
-PART_ENTRIES = 4_000_000
+PART_ENTRIES = 1_000_000
 
 
 def write_packs(
@@ -59,7 +59,8 @@ def write_packs(
 
             def pack():
                 keys, more, texts = map(list, zip(*docs))
-                return place << 32 | number, keys, [*map(len, texts)], more, b"".join(texts)
+                data = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
+                return place << 32 | number, keys, [*map(len, texts)], more, data
 
             for batch in batches:
                 for place, key, more, text in zip(*(c.to_pylist() for c in batch.columns)):
@@ -75,7 +76,7 @@ def write_packs(
         yield from arrow_rows(cells, packed(), 1)
 
     path = scratch_path(df.sparkSession, "packs")
-    map_arrow(placed, gather, PACK_SCHEMA).write.option("compression", "zstd").parquet(path)
+    map_arrow(placed, gather, PACK_SCHEMA).write.parquet(path)
     return df.sparkSession.read.schema(PACK_SCHEMA).parquet(path), total
 
 
@@ -182,7 +183,7 @@ def answers_of(prints: np.ndarray, answers, parts: int) -> np.ndarray:
 
 
 def with_answers(packs: DataFrame, *answers: DataFrame) -> DataFrame:
-    """Packs joined with what they were answered, as answers0, answers1 and so on."""
+    """Packs joined with what they were answered (pack, answers), as answers0, answers1 and so on."""
     for i, found in enumerate(answers):
         named = found.withColumnRenamed("answers", f"answers{i}")
         packs = packs.join(named.hint("shuffle_hash"), "pack", "left")
@@ -190,11 +191,12 @@ def with_answers(packs: DataFrame, *answers: DataFrame) -> DataFrame:
 
 
 def pack_rows(batches) -> Iterator[dict]:
-    """Rows of packs one by one, with sizes as an array."""
+    """Rows of packs one by one, with sizes as an array and the plain text."""
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
             row["sizes"] = np.array(row["sizes"], dtype=np.int64)
+            row["text"] = zstandard.ZstdDecompressor().decompress(row["text"])
             yield row
 
 

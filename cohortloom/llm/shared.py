@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from cohortloom.operators.scale import scratch_path, written_table
 
-__all__ = ["arrow_rows", "documents", "filled", "map_arrow", "scratch_path", "written_table"]
+__all__ = ["arrow_rows", "broadcast_texts", "documents", "filled", "map_arrow", "scratch_path", "written_table"]
 
 #: Bytes of a batch that goes to a Python worker; one long text may exceed it alone.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
+#: Bytes of texts that may be sent to every executor.
+BROADCAST_BYTES = 16 << 20
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -27,6 +29,12 @@ def filled(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def broadcast_texts(df: DataFrame, source: DataFrame, text: str) -> DataFrame:
+    """Broadcast hint only if the texts that ``df`` is made of have few bytes in all."""
+    size = source.agg(F.sum(F.octet_length(text) + 64)).head()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow`` with batches bounded in bytes, so that long texts fit the workers.
 
@@ -35,11 +43,37 @@ def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     spark = df.sparkSession
     if spark.conf.get(_BATCH_CONF, None) is None:
         spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(_releasing(function), schema)
+
+
+def _releasing(function):
+    """The function, giving free memory back to the system between batches and at its end.
+
+    Spark keeps Python workers for later tasks, and with them all that their allocators hold.
+    """
+
+    def release():
+        import ctypes
+        import gc
+
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    def run(batches):
+        for i, batch in enumerate(function(batches)):
+            yield batch
+            if i % 16 == 15:
+                release()
+        release()
+
+    return run
 
 
 def arrow_rows(
-    columns: dict[str, pa.DataType], rows: Iterator[tuple], size: int = 4096, room: int = 8 << 20
+    columns: dict[str, pa.DataType], rows: Iterator[tuple], size: int = 4096, room: int = 2 << 20
 ) -> Iterator[pa.RecordBatch]:
     """Rows gathered into record batches, cut by rows and by bytes of their binary cells."""
     names, types = list(columns), list(columns.values())

@@ -21,7 +21,7 @@ LENGTH = 100
 #: Bytes whose hash marks the strings that hold them.
 MARK = 64
 #: Strings of one stretch; bytes that one suffix array covers; stretches of a hot mark.
-MOST_STRINGS, ARRAY_BYTES, HOT_STRETCHES = 512, 1_000_000, 4096
+MOST_STRINGS, ARRAY_BYTES, HOT_STRETCHES = 512, 500_000, 4096
 _BASES = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 
 
@@ -87,9 +87,9 @@ def repeated_strings(stretches: list[bytes], length: int) -> tuple[np.ndarray, n
     order = order[left[order] >= length]
     group = np.zeros(len(order), np.int64)
     views = np.lib.stride_tricks.sliding_window_view(raw, length)
-    for at in range(1, len(order), 100_000):
-        some = order[at - 1 : at + 100_000]
-        group[at : at + 100_000] = (views[some[1:]] != views[some[:-1]]).any(axis=1)
+    for at in range(1, len(order), 20_000):
+        some = order[at - 1 : at + 20_000]
+        group[at : at + 20_000] = (views[some[1:]] != views[some[:-1]]).any(axis=1)
     return np.cumsum(group), order
 
 
@@ -254,7 +254,6 @@ def _sorted_out(rows: DataFrame, length: int) -> DataFrame:
     Equal strings have equal marks, so that the stretches of a mark share a suffix array. A
     mark with very many stretches is dealt out string by string, by the strings' first bytes.
     """
-    rows = written_table(rows, "stretches")
     counted = rows.groupBy("mark").agg(F.count(F.lit(1)).alias("n"))
     hot = counted.where(F.col("n") > HOT_STRETCHES).select(
         "mark", F.ceil(F.col("n") / HOT_STRETCHES).cast("int").alias("pieces")
@@ -364,10 +363,12 @@ def remove_duplicates(
     later = pk.exchange(once, asked.send_firsts, asked.later, parts)
     answered = pk.with_answers(packs, marks, kinds, later)
 
-    def undecided(batches):
+    def decide(batches):
         def rows():
             for row in pk.pack_rows(batches):
-                marked, _, open_ = asked.decided(row)
+                marked, gone, open_ = asked.decided(row)
+                runs = np.stack([marked.start[gone], marked.count[gone]]).astype("<i8")
+                yield None, None, row["pack"], None, None, runs.tobytes()
                 for i in open_.tolist():
                     a, n = int(marked.start[i]), int(marked.count[i])
                     yield (
@@ -379,25 +380,26 @@ def remove_duplicates(
                  "n": pa.int32(), "context": pa.binary()}
         yield from arrow_rows(cells, rows())
 
-    open_rows = map_arrow(
-        answered, undecided, "mark long, key long, pack long, at long, n int, context binary"
-    )
-    runs = _sorted_out(open_rows, length).groupBy("pack").agg(
+    schema = "mark long, key long, pack long, at long, n int, context binary"
+    # One table holds both what is decided, a row for each pack, and the stretches left open.
+    table = written_table(map_arrow(answered, decide, schema), "stretches")
+    decided = table.where("mark is null").select("pack", F.col("context").alias("answers"))
+    runs = _sorted_out(table.where("mark is not null"), length).groupBy("pack").agg(
         F.collect_list(F.struct("at", "n")).alias("answers")
     )
 
     def cut(batches):
         def rows():
             for row in pk.pack_rows(batches):
-                marked, gone, _ = asked.decided(row)
-                marks = np.zeros(len(marked.data) + 1, np.int64)
-                found = row["answers3"] or ()
-                at = np.concatenate([marked.start[gone], np.array([x["at"] for x in found], np.int64)])
-                n = np.concatenate([marked.count[gone], np.array([x["n"] for x in found], np.int64)])
+                start, count = np.frombuffer(row["answers0"], "<i8").reshape(2, -1)
+                found = row["answers1"] or ()
+                raw = np.frombuffer(row["text"], np.uint8)
+                marks = np.zeros(len(raw) + 1, np.int64)
+                at = np.append(start, np.array([x["at"] for x in found], np.int64))
+                n = np.append(count, np.array([x["n"] for x in found], np.int64))
                 np.add.at(marks, at, 1)
                 np.add.at(marks, at + n + length - 1, -1)
                 removed = np.cumsum(marks[:-1]) > 0
-                raw = np.frombuffer(marked.data, np.uint8)
                 end = 0
                 for doc_key, size, more in zip(row["keys"], row["sizes"].tolist(), row["more"]):
                     own = removed[end : end + size]
@@ -411,7 +413,7 @@ def remove_duplicates(
         yield from arrow_rows(cells, rows())
 
     found = map_arrow(
-        pk.with_answers(packs, marks, kinds, later, runs),
+        pk.with_answers(packs, decided, runs),
         cut,
         "key long, n_bytes long, n_removed long, n_spans long, more string, kept binary",
     )
