@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.shared import written_table
+from cohortloom.llm.shared import broadcast_texts, written_table
 from cohortloom.operators.scale import maybe_broadcast
 
 #: Fixed masks over consecutive words: 1 is hashed, 0 may be any word.
@@ -102,7 +102,9 @@ def overlaps(
     )
     tokens = chosen.distinct().select("row_key", "doc", words(F.col("text")).alias("tokens"))
     wanted = items.select("item", words(F.col("text")).alias("item_tokens"))
-    pairs = tokens.join(maybe_broadcast(aligned), "row_key").join(maybe_broadcast(wanted), "item")
+    pairs = tokens.join(maybe_broadcast(aligned), "row_key").join(
+        broadcast_texts(wanted, items, "text"), "item"
+    )
 
     def equal_words(stretch):
         skipped = F.least(F.lit(0), F.col("shift"))
