@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import math
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -41,7 +43,7 @@ class WaveletMatrix:
         width = -(-n // RANK_BITS) * (RANK_BITS // 8)
         planes = np.zeros((bits, width), dtype=np.uint8)
         ranks = np.zeros((bits, width * 8 // RANK_BITS + 1), dtype="<u4")
-        order = ids
+        order = ids.astype(np.uint16) if bits <= 16 else ids
         for p in range(bits):
             bit = (order >> (bits - 1 - p)) & 1 == 1
             planes[p, : -(-n // 8)] = np.packbits(bit)
@@ -141,38 +143,54 @@ class WordCodec:
     may be looked up. Any other text goes to the library whole.
     """
 
-    #: Words kept between batches.
-    MOST_WORDS = 400_000
+    #: Words kept between batches, and words that go to the library as one text.
+    MOST_WORDS, JOINED_WORDS = 400_000, 1_000
 
     def __init__(self, definition: str):
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, np.ndarray] = {}
-        self.words = regex.compile(
-            r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-        )
-        self.odd = regex.compile(r"[^\t\n\r -~¡-ÿ]")
+        self.known: dict[str, bytes] = {}
+        # The letters of lower-cased Latin-1; other signs that count as numbers are odd.
+        letters = "a-zªµºß-öø-ÿ"
+        self.words = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[0-9]|[^\s{letters}0-9]+")
+        self.odd = re.compile(r"[^\t\n\r -~¡-±´-¸º»¿-ÿ]")
+        ending = json.loads(definition)["model"].get("end_of_word_suffix") or ""
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        if ending:
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(ending)]] = True
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         plain = [None if self.odd.search(t) else self.words.findall(t.lower()) for t in texts]
         if len(self.known) > self.MOST_WORDS:
             self.known.clear()
-        new = list({w for words in plain if words for w in words if w not in self.known})
-        for word, ids in zip(new, self._library(new)):
-            self.known[word] = ids
+        new = set().union(*filter(None, plain)).difference(self.known)
+        self._learn(sorted(new))
         odd = iter(self._library([t for t, words in zip(texts, plain) if words is None]))
-        lookup, none = self.known.__getitem__, np.zeros(0, np.uint32)
+        lookup = self.known.__getitem__
         return [
-            next(odd) if words is None else np.concatenate([*map(lookup, words)]) if words else none
+            next(odd) if words is None else np.frombuffer(b"".join(map(lookup, words)), "<u4")
             for words in plain
         ]
 
+    def _learn(self, words: list[str]) -> None:
+        """Encode words, many in one text, cut again after the tokens that end a word."""
+        groups = [words[i : i + self.JOINED_WORDS] for i in range(0, len(words), self.JOINED_WORDS)]
+        for group, ids in zip(groups, self._library([" ".join(g) for g in groups])):
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(group):
+                self.known |= {w: x.tobytes() for w, x in zip(group, self._library(group))}
+                continue
+            data, at = ids.tobytes(), 0
+            for word, end in zip(group, (ends * 4).tolist()):
+                self.known[word] = data[at:end]
+                at = end
+
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
-        return [np.array(x.ids, dtype=np.uint32) for x in found]
+        return [np.array(x.ids, dtype="<u4") for x in found]
 
 
 def write_shards(
