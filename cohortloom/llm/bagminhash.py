@@ -100,7 +100,7 @@ def signatures(doc, prints, counts, n_docs: int, registers: int = REGISTERS) ->
     return out.reshape(n_docs, registers)
 
 
-def _parts(batches, room: int = 4 << 20) -> Iterator[tuple[list, list[bytes]]]:
+def _parts(batches, room: int = 1 << 20) -> Iterator[tuple[list, list[bytes]]]:
     """(other cells, texts) of rows, in parts of bounded bytes."""
     held, texts, size = [], [], 0
     for batch in batches:
