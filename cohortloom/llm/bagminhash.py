@@ -266,14 +266,17 @@ def classes(
     marked = rows.select("row_key", filled("text").alias("text"))
     small = nodes.select("bag", "n_shingles", "sketch")
 
+    def allowed(n_a: str, n_b: str, s_a: str, s_b: str) -> Column:
+        sizes = F.least(n_a, n_b) >= min_similarity * F.greatest(n_a, n_b) - 1e-9
+        close = agreement(F.col(s_a), F.col(s_b)) >= MIN_AGREEMENT - MIN_SIMILARITY + min_similarity
+        return sizes & close
+
     def likely(pairs: DataFrame) -> DataFrame:
         """Distinct pairs whose sizes and signatures allow the least similarity."""
         pairs = pairs.distinct()
         for side in "ab":
             pairs = pairs.join(small.select(F.col("bag").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}")), side)
-        sizes = F.least("n_a", "n_b") >= min_similarity * F.greatest("n_a", "n_b") - 1e-9
-        close = agreement(F.col("s_a"), F.col("s_b")) >= MIN_AGREEMENT - MIN_SIMILARITY + min_similarity
-        return pairs.where(sizes & close).select("a", "b")
+        return pairs.where(allowed("n_a", "n_b", "s_a", "s_b")).select("a", "b")
 
     def checked(pairs: DataFrame) -> DataFrame:
         pairs = written_table(pairs, "candidates")
@@ -297,9 +300,12 @@ def classes(
         if open_.isEmpty():
             break
         if last:
-            one, other = open_.alias("one"), open_.alias("other")
+            # The filter is part of the join, which so puts out only what it lets through.
+            known = written_table(open_.join(small, "bag"), "open")
+            one, other = known.alias("one"), known.alias("other")
             apart = (F.col("one.band") == F.col("other.band")) & (F.col("one.bag") > F.col("other.bag"))
-            pairs = one.join(other, apart & (F.col("one.label") != F.col("other.label"))).select(
+            passing = allowed("one.n_shingles", "other.n_shingles", "one.sketch", "other.sketch")
+            pairs = one.join(other, apart & (F.col("one.label") != F.col("other.label")) & passing).select(
                 F.col("one.bag").alias("a"), F.col("other.bag").alias("b")
             )
         else:
