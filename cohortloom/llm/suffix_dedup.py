@@ -137,7 +137,7 @@ class _Marked:
         edge = np.zeros(reach - 1, np.uint64)
         high = _sliding(np.maximum, np.concatenate([edge, low, edge]), reach)
         least = np.flatnonzero(hashes == high) if len(low) else np.zeros(0, np.int64)
-        near = np.diff(least) < reach
+        near = np.diff(least) <= reach
         twin = least[:-1][near & (hashes[least[:-1]] == hashes[least[1:]])] if len(least) else least
         self.twin = np.searchsorted(twin, self.start) < np.searchsorted(
             twin, self.start + self.count + reach

@@ -74,6 +74,17 @@ def test_text_that_repeats_itself(spark, text):
     assert (5, *row[1:4], bytes(row.kept)) == plain([(5, text)], 100)[0]
 
 
+@pytest.mark.parametrize("copies", [1, 2])
+def test_every_period_against_dictionary(spark, copies):
+    rng = random.Random(7)
+    lines = ["".join(rng.choices("abcdefghij ", k=period - 1)) + "\n" for period in range(1, 101)]
+    texts = [(line * 400)[: 137 + 3 * len(line)] for line in lines for _ in range(copies)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in suffix_dedup.remove_duplicates(df).collect())
+    assert [(*r[:4], bytes(r[4])) for r in got] == plain(rows, 100)
+
+
 def test_query_on_whole_table(spark):
     sf_dir = "/root/testdata/sf0.001"
     table = sorted(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())
