@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,10 +11,29 @@ from pyspark.sql import functions as F
 from cohortloom.llm.shared import broadcast_texts, written_table
 from cohortloom.operators.scale import maybe_broadcast
 
-#: Fixed masks over consecutive words: 1 is hashed, 0 may be any word.
+#: Masks of the SQL, over consecutive words: 1 is hashed, 0 may be any word. They miss some items.
 MASKS = ("11011011", "111001101")
 #: Aligned words that are compared, and how many of them must be equal.
 WINDOW, MIN_SAME = 13, 10
+#: Masks for items of so many words (the window, at least). Wherever 10 of 13 aligned words are
+#: equal, or that share of a shorter item, one of its masks stands on equal words.
+FAMILIES = {
+    1: ("1",), 2: ("11",), 3: ("111",), 4: ("1111",), 5: ("1111", "11101", "11011", "10111"),
+    6: ("1111", "11011"), 7: ("11011",), 8: ("111011", "11111"), 9: ("11101", "1010011"),
+    10: ("111011", "11010011", "11111"), 11: ("1101011", "1110011"), 12: ("111011", "11111"),
+    13: ("111011", "1100001011", "11110001"),
+}
+#: Texts of fewer words are compared only with items that are no longer than they.
+SHORT = 8
+
+
+def family(size: int, window: int = WINDOW, min_same: int = MIN_SAME) -> tuple[str, ...]:
+    """Masks that miss no item of ``size`` words (at most the window) that counts as found."""
+    if (window, min_same) == (WINDOW, MIN_SAME):
+        return FAMILIES[size]
+    # Words exchanged cut the equal ones into runs, and the longest has this many at least.
+    same = -(-size * min_same // window)
+    return ("1" * -(-same // (size - same + 1)),)
 
 
 def words(text: Column) -> Column:
@@ -50,7 +70,7 @@ def _seeds(df: DataFrame, keys: Sequence[str], masks: Sequence[str]) -> DataFram
             words(F.col("text")),
             lambda tokens: F.struct(
                 F.size(tokens).alias("n"),
-                F.concat(*(seed_hashes(tokens, m, i) for i, m in enumerate(masks))).alias("seeds"),
+                F.concat(*(seed_hashes(tokens, m, int(m, 2)) for m in masks)).alias("seeds"),
             ),
         ).alias("all"),
     )
@@ -71,7 +91,7 @@ def overlaps(
     benchmark: DataFrame,
     key: str = "doc_id",
     item: str = "item_id",
-    masks: Sequence[str] = MASKS,
+    masks: Sequence[str] | None = None,
     window: int = WINDOW,
     min_same: int = MIN_SAME,
 ) -> DataFrame:
@@ -82,15 +102,24 @@ def overlaps(
     overlap (best_same as a share of the stretch). A document and an item are aligned where
     they share a seed, and reported if some stretch of the alignment has ``min_same`` equal
     words; an item of fewer words than the stretch is compared whole with the same share.
-    Null and empty texts, and texts shorter than the shortest mask, match nothing. Repeated
-    rows give one row. The benchmark's seeds are broadcast after counting them, or joined by
+    Without ``masks``, every size of item has masks of which one hits each such stretch, so
+    that none is missed. Null and empty texts match nothing; texts of fewer than ``SHORT`` words
+    match only items that are no longer than they. Repeated rows give one row. The benchmark's seeds are broadcast after counting them, or joined by
     shuffle beyond the limit; aligned documents are read again, only those.
     """
     source = docs.select(F.col(key).alias("doc"), "text").withColumn(
         "row_key", F.xxhash64("doc", "text")
     )
     items = benchmark.select(F.col(item).alias("item"), "text").distinct()
-    seeds = _seeds(items, ["item"], masks).withColumnRenamed("position", "item_position")
+    if masks is None:
+        sized = items.withColumn("n", F.least(F.lit(window), F.size(words(F.col("text")))))
+        sizes = [r.n for r in sized.select("n").distinct().collect() if r.n] or [window]
+        parts = [_seeds(sized.where(F.col("n") == n), ["item"], family(n, window, min_same)) for n in sizes]
+        seeds = functools.reduce(DataFrame.unionByName, parts)
+        masks = sorted({m for n in sizes for m in family(n, window, min_same)})
+    else:
+        seeds = _seeds(items, ["item"], masks)
+    seeds = seeds.withColumnRenamed("position", "item_position")
     found = _seeds(source.select("row_key", "text"), ["row_key"], masks)
     hits = found.join(maybe_broadcast(seeds), "seed").select(
         "row_key", "item", (F.col("position") - F.col("item_position")).alias("shift")
@@ -126,7 +155,8 @@ def overlaps(
         )
 
     stretch = F.slice("tokens", F.greatest(F.lit(0), F.col("shift")) + 1, F.size("item_tokens"))
-    scored = pairs.select(
+    long_enough = F.size("tokens") >= F.least(F.lit(SHORT), F.size("item_tokens"))
+    scored = pairs.where(long_enough).select(
         "row_key", "doc", "item", "shift", length.alias("length"),
         bound(bound(stretch, equal_words), best).alias("same"),
     )

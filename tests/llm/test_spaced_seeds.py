@@ -1,5 +1,7 @@
 """Planted passages are found, changed words or not; the SQL gives the same rows."""
 
+import itertools
+
 import parity
 import pytest
 from cohortloom.llm import registry, spaced_seeds
@@ -37,6 +39,43 @@ def test_substitutions_and_awkward_texts(spark):
     assert {r.doc_id for r in kept.collect()} == set(range(len(texts))) - items.keys()
 
 
+def brute(texts, items):
+    """All alignments, without seeds."""
+    out = {}
+    for doc, text in enumerate(texts):
+        for item, wanted in enumerate(items):
+            have, want = text.split(), wanted.split()
+            n = min(13, len(want))
+            if len(have) < min(8, len(want)):
+                continue
+            for shift in range(1 - len(want), len(have)):
+                same = [0 <= j + shift < len(have) and have[j + shift] == w for j, w in enumerate(want)]
+                best = max(sum(same[s : s + n]) for s in range(len(same) - n + 1))
+                if 13 * best >= 10 * n:
+                    out[doc, item] = max(best, out.get((doc, item), 0))
+    return sorted((*k, v) for k, v in out.items())
+
+
+def test_every_pattern_of_exchanged_words(spark):
+    items = [" ".join(f"w{n}x{i}" for i in range(n)) for n in range(1, 18)]
+    texts = []
+    for item in items:
+        own = item.split()
+        n = min(13, len(own))
+        for places in itertools.combinations(range(n), n - -(-n * 10 // 13)):
+            texts.append("some words before " + changed(own, *places, *range(13, len(own))) + " and then a few more")
+        texts += [changed(own, *range(n // 2)) + " one two three four five six", " ".join(own[: n - 1])]
+    assert found(spark, texts, items)[2] == brute(texts, items)
+
+
+@pytest.mark.parametrize("window, min_same", [(13, 10), (9, 7), (6, 6), (20, 13), (5, 1)])
+def test_masks_miss_no_pattern(window, min_same):
+    for n in range(1, window + 1):
+        same = -(-n * min_same // window)
+        at = [{p + i for i, c in enumerate(m) if c == "1"} for m in spaced_seeds.family(n, window, min_same) for p in range(n - len(m) + 1)]
+        assert all(any(not a & set(gone) for a in at) for gone in itertools.combinations(range(n), n - same))
+
+
 def test_null_ids_and_repeated_rows(spark):
     text = " ".join(ITEM)
     docs = spark.createDataFrame([(None, text), (1, text), (1, text), (1, "clean"), (None, "clean")], "doc_id long, text string")
