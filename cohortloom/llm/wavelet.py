@@ -140,7 +140,8 @@ class WordCodec:
 
     The file's normaliser and splitter work on a text as a whole; within Latin-1 text without
     control characters they come to lower-casing and the splitter's own pattern, so that words
-    may be looked up. Any other text goes to the library whole.
+    may be looked up. Any other text goes to the library whole, as does one that holds the
+    content of an added token, in letters of either case.
     """
 
     #: Words kept between batches, and words that go to the library as one text.
@@ -150,20 +151,21 @@ class WordCodec:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
         # The letters of lower-cased Latin-1; other signs that count as numbers are odd.
         letters = "a-zªµºß-öø-ÿ"
         self.words = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[0-9]|[^\s{letters}0-9]+")
         self.odd = re.compile(r"[^\t\n\r -~¡-±´-¸º»¿-ÿ]")
-        ending = json.loads(definition)["model"].get("end_of_word_suffix") or ""
+        file = json.loads(definition)
+        self.added = [t["content"].lower() for t in file.get("added_tokens") or ()]
+        ending = file["model"].get("end_of_word_suffix") or ""
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         if ending:
             self.ends[[i for token, i in vocabulary.items() if token.endswith(ending)]] = True
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        plain = [None if self.odd.search(t) else self.words.findall(t.lower()) for t in texts]
+        plain = [self._split(t) for t in texts]
         if len(self.known) > self.MOST_WORDS:
             self.known.clear()
         new = set().union(*filter(None, plain)).difference(self.known)
@@ -175,6 +177,13 @@ class WordCodec:
             for words in plain
         ]
 
+    def _split(self, text: str) -> list[str] | None:
+        """The words of a text that may be looked up; None for any other."""
+        if self.odd.search(text):
+            return None
+        lower = text.lower()
+        return None if any(a in lower for a in self.added) else self.words.findall(lower)
+
     def _learn(self, words: list[str]) -> None:
         """Encode words, many in one text, cut again after the tokens that end a word."""
         groups = [words[i : i + self.JOINED_WORDS] for i in range(0, len(words), self.JOINED_WORDS)]

@@ -63,6 +63,23 @@ def test_documents_come_back(spark, tmp_path, monkeypatch, room, shard):
     assert sorted(tuple(r) for r in got) == sorted(wanted(sorted(rows)))
 
 
+def test_added_tokens_as_the_library_reads_them(spark, tmp_path):
+    texts = [
+        "see <|endoftext|> here", "<|startoftext|><|endoftext|>", "a <|ENDOFTEXT|> b", "<|endoftext", "é<|endoftext|>漢",
+        "see < |endoftext| > here", "after",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer, rows, start = Tokenizer.from_file(PATH), [], 0
+    for doc, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, registry.END_ID]
+        rows.append((doc, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert rows[0][2] == 4
+    got = registry.op8_wavelet_matrix(spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in got) == rows
+
+
 def test_whole_table(spark):
     sf_dir = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
