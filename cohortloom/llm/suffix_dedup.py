@@ -336,17 +336,29 @@ def _later_in(frame: pd.DataFrame, length: int):
     yield from zip(pack[start].tolist(), place[start].tolist(), count.tolist())
 
 
+def _widen(removed: np.ndarray, raw: np.ndarray, sizes: np.ndarray) -> None:
+    """Take, in place, all bytes of characters of which a byte is removed, in texts one after the other."""
+    inner = (raw & 0xC0) == 0x80
+    starts = np.cumsum(sizes) - sizes
+    inner[starts[starts < len(raw)]] = False
+    # A character has three bytes after its first at most.
+    for _ in range(3):
+        removed[:-1] |= removed[1:] & inner[1:]
+    for _ in range(3):
+        removed[1:] |= removed[:-1] & inner[1:]
+
+
 def remove_duplicates(
     df: DataFrame, length: int = LENGTH, mark: int = MARK, text: str = "text", key: str = "doc_id",
-    carried: Sequence[str] = (),
+    carried: Sequence[str] = (), characters: bool = False,
 ) -> DataFrame:
     """Remove bytes that a string seen earlier covers (key, n_bytes, n_removed, n_spans, kept).
 
     A byte of a text's UTF-8 goes if a string of ``length`` bytes that covers it also starts
     earlier: in a row of smaller key (null keys first), or earlier in the same text. Rows of one
     key stand in a fixed order. Strings never cross texts and are judged on the input. ``kept``
-    holds the bytes left, which may break a character; ``n_spans`` counts removed runs. Columns
-    named in ``carried`` are returned as JSON in ``more``.
+    holds the bytes left, which may break a character unless ``characters`` widens every cut to
+    whole ones; ``n_spans`` counts removed runs. Columns named in ``carried`` are returned as JSON in ``more``.
 
     Sorting all suffixes would move the text many times. So strings are first told apart by the
     least hash of the ``mark``-byte runs in them: a string whose mark is nowhere else can't be
@@ -400,6 +412,8 @@ def remove_duplicates(
                 np.add.at(marks, at, 1)
                 np.add.at(marks, at + n + length - 1, -1)
                 removed = np.cumsum(marks[:-1]) > 0
+                if characters:
+                    _widen(removed, raw, row["sizes"])
                 end = 0
                 for doc_key, size, more in zip(row["keys"], row["sizes"].tolist(), row["more"]):
                     own = removed[end : end + size]

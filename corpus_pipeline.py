@@ -46,9 +46,9 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     is left stays as an empty one, and a null text becomes empty.
     """
     carried = [c for c in docs.columns if c not in ("doc_id", "text")]
-    found = suffix_dedup.remove_duplicates(docs, carried=carried)
+    found = suffix_dedup.remove_duplicates(docs, carried=carried, characters=True)
     fields = docs.select(*carried).schema
-    text = F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("�"), F.lit(""))
+    text = F.col("kept").cast("string")
     values = {c: F.col("more")[c] for c in carried}
     whole = found.select("doc_id", text.alias("text"), F.from_json("more", fields).alias("more"))
     values |= {"doc_id": F.col("doc_id"), "text": F.col("text")}

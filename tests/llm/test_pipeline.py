@@ -82,6 +82,17 @@ def test_odd_rows_and_columns(spark, tmp_path):
     assert sorted((r.doc_id or 0) for r in rows) == [0, 4, 7, 9]
 
 
+def test_replacement_characters_stay_and_cuts_take_whole_characters(spark, tmp_path):
+    shared = "".join(f"part {i} " for i in range(30))
+    # The second text shares the last byte of é (C3 A9) with © (C2 A9), and the first of é with è.
+    texts = ["head � only", "one é" + shared + "é tail", "two � ©" + shared + "è end �"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], schema)
+    rows = sorted(corpus_pipeline.suffix_array_dedup(spark, docs, str(tmp_path)).collect())
+    assert [r.text for r in rows] == [*texts[:2], "two �  end �"]
+    assert [r.n_chars for r in rows] == [len(r.text) for r in rows]
+
+
 def test_empty_tables(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
