@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm import packs as pk
 from cohortloom.llm.shared import arrow_rows, map_arrow, written_table
-from cohortloom.operators.scale import maybe_broadcast
+from cohortloom.operators.scale import maybe_broadcast, skew_join
 
 #: Bytes of a string that counts as a repeat.
 LENGTH = 100
@@ -33,6 +33,8 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     follow from their first symbol and the next suffix's rank, and are merged in.
     """
     n = len(symbols)
+    if n and max(n, symbols.max()) >= 1 << 21:
+        raise ValueError("symbols and their number must stay below 2^21")
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: symbols[i:].tolist()), dtype=np.int64)
     s = np.concatenate([symbols.astype(np.int64), np.zeros(3, np.int64)])
@@ -251,25 +253,34 @@ def _extremes(marks, values):
 def _sorted_out(rows: DataFrame, length: int) -> DataFrame:
     """Strings of undecided stretches that start earlier elsewhere: (pack, at, n), runs of starts.
 
-    Equal strings have equal marks, so that the stretches of a mark share a suffix array. A
-    mark with very many stretches is dealt out string by string, by the strings' first bytes.
+    Equal strings have equal marks, so that the stretches of a mark share a suffix array. The
+    strings of a mark with very many stretches are compared one by one instead: the first of
+    each is found by an aggregate, and all others are told by a join that splits frequent ones.
     """
     counted = rows.groupBy("mark").agg(F.count(F.lit(1)).alias("n"))
-    hot = counted.where(F.col("n") > HOT_STRETCHES).select(
-        "mark", F.ceil(F.col("n") / HOT_STRETCHES).cast("int").alias("pieces")
-    )
-    marked = rows.join(maybe_broadcast(written_table(hot, "hot_marks")), "mark", "left")
+    hot = written_table(counted.where(F.col("n") > HOT_STRETCHES).select("mark"), "hot_marks")
+    if hot.isEmpty():
+        return _in_arrays(rows, length)
+    hot = maybe_broadcast(hot)
     single = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
-    strings = marked.where("pieces is not null").select("*", single.alias("i"))
-    strings = strings.select(
-        "mark", "key", "pack", (F.col("at") + F.col("i")).alias("at"), F.lit(1).alias("n"),
-        F.substring("context", F.col("i") + 1, F.lit(length)).alias("context"), "pieces",
-    ).withColumn("piece", F.pmod(F.xxhash64("context"), F.col("pieces") * MOST_STRINGS))
-    whole = marked.where("pieces is null").withColumn("piece", F.lit(0).cast("long"))
-    both = whole.unionByName(strings.select(*whole.columns)).drop("pieces")
-    size = both.agg(F.sum(F.octet_length("context"))).head()[0] or 1
+    strings = rows.join(hot, "mark", "left_semi").select("*", single.alias("i")).select(
+        F.struct("key", "pack", (F.col("at") + F.col("i")).alias("at")).alias("place"),
+        F.substring("context", F.col("i") + 1, F.lit(length)).alias("context"),
+    )
+    first = strings.groupBy("context").agg(
+        F.min("place").alias("first"), F.count(F.lit(1)).alias("many")
+    )
+    repeated = written_table(first.where("many > 1").drop("many"), "first_strings")
+    later = skew_join(strings, repeated, ["context"]).where(F.col("place") > F.col("first"))
+    single_runs = later.select("place.pack", "place.at", F.lit(1).cast("long").alias("n"))
+    return _in_arrays(rows.join(hot, "mark", "left_anti"), length).unionByName(single_runs)
+
+
+def _in_arrays(rows: DataFrame, length: int) -> DataFrame:
+    """The same by suffix arrays, for marks of few stretches."""
+    size = rows.agg(F.sum(F.octet_length("context"))).head()[0] or 1
     arrays = math.ceil(size / ARRAY_BYTES)
-    dealt = both.withColumn("array", F.pmod(F.xxhash64("mark", "piece"), F.lit(arrays)).cast("int"))
+    dealt = rows.withColumn("array", F.pmod(F.xxhash64("mark"), F.lit(arrays)).cast("int"))
 
     def search(batches):
         cells = {"pack": pa.int64(), "at": pa.int64(), "n": pa.int64()}
@@ -289,7 +300,7 @@ def _sorted_out(rows: DataFrame, length: int) -> DataFrame:
 
         yield from arrow_rows(cells, rows())
 
-    ordered = dealt.repartition(arrays, "array").sortWithinPartitions("array", "mark", "piece")
+    ordered = dealt.repartition(arrays, "array").sortWithinPartitions("array", "mark")
     return map_arrow(ordered, search, "pack long, at long, n long")
 
 
@@ -297,8 +308,7 @@ def _later_runs(frame: pd.DataFrame, length: int):
     """Runs of starts of strings that have an earlier equal, by suffix arrays of bounded size."""
     size = frame["context"].str.len().to_numpy() + 1
     mark = frame["mark"].to_numpy()
-    piece = frame["piece"].to_numpy()
-    new = np.concatenate([[True], (mark[1:] != mark[:-1]) | (piece[1:] != piece[:-1])])
+    new = np.concatenate([[True], mark[1:] != mark[:-1]])
     first = np.flatnonzero(new)
     total = np.concatenate([[0], np.cumsum(size)])
     at = 0

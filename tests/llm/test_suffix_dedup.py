@@ -85,6 +85,30 @@ def test_every_period_against_dictionary(spark, copies):
     assert [(*r[:4], bytes(r[4])) for r in got] == plain(rows, 100)
 
 
+def test_frequent_string_meets_in_no_array(spark, monkeypatch):
+    search = suffix_dedup._later_runs
+
+    def bounded(frame, length):
+        if len(frame) > 60:
+            raise AssertionError("a frequent string went to one suffix array")
+        return search(frame, length)
+
+    monkeypatch.setattr(suffix_dedup, "HOT_STRETCHES", 20)
+    monkeypatch.setattr(suffix_dedup, "_later_runs", bounded)
+    rng = random.Random(3)
+    passage = "".join(rng.choices("abcdefghij ", k=180))
+    free = lambda: "".join(rng.choices("abcdefghij ", k=60))
+    rows = [(i, free() + passage + free()) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in suffix_dedup.remove_duplicates(df).collect())
+    assert [(*r[:4], bytes(r[4])) for r in got] == plain(rows, 100)
+
+
+def test_symbols_out_of_range_raise():
+    with pytest.raises(ValueError):
+        suffix_dedup.suffix_array(np.array([1, 1 << 21, 2, 3]))
+
+
 def test_query_on_whole_table(spark):
     sf_dir = "/root/testdata/sf0.001"
     table = sorted(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())
