@@ -20,8 +20,9 @@ from cohortloom.operators.scale import maybe_broadcast, skew_join
 LENGTH = 100
 #: Bytes whose hash marks the strings that hold them.
 MARK = 64
-#: Strings of one stretch; bytes that one suffix array covers; stretches of a hot mark.
-MOST_STRINGS, ARRAY_BYTES, HOT_STRETCHES = 512, 500_000, 4096
+#: Strings of one stretch; bytes that one suffix array covers; bytes, ends included, of all
+#: stretches of a mark beyond which they do not fit one array.
+MOST_STRINGS, ARRAY_BYTES, HOT_BYTES = 512, 500_000, 1 << 20
 _BASES = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 
 
@@ -131,7 +132,8 @@ class _Marked:
         self.start = np.repeat(starts, pieces) + number * MOST_STRINGS
         self.count = np.minimum(np.repeat(stop, pieces) - self.start, MOST_STRINGS)
         self.doc = doc[self.start] if len(self.start) else self.start
-        self.mark = low[self.start] if len(self.start) else np.zeros(0, np.uint64)
+        # Least hashes lie near 0: mixed once more they spread evenly over the parts.
+        self.mark = pk.scrambled(low[self.start]) if len(self.start) else np.zeros(0, np.uint64)
         keys = np.array([-(1 << 63) if k is None else k for k in row["keys"]], dtype=np.int64)
         self.key = keys[self.doc] if len(self.start) else np.zeros(0, np.int64)
         self.length = length
@@ -254,11 +256,11 @@ def _sorted_out(rows: DataFrame, length: int) -> DataFrame:
     """Strings of undecided stretches that start earlier elsewhere: (pack, at, n), runs of starts.
 
     Equal strings have equal marks, so that the stretches of a mark share a suffix array. The
-    strings of a mark with very many stretches are compared one by one instead: the first of
+    strings of a mark whose stretches exceed an array's bytes are compared one by one instead: the first of
     each is found by an aggregate, and all others are told by a join that splits frequent ones.
     """
-    counted = rows.groupBy("mark").agg(F.count(F.lit(1)).alias("n"))
-    hot = written_table(counted.where(F.col("n") > HOT_STRETCHES).select("mark"), "hot_marks")
+    counted = rows.groupBy("mark").agg(F.sum(F.octet_length("context") + 1).alias("n"))
+    hot = written_table(counted.where(F.col("n") > HOT_BYTES).select("mark"), "hot_marks")
     if hot.isEmpty():
         return _in_arrays(rows, length)
     hot = maybe_broadcast(hot)

@@ -51,11 +51,11 @@ def corpus(length, seed=2):
 
 
 @pytest.mark.parametrize("length, mark, size, entries, hot", [
-    (100, 64, None, 4_000_000, 4096), (20, 11, 700, 300, 4096), (20, 20, 700, 300, 4096), (12, 5, 250, 60, 3),
+    (100, 64, None, 4_000_000, 1 << 20), (20, 11, 700, 300, 1 << 20), (20, 20, 700, 300, 1 << 20), (12, 5, 250, 60, 60),
 ])
 def test_against_dictionary(spark, monkeypatch, length, mark, size, entries, hot):
     monkeypatch.setattr(packs, "PART_ENTRIES", entries)
-    monkeypatch.setattr(suffix_dedup, "HOT_STRETCHES", hot)
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", hot)
     if size:
         monkeypatch.setattr(packs, "PACK_BYTES", size)
         monkeypatch.setattr(packs, "PACK_GROWTH", 0)
@@ -93,7 +93,7 @@ def test_frequent_string_meets_in_no_array(spark, monkeypatch):
             raise AssertionError("a frequent string went to one suffix array")
         return search(frame, length)
 
-    monkeypatch.setattr(suffix_dedup, "HOT_STRETCHES", 20)
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", 2_500)
     monkeypatch.setattr(suffix_dedup, "_later_runs", bounded)
     rng = random.Random(3)
     passage = "".join(rng.choices("abcdefghij ", k=180))
@@ -104,6 +104,35 @@ def test_frequent_string_meets_in_no_array(spark, monkeypatch):
     assert [(*r[:4], bytes(r[4])) for r in got] == plain(rows, 100)
 
 
+def test_long_stretches_of_one_mark(spark):
+    """3,600 stretches of 611 bytes are too few to be many and too long for one array."""
+    rng = random.Random(4)
+    run = "".join(rng.choices("abcdefghij ", k=400))
+    free = lambda: "".join(rng.choices("klmnopqrst ", k=105))
+    rows = [(i, free() + run + free()) for i in range(3_600)]
+    stretches = [(1, 0, i, 0, 512, text.encode()) for i, text in rows]
+    df = spark.createDataFrame(stretches, "mark long, key long, pack long, at long, n int, context binary")
+    got = {}
+    for r in suffix_dedup._sorted_out(df, 100).collect():
+        got.setdefault(r.pack, set()).update(range(r.at, r.at + r.n))
+    seen, wanted = set(), {}
+    for i, text in rows:
+        for at in range(len(text) - 99):
+            if text[at : at + 100] in seen:
+                wanted.setdefault(i, set()).add(at)
+            seen.add(text[at : at + 100])
+    assert got == wanted
+
+
+def test_marks_spread_over_parts():
+    rng = random.Random(5)
+    text = "".join(rng.choices("abcdefghij klmnop", k=1 << 20)).encode()
+    row = {"text": text, "sizes": np.array([len(text)]), "keys": [1]}
+    marks = np.unique(suffix_dedup._Marked(row, 100, 64).mark)
+    share = np.bincount((marks >> np.uint64(58)).astype(int), minlength=64) * 64 / len(marks)
+    assert 0.5 < share.min() and share.max() < 2
+
+
 def test_symbols_out_of_range_raise():
     with pytest.raises(ValueError):
         suffix_dedup.suffix_array(np.array([1, 1 << 21, 2, 3]))
