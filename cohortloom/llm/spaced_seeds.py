@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 from cohortloom.llm.shared import broadcast_texts, written_table
 from cohortloom.operators.scale import maybe_broadcast
 
-#: Masks of the SQL, over consecutive words: 1 is hashed, 0 may be any word. They miss some items.
-MASKS = ("11011011", "111001101")
 #: Aligned words that are compared, and how many of them must be equal.
 WINDOW, MIN_SAME = 13, 10
-#: Masks for items of so many words (the window, at least). Wherever 10 of 13 aligned words are
+#: Masks over consecutive words, 1 is hashed and 0 may be any word, for items of so many words
+#: (the window, at least). Wherever 10 of 13 aligned words are
 #: equal, or that share of a shorter item, one of its masks stands on equal words.
 FAMILIES = {
     1: ("1",), 2: ("11",), 3: ("111",), 4: ("1111",), 5: ("1111", "11101", "11011", "10111"),
@@ -23,8 +22,6 @@ FAMILIES = {
     10: ("111011", "11010011", "11111"), 11: ("1101011", "1110011"), 12: ("111011", "11111"),
     13: ("111011", "1100001011", "11110001"),
 }
-#: Texts of fewer words are compared only with items that are no longer than they.
-SHORT = 8
 
 
 def family(size: int, window: int = WINDOW, min_same: int = MIN_SAME) -> tuple[str, ...]:
@@ -103,8 +100,8 @@ def overlaps(
     they share a seed, and reported if some stretch of the alignment has ``min_same`` equal
     words; an item of fewer words than the stretch is compared whole with the same share.
     Without ``masks``, every size of item has masks of which one hits each such stretch, so
-    that none is missed. Null and empty texts match nothing; texts of fewer than ``SHORT`` words
-    match only items that are no longer than they. Repeated rows give one row. The benchmark's seeds are broadcast after counting them, or joined by
+    that none is missed. Null and empty texts match nothing; a text shorter than an item matches
+    it if it holds that many of its words. Repeated rows give one row. The benchmark's seeds are broadcast after counting them, or joined by
     shuffle beyond the limit; aligned documents are read again, only those.
     """
     source = docs.select(F.col(key).alias("doc"), "text").withColumn(
@@ -155,8 +152,7 @@ def overlaps(
         )
 
     stretch = F.slice("tokens", F.greatest(F.lit(0), F.col("shift")) + 1, F.size("item_tokens"))
-    long_enough = F.size("tokens") >= F.least(F.lit(SHORT), F.size("item_tokens"))
-    scored = pairs.where(long_enough).select(
+    scored = pairs.select(
         "row_key", "doc", "item", "shift", length.alias("length"),
         bound(bound(stretch, equal_words), best).alias("same"),
     )
@@ -183,15 +179,20 @@ def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options)
     return marked.join(maybe_broadcast(dirty), "__row_key", "left_anti").drop("__row_key")
 
 
-def oracle_sql(masks: Sequence[str] = MASKS, window: int = WINDOW, min_same: int = MIN_SAME) -> str:
+def oracle_sql(window: int = WINDOW, min_same: int = MIN_SAME) -> str:
     """The same result in DuckDB's SQL: seeds as lists of words instead of hashes."""
-    def seeds(table: str, key: str) -> str:
+    sizes = {n: family(n, window, min_same) for n in range(1, window + 1)}
+    masks = sorted({m for family_ in sizes.values() for m in family_})
+
+    def seeds(table: str, key: str, of_items: bool) -> str:
         parts = []
         for number, mask in enumerate(masks):
             picked = ", ".join(f"w[p + {i}]" for i, m in enumerate(mask) if m == "1")
+            own = ", ".join(str(n) for n, family_ in sizes.items() if mask in family_)
+            only = f"WHERE least({window}, len(w)) IN ({own})" if of_items else ""
             parts.append(
                 f"SELECT {key}, p, {number} AS mask, [{picked}] AS seed FROM "
-                f"(SELECT {key}, w, unnest(range(1, greatest(1, len(w) - {len(mask)} + 2))) AS p FROM {table})"
+                f"(SELECT {key}, w, unnest(range(1, greatest(1, len(w) - {len(mask)} + 2))) AS p FROM {table} {only})"
             )
         return " UNION ALL ".join(parts)
 
@@ -203,7 +204,7 @@ def oracle_sql(masks: Sequence[str] = MASKS, window: int = WINDOW, min_same: int
 
     return f"""
     WITH {split("d", "doc_id", "documents")}, {split("b", "item_id", "benchmark")},
-    ds AS ({seeds("d", "doc_id")}), bs AS ({seeds("b", "item_id")}),
+    ds AS ({seeds("d", "doc_id", False)}), bs AS ({seeds("b", "item_id", True)}),
     aligned AS (SELECT DISTINCT doc_id, item_id, ds.p - bs.p AS shift FROM ds JOIN bs USING (mask, seed)),
     compared AS (SELECT doc_id, item_id, least({window}, len(b.w)) AS n,
       list_transform(range(1, len(b.w) + 1),
