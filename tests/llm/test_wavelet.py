@@ -43,7 +43,6 @@ TEXTS = [
 
 def wanted(rows):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     out, start = [], 0
     for doc, text in rows:
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, registry.END_ID]
