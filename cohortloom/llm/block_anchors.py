@@ -19,9 +19,9 @@ _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)
 
 
 class Words:
-    """The words of a pack: where each starts and ends, its document, and two hashes of it."""
+    """The words of a pack: where each starts and ends, its document, and two hashes of it (or one)."""
 
-    def __init__(self, text: bytes, sizes: np.ndarray):
+    def __init__(self, text: bytes, sizes: np.ndarray, families: int = 2):
         data = np.frombuffer(text, np.uint8)
         self.doc_ends = np.cumsum(sizes)
         blank = _BLANK[data]
@@ -38,7 +38,7 @@ class Words:
         self.doc = np.searchsorted(self.doc_ends, self.start, side="right")
         self.counts = np.bincount(self.doc, minlength=len(sizes))
         self.doc_first = np.cumsum(self.counts) - self.counts
-        self.hashes = [self._hashes(data, seed, base) for seed, base in enumerate(_BASES[:2])]
+        self.hashes = [self._hashes(data, seed, base) for seed, base in enumerate(_BASES[:families])]
 
     def _hashes(self, data: np.ndarray, seed: int, base: int) -> np.ndarray:
         """Polynomial hash of every word from prefix sums of the codes of its bytes."""

@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm import (
     bagminhash,
+    ball_codes,
     block_anchors,
     bpe,
+    count_cells,
     cross_parse,
     jump_hash,
     license_index,
     rabitq,
     spaced_seeds,
+    subset_join,
     suffix_dedup,
     wavelet,
 )
@@ -88,6 +91,21 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spaced_seeds.overlaps(docs, benchmark).drop("row_key")
 
 
+def op11_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of every vector, their errors and the codebooks' digest."""
+    return ball_codes.digests(ball_codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
+
+
+def op12_count_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of the sources of a language, and the terms that set each source apart."""
+    return count_cells.audit(documents(spark, sf_dir, "text", "lang", "source"))
+
+
+def op13_subset_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's shingle set, and the component of its links."""
+    return subset_join.join(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def queries() -> dict:
     found = (
         op1_byte_bpe,
@@ -100,9 +118,15 @@ def queries() -> dict:
         op8_wavelet_matrix,
         op9_block_anchors,
         op10_spaced_seeds,
+        op11_ball_codes,
+        op12_count_cells,
+        op13_subset_join,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_spaced_seeds": spaced_seeds.oracle_sql()}
+    return {
+        "op10_spaced_seeds": spaced_seeds.oracle_sql(),
+        "op12_count_cells": count_cells.oracle_sql(),
+    }
