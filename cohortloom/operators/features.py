@@ -9,7 +9,8 @@ from pyspark.ml.feature import Imputer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.operators import metadata, recordings, signals, spectral
+from cohortloom.operators import metadata, pieces, recordings, spectral
+from cohortloom.operators.scale import skew_join
 
 # The default channel list, in feature order.
 CHANNELS = (
@@ -41,17 +42,24 @@ def feature_matrix(
 ) -> DataFrame:
     """entity_id and the feature columns as DOUBLE; what is missing is NULL.
 
-    ``samples`` is long: entity_id, record_id, channel, idx, value, sampling_frequency.
-    Statistics come from all recordings that the index lists, band power and quality from
-    the latest one.
+    ``samples`` is long (entity_id, record_id, channel, idx, value, sampling_frequency) or array
+    pieces (start and samples in place of idx and value). Statistics come from all recordings
+    that the index lists, band power and quality from the latest one. Samples stay where they
+    are: the index's rows come to them, statistics are merged from states of the pieces, and
+    only the ends of pieces move to fill whole segments.
     """
     record = ["entity_id", "record_id"]
-    listed = index.where(F.col("record_id").isNotNull()).select(*record).distinct()
-    known = samples.where(F.col("channel").isin(*channels)).join(listed, record, "left_semi")
+    series = ["entity_id", "channel", "record_id", "sampling_frequency"]
+    known = samples.where(F.col("channel").isin(*channels))
+    if "samples" not in samples.columns:
+        known = pieces.pieces_from_samples(known, series)
     latest = recordings.latest_recording(index)
+    listed = index.where(F.col("record_id").isNotNull()).select(*record).distinct()
+    marked = listed.join(latest.select(*record, F.lit(True).alias("is_latest")), record, "left")
+    known = skew_join(known.select(*series, "start", "samples"), marked, record)
     keys = ["entity_id", "channel"]
-    stats = signals.channel_stats(known)
-    segments = spectral.segments_from_samples(spectral.latest_samples(known, latest), keys, n_fft)
+    stats = pieces.channel_stats(pieces.states(known, keys))
+    segments = pieces.segments(known.where("is_latest"), series, n_fft)
     power = spectral.band_power(segments, keys, n_fft, bands)
     by_channel = stats.join(power, keys, "left")
     spread = [

@@ -5,21 +5,29 @@ Input is a table of pairs (entity_id, actual, predicted); a missing value is NUL
 
 from __future__ import annotations
 
+import hashlib
 import math
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.operators.scale import ROWS_PER_TASK, running_total, skew_join
+from cohortloom.operators.scale import ROWS_PER_TASK, running_total, skew_join, written_table
 
 # Half-width of the uncertain zone around the split point, in standard deviations.
 ZONE_SIGMAS = 10.0
 # Significance level of every decision.
 ALPHA = 0.05
-# Decimal places that values are rounded to, so that sums and comparisons are exact.
-DECIMALS = 9
+# Bits that the largest value of a pool may take as a whole number.
+VALUE_BITS = 52
+# Distinct values that a task draws from, and buckets of them at most.
+VALUES_PER_BUCKET, MOST_BUCKETS = 50_000, 1_000
+# Rows that the generator of the draws can take.
+MOST_DRAWN = 1_000_000_000
 # Exact whole numbers wider than a BIGINT.
 _WIDE = "decimal(38,0)"
 
@@ -30,46 +38,102 @@ def _two_sided_p(z: pd.Series) -> pd.Series:
     return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2)), na_action="ignore")
 
 
-def _pool(pairs: DataFrame, scale: int) -> DataFrame:
-    """Both columns stacked: row_id, is_x, value (scaled to a whole number)."""
+def _pool(pairs: DataFrame) -> DataFrame:
+    """Both columns stacked: row_id, is_x, value as a double; missing and NaN values are left out."""
 
     def side(column: str, prefix: str, is_x: bool) -> DataFrame:
         return pairs.where(F.col(column).isNotNull()).select(
             F.concat(F.lit(prefix), F.col("entity_id").cast("string")).alias("row_id"),
             F.lit(is_x).alias("is_x"),
-            F.rint(F.col(column).cast("double") * scale).alias("scaled"),
+            F.col(column).cast("double").alias("value"),
         )
 
     both = side("actual", "a", True).unionByName(side("predicted", "p", False))
-    return both.where(~F.isnan("scaled"))
+    return both.where(~F.isnan("value"))
+
+
+def _times_power(value: Column, power: int) -> Column:
+    """value * 2^power, in two steps so that the factors stay finite."""
+    half = power // 2
+    return value * F.lit(2.0**half) * F.lit(2.0 ** (power - half))
+
+
+def _whole_values(pool: DataFrame) -> tuple[DataFrame, int]:
+    """Values as whole numbers (``scaled``, a multiple of 2^-power) and the power.
+
+    A power that keeps every value exactly is used where one is small enough; else the largest
+    value takes VALUE_BITS bits, and the others are rounded to its last bit, as adding doubles does.
+    """
+    largest = pool.agg(F.max(F.abs("value"))).head()[0] or 0.0
+    if math.isinf(largest):
+        raise ValueError("the permutation test needs finite values")
+    most = VALUE_BITS - (math.frexp(largest)[1] if largest else 0)
+    steps = [p for p in range(0, max(0, most) + 1, 4) if p < most] + [most]
+    whole = [
+        F.count_if(F.rint(_times_power(F.col("value"), p)) != _times_power(F.col("value"), p)).alias(str(p))
+        for p in steps
+    ]
+    broken = pool.agg(*whole).head()
+    power = next((p for p in steps if not broken[str(p)]), most)
+    scaled = F.rint(_times_power(F.col("value"), power)).cast("long")
+    return pool.select("row_id", "is_x", scaled.alias("scaled")), power
 
 
 def permutation_test(
-    pairs: DataFrame, permutations: int = 1000, seed: str = "42", scale: int = 10**DECIMALS
+    pairs: DataFrame, permutations: int = 1000, seed: str = "42", method: str = "draws"
 ) -> DataFrame:
     """Share of random splits whose mean difference exceeds the observed one, strictly.
 
-    Permutation k orders the pool by md5(seed|k|row) and puts the first n_x rows in the
-    first sample. That cut lies near the share n_x/n of the hash range: hashes well
-    below it are only summed, those well above are dropped, and just the few around it
-    (about sqrt(n) per permutation) are ranked. Work spreads over rows and
-    permutations alike. Values may be any doubles: they are taken as fixed-point numbers,
-    rounded to DECIMALS places (to multiples of 1 / ``scale``), which keeps sums and the
-    comparison exact. Either column may lack values; each keeps all it has.
+    Values may be any finite doubles: they are taken as whole multiples of a power of two, so
+    that sums and the comparison are exact. Either column may lack values; each keeps all it has.
+    ``draws`` samples, for every permutation, how often each distinct value falls into the first
+    sample; ``order`` sorts the rows by a hash, which SQL can repeat. Pools of MOST_DRAWN rows
+    or more are always ordered.
     """
-    pool = _pool(pairs, scale)
+    pool, power = _whole_values(_pool(pairs))
+    wide = F.col("scaled").cast(_WIDE)
     size = pool.agg(
         F.count_if("is_x").alias("n_x"),
         F.count_if(~F.col("is_x")).alias("n_y"),
-        F.sum(F.when(F.col("is_x"), F.col("scaled").cast(_WIDE))).alias("s_x"),
-        F.sum(F.when(~F.col("is_x"), F.col("scaled").cast(_WIDE))).alias("s_y"),
+        F.sum(F.when(F.col("is_x"), wide)).alias("s_x"),
+        F.sum(F.when(~F.col("is_x"), wide)).alias("s_y"),
+        F.max(F.abs("scaled")).alias("largest"),
     ).head()
     n_x, n_y = size.n_x, size.n_y
     if not n_x or not n_y:
         raise ValueError("both samples need at least one value")
     n, total = n_x + n_y, int(size.s_x) + int(size.s_y)
     observed = abs(int(size.s_x) * n_y - int(size.s_y) * n_x)
+    if method == "draws" and n < MOST_DRAWN:
+        sums = _drawn_sums(pool, permutations, seed, n_x)
+    elif method in ("draws", "order"):
+        fits = size.largest * n < 1 << 62
+        sums = _ordered_sums(pool, permutations, seed, n_x, n, "long" if fits else _WIDE)
+    else:
+        raise ValueError(f"unknown method: {method}")
+    difference = F.abs(F.col("s_x") * F.lit(n).cast(_WIDE) - F.lit(str(total * n_x)).cast(_WIDE))
+    above = F.count_if(difference > F.lit(str(observed)).cast(_WIDE))
+    return sums.agg(above.alias("n_above"), F.count(F.lit(1)).alias("n_permutations")).select(
+        F.lit(n_x).cast("long").alias("n_x"),
+        F.lit(n_y).cast("long").alias("n_y"),
+        F.lit(math.ldexp(observed / (n_x * n_y), -power)).alias("statistic"),
+        "n_permutations",
+        "n_above",
+        (F.col("n_above") / F.col("n_permutations")).alias("p_value"),
+    )
+
 
+def _ordered_sums(
+    pool: DataFrame, permutations: int, seed: str, n_x: int, n: int, sum_type: str
+) -> DataFrame:
+    """s_x of every permutation, by sorting rows.
+
+    Permutation k orders the pool by md5(seed|k|row) and puts the first n_x rows in the
+    first sample. That cut lies near the share n_x/n of the hash range: hashes well
+    below it are only summed, those well above are dropped, and just the few around it
+    (about sqrt(n) per permutation) are ranked. Work spreads over rows and
+    permutations alike.
+    """
     share = n_x / n
     zone = ZONE_SIGMAS * math.sqrt(share * (1 - share) / n)
 
@@ -78,14 +142,14 @@ def permutation_test(
             return "g"
         return format(int(max(position, 0.0) * 16**15), "015x")
 
-    spark = pairs.sparkSession
+    spark = pool.sparkSession
     tasks = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         spark.sparkContext.defaultParallelism,
         math.ceil(n * permutations / ROWS_PER_TASK),
     )
     permuted = (
-        pool.select("row_id", F.col("scaled").cast("long").alias("value"))
+        pool.select("row_id", F.col("scaled").alias("value"))
         .repartition(tasks, "row_id")
         .select("*", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("perm"))
         .withColumn("h", F.md5(F.concat_ws("|", F.lit(seed), F.col("perm"), F.col("row_id"))))
@@ -94,7 +158,7 @@ def permutation_test(
     # Rows below the zone share one group per permutation; zone rows are their own.
     place = F.when(F.col("h") >= hash_at(share - zone), F.concat("h", "row_id"))
     groups = permuted.groupBy("perm", place.alias("place")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("value").alias("s")
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast(sum_type)).alias("s")
     )
     filled = F.expr(
         "sum(n) over (partition by perm order by place asc nulls first "
@@ -108,19 +172,63 @@ def permutation_test(
             F.count_if(F.col("filled") == n_x).alias("cut_found"),
         )
     )
-    difference = F.abs(F.col("s_x") * F.lit(n).cast(_WIDE) - F.lit(str(total * n_x)).cast(_WIDE))
-    checked = F.when(F.col("cut_found") == 1, difference).otherwise(
-        F.raise_error(F.lit("split point outside its zone; raise ZONE_SIGMAS")).cast(_WIDE)
+    return per_perm.select(
+        F.when(F.col("cut_found") == 1, F.col("s_x")).otherwise(
+            F.raise_error(F.lit("split point outside its zone; raise ZONE_SIGMAS")).cast(_WIDE)
+        ).alias("s_x")
     )
-    above = F.count_if(checked > F.lit(str(observed)).cast(_WIDE))
-    return per_perm.agg(above.alias("n_above"), F.count(F.lit(1)).alias("n_permutations")).select(
-        F.lit(n_x).cast("long").alias("n_x"),
-        F.lit(n_y).cast("long").alias("n_y"),
-        F.lit(observed / (n_x * n_y * scale)).alias("statistic"),
-        "n_permutations",
-        "n_above",
-        (F.col("n_above") / F.col("n_permutations")).alias("p_value"),
+
+
+def _drawn_sums(pool: DataFrame, permutations: int, seed: str, n_x: int) -> DataFrame:
+    """s_x of every permutation, by multivariate hypergeometric draws from the counts of values.
+
+    A split's sum depends only on how many of each distinct value fall into the first sample.
+    The pool collapses to counts of values, on the map side. Buckets of values are drawn from
+    first, in the driver, which sees a number for each bucket and permutation; a task then draws
+    from the values of its bucket. Work is distinct values times permutations. The same seed
+    gives the same draws, however the rows are partitioned.
+    """
+    counts = pool.groupBy("scaled").agg(F.count(F.lit(1)).alias("n"))
+    counts = written_table(counts, "values")
+    buckets = min(MOST_BUCKETS, max(1, math.ceil(counts.count() / VALUES_PER_BUCKET)))
+    dealt = counts.withColumn("bucket", F.pmod(F.xxhash64("scaled"), F.lit(buckets)).cast("int"))
+    sizes = {r.bucket: r.n for r in dealt.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
+    start = list(hashlib.sha256(seed.encode()).digest())
+    names = sorted(sizes)
+    first = np.random.default_rng([*start, 0]).multivariate_hypergeometric(
+        [sizes[b] for b in names], n_x, size=permutations, method="marginals"
     )
+    shares = {b: first[:, i].copy() for i, b in enumerate(names)}
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sums(bucket: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            value, n = table["scaled"].to_numpy(), table["n"].to_numpy()
+            rng = np.random.default_rng([*start, 1, bucket])
+            # Two halves of the bits, so that sums of 1e9 rows fit 64 bits.
+            high, low = value >> 26, value & ((1 << 26) - 1)
+            drawn = (rng.multivariate_hypergeometric(n, int(k), method="marginals") for k in shares[bucket])
+            found = [(int(d @ high), int(d @ low)) for d in drawn]
+            cells = [pa.array(range(permutations), pa.int32()), *(pa.array(x, pa.int64()) for x in zip(*found))]
+            return pa.RecordBatch.from_arrays(cells, names=["perm", "high", "low"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            bucket = batch["bucket"].to_numpy()
+            edges = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(bucket)]
+            for a, b in zip(edges[:-1], edges[1:]):
+                if a < b and held and held[0]["bucket"][0].as_py() != bucket[a]:
+                    yield sums(held[0]["bucket"][0].as_py(), held)
+                    held = []
+                if a < b:
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield sums(held[0]["bucket"][0].as_py(), held)
+
+    ordered = dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket", "scaled")
+    partial = ordered.mapInArrow(draw, "perm int, high long, low long")
+    whole = F.sum(F.col("high").cast(_WIDE)) * F.lit(1 << 26).cast("decimal(9,0)") + F.sum(F.col("low").cast(_WIDE))
+    return partial.groupBy("perm").agg(whole.cast(_WIDE).alias("s_x")).select("s_x")
 
 
 def wald_test(pairs: DataFrame) -> DataFrame:
@@ -142,14 +250,14 @@ def _differences(pairs: DataFrame) -> DataFrame:
 def _tie_groups(pairs: DataFrame, rows_per_task: int) -> DataFrame:
     """Per absolute difference: counts by sign and the lowest rank of the group.
 
-    Rows collapse to distinct values on the map side; the ranks are a running total
-    over those, cut into order buckets.
+    Rows collapse to distinct values on the map side, which are written once; the ranks are a
+    running total over those, cut into order buckets.
     """
     groups = _differences(pairs).groupBy(F.abs("diff").alias("abs_diff")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("diff") > 0).alias("n_positive")
     )
     ranked = running_total(
-        groups, F.col("n"), "earlier", order=["abs_diff"], rows_per_task=rows_per_task
+        written_table(groups, "ties"), F.col("n"), "earlier", order=["abs_diff"], rows_per_task=rows_per_task
     )
     return ranked.select("abs_diff", "n", "n_positive", (F.col("earlier") + 1).alias("low_rank"))
 
@@ -206,14 +314,16 @@ def decision(p_value: Column, alpha: float = ALPHA) -> Column:
     return F.when(p_value <= alpha, "Reject H0").otherwise("Fail to Reject H0")
 
 
-def test_decisions(pairs: DataFrame, permutations: int = 1000, seed: str = "42") -> DataFrame:
+def test_decisions(
+    pairs: DataFrame, permutations: int = 1000, seed: str = "42", method: str = "draws"
+) -> DataFrame:
     """test, statistic, p_value, decision of all tests on the same pairs.
 
     The permutation and Wald tests use all values of each column, paired or not; the signed
     ranks use the entities that have both.
     """
     results = {
-        "permutation": permutation_test(pairs, permutations, seed),
+        "permutation": permutation_test(pairs, permutations, seed, method),
         "wald": wald_test(pairs),
         "wilcoxon_simple": wilcoxon_simple(pairs),
         "wilcoxon_normal": wilcoxon_normal(pairs),

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions import scoring
+from cohortloom.operators.exported import Exported, raw_scores
 from cohortloom.operators.features import mean_imputer, usable_features
 from cohortloom.operators.scale import written_table
 
@@ -93,9 +94,17 @@ def fit_cpc(
     return Pipeline(stages=[*_preparation(usable), model]).fit(rows)
 
 
+def _raw_scores(outcome_model: PipelineModel, cpc_model: PipelineModel, features: DataFrame) -> DataFrame:
+    # Both models score the same row, one after the other.
+    by_outcome = outcome_model.transform(features).select(
+        *features.columns, F.get(vector_to_array("probability"), F.lit(1)).alias("p")
+    )
+    return cpc_model.transform(by_outcome).select("entity_id", "p", "cpc_raw")
+
+
 def score_cohort(
-    outcome_model: PipelineModel,
-    cpc_model: PipelineModel,
+    outcome_model: PipelineModel | Exported,
+    cpc_model: PipelineModel | Exported,
     features: DataFrame,
     failed: DataFrame | None = None,
     fill_failed: float | None = None,
@@ -103,13 +112,10 @@ def score_cohort(
     """entity_id, predicted_outcome, poor_probability, predicted_cpc, failed.
 
     Entities listed in ``failed`` (their data could not be assembled) get NULL scores, or
-    ``fill_failed`` where given.
+    ``fill_failed`` where given. Both models are fitted pipelines, or both are exported.
     """
-    # Both models score the same row, one after the other.
-    by_outcome = outcome_model.transform(features).select(
-        *features.columns, F.get(vector_to_array("probability"), F.lit(1)).alias("p")
-    )
-    scored = cpc_model.transform(by_outcome).select("entity_id", "p", "cpc_raw")
+    exported = isinstance(outcome_model, Exported)
+    scored = (raw_scores if exported else _raw_scores)(outcome_model, cpc_model, features)
     if failed is None:
         scored = scored.withColumn("failed", F.lit(False))
     else:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortloom.operators import pieces
 from cohortloom.operators.scale import maybe_broadcast, skew_join
 
 
@@ -97,6 +98,56 @@ def assemble_entities(entity_text: DataFrame, index: DataFrame, samples: DataFra
     return with_slots.unionByName(without, allowMissingColumns=True)
 
 
+def entity_recordings(index: DataFrame, headers: DataFrame) -> DataFrame:
+    """Every index slot with what its recording's header says, gaps kept as NULL.
+
+    entity_id, seq, record_id, sampling_frequency, channels (in header order) and num_samples;
+    ``headers`` has a row for each channel line. A slot without a recording, or whose recording
+    has no header, is a placeholder.
+    """
+    keys = ["entity_id", "record_id"]
+    # A header names few channels, so its list is small.
+    heads = headers.groupBy(*keys).agg(
+        F.max("sampling_frequency").alias("sampling_frequency"),
+        F.array_sort(F.collect_list(F.struct("position", "channel"))).alias("lines"),
+        F.max("num_samples").alias("num_samples"),
+    )
+    named = F.col("record_id").isNotNull()
+    slots = index.where(named).select(*keys, "seq").join(heads, keys, "left")
+    # Placeholders skip the join, so that their NULL keys never meet in one task.
+    rows = slots.unionByName(index.where(~named).select(*keys, "seq"), allowMissingColumns=True)
+    return rows.select(
+        "entity_id", "seq", "record_id", "sampling_frequency", F.col("lines.channel").alias("channels"), "num_samples"
+    )
+
+
+def entity_signals(
+    index: DataFrame, headers: DataFrame, signals: DataFrame, size: int = pieces.CHUNK
+) -> DataFrame:
+    """The rescaled samples of every index slot, in chunks of ``size``.
+
+    entity_id, seq, record_id, channel, position (of the channel in its header), chunk, start
+    and samples. ``signals`` are array pieces of raw samples (entity_id, record_id, channel, start,
+    samples). A recording that several slots name comes with each of them. No row is larger
+    than a chunk, however long a recording is; header lines come to the samples, which stay
+    where they are but for the ends of pieces.
+    """
+    keys = ["entity_id", "record_id"]
+    named = index.where(F.col("record_id").isNotNull()).select(*keys, "seq")
+    lines = headers.select(*keys, "channel", "position", "gain", "adc_offset")
+    slots = named.join(lines, keys).groupBy(*keys, "channel", "position", "gain", "adc_offset").agg(
+        F.array_sort(F.collect_set("seq")).alias("seqs")
+    )
+    series = [*keys, "channel"]
+    raw = pieces.chunks(signals.select(*series, "start", "samples"), series, size)
+    value = F.transform("samples", lambda x: ((x - F.col("adc_offset")) / F.col("gain")).cast("float"))
+    placed = skew_join(raw, slots, series)
+    return placed.select(
+        "entity_id", F.explode("seqs").alias("seq"), "record_id", "channel", "position", "chunk", "start",
+        value.alias("samples"),
+    )
+
+
 def orphan_recordings(index: DataFrame, samples: DataFrame) -> DataFrame:
     """Recordings the index names but no signal is stored for."""
     stored = samples.select("entity_id", "record_id").distinct()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import scoring, text as tx
 from cohortloom.operators import features as ft
-from cohortloom.operators import hypothesis, metadata, metrics, models, recordings, signals
+from cohortloom.operators import exported, hypothesis, metadata, metrics, models, pieces, recordings, signals
 from cohortloom.operators import similarity as sim
 from cohortloom.operators import spectral
 from cohortloom.operators.scale import scratch_path, spread, written_table
@@ -85,6 +85,47 @@ def assemble_entities(spark, d):
     )
 
 
+@query
+def entity_recordings(spark, d):
+    headers = signals.parse_record_headers(views.record_headers(spark, d))
+    found = recordings.entity_recordings(views.gapped_index(spark, d), headers)
+    return found.withColumn("channels", F.array_join("channels", ","))
+
+
+def _cells(samples):
+    """Rescaled samples of a chunk as the whole numbers they came from."""
+    raw = F.transform(samples, lambda x: F.round(x * views.GAIN + views.OFFSET).cast("long").cast("string"))
+    return F.array_join(raw, ",").alias("samples")
+
+
+@query
+def entity_signals(spark, d):
+    """Signals of every index slot, in chunks stitched from short pieces."""
+    headers = signals.parse_record_headers(views.record_headers(spark, d))
+    found = recordings.entity_signals(views.gapped_index(spark, d), headers, views.sample_pieces(spark, d), 32)
+    return found.select(*(c for c in found.columns if c != "samples"), _cells("samples"))
+
+
+@query
+def signal_chunks(spark, d):
+    """Long samples in chunks."""
+    keys = list(signals.SERIES)
+    found = pieces.chunks(pieces.pieces_from_samples(views.samples(spark, d), keys, "raw"), keys, 20)
+    return found.select(*keys, "chunk", "start", F.array_join(F.col("samples").cast("array<string>"), ",").alias("samples"))
+
+
+@query
+def recording_states(spark, d):
+    """States of recordings after two appends: the old samples are not read again."""
+    keys = list(signals.SERIES)
+    placed = pieces.place_pieces(views.embedding_pieces(spark, d), keys, "number")
+    old = pieces.merged_states(pieces.states(placed.where("number % 2 = 0"), keys), keys)
+    for rest in ("number % 4 = 1", "number % 4 = 3"):
+        old = pieces.merged_states(old.unionByName(pieces.states(placed.where(rest), keys)), keys)
+    std = F.sqrt(F.col("m2") / F.col("n"))
+    return old.select(*keys, "n", _rounded("mean"), F.round(std, 6).alias("std"), "first_at", _rounded("first"), _rounded("total", 4))
+
+
 @query
 def orphan_recordings(spark, d):
     return recordings.orphan_recordings(
@@ -490,7 +531,7 @@ def signed_ranks(spark, d):
 
 @query
 def permutation_test(spark, d):
-    result = hypothesis.permutation_test(views.labels(spark, d), 1000, SEED)
+    result = hypothesis.permutation_test(views.labels(spark, d), 1000, SEED, "order")
     return result.withColumn("statistic", F.round("statistic", 6))
 
 
@@ -498,10 +539,25 @@ def permutation_test(spark, d):
 def permutation_test_close(spark, d):
     """Low-quality flags against toxic flags: close means, so p is not extreme."""
     pairs = views.labels(spark, d).withColumn("actual", 1 - F.col("actual"))
-    result = hypothesis.permutation_test(pairs, 1000, SEED)
+    result = hypothesis.permutation_test(pairs, 1000, SEED, "order")
     return result.withColumn("statistic", F.round("statistic", 6))
 
 
+@query
+def permutation_draws(spark, d):
+    """The draws of the job against sorted rows: the same sizes and statistic, p within 0.1.
+
+    The p-values of 1000 permutations each have a standard deviation of 0.016 at most.
+    """
+    pairs = views.labels(spark, d).withColumn("actual", 1 - F.col("actual"))
+    drawn = hypothesis.permutation_test(pairs, 1000, SEED)
+    sorted_p = hypothesis.permutation_test(pairs, 1000, SEED, "order").select(F.col("p_value").alias("p"))
+    return drawn.crossJoin(sorted_p).select(
+        "n_x", "n_y", "n_permutations", F.round("statistic", 6).alias("statistic"),
+        (F.abs(F.col("p_value") - F.col("p")) < 0.1).alias("p_agrees"),
+    )
+
+
 @query
 def wald_test(spark, d):
     result = hypothesis.wald_test(views.value_pairs(spark, d))
@@ -523,7 +579,9 @@ def wilcoxon_normal(spark, d):
 @query
 def test_decisions(spark, d):
     actual, predicted = _label_side(spark, d, "actual"), _label_side(spark, d, "predicted")
-    result = jobs.compare_predictions(actual, predicted, permutations=1000, seed=SEED)
+    result = jobs.compare_predictions(
+        actual, predicted, permutations=1000, seed=SEED, method="order"
+    )
     return result.select("test", _rounded("statistic"), _rounded("p_value"), "decision")
 
 
@@ -541,7 +599,9 @@ def compare_unpaired(spark, d):
         F.col("event_id").alias("entity_id"),
         (F.floor(F.col("value") * 8) / 8 + (F.col("event_id") % 5 - 2) / 4).alias("label"),
     )
-    result = jobs.compare_predictions(actual, predicted, permutations=20, seed=SEED)
+    result = jobs.compare_predictions(
+        actual, predicted, permutations=1000, seed=SEED, method="order"
+    )
     return result.select("test", _rounded("statistic", 4), _rounded("p_value"), "decision")
 
 
@@ -562,6 +622,14 @@ def feature_matrix(spark, d):
     return matrix.select("entity_id", *[_rounded(c) for c in matrix.columns if c != "entity_id"])
 
 
+@query
+def feature_matrix_pieces(spark, d):
+    """The features from recordings in array pieces."""
+    text, index = views.entity_text(spark, d), views.user_index(spark, d)
+    matrix = ft.feature_matrix(text, index, views.user_pieces(spark, d), CHANNELS, views.USER_N_FFT)
+    return matrix.select("entity_id", *[_rounded(c) for c in matrix.columns if c != "entity_id"])
+
+
 @query
 def mean_impute(spark, d):
     table = metadata.metadata_features(views.entity_text(spark, d))
@@ -650,6 +718,34 @@ def score_cohort(spark, d):
     return models.score_cohort(*fitted, table, failed)
 
 
+def fixed_models() -> tuple[exported.Exported, exported.Exported]:
+    """A network and trees with weights from a rule, for scores that SQL can repeat."""
+    n = len(ft.METADATA_FEATURES)
+    sizes = [n, 5, 3, 2]
+    layers = [
+        ([[((7 * k + 3 * j + 5 * i) % 11 - 5) / 8 for i in range(wide)] for j in range(units)],
+         [((k + j) % 3 - 1) / 4 for j in range(units)])
+        for k, (wide, units) in enumerate(zip(sizes[:-1], sizes[1:]))
+    ]
+    prepared = [list(ft.METADATA_FEATURES), [40.0 + i for i in range(n)], [30.0 - i for i in range(n)], [2.0 ** -(i % 4 + 2) for i in range(n)]]
+    trees = [
+        (1.0, [0, 2.5, [4, 1.25, 2.0, 3.5], [1, -6.0, 4.25, 1.5]]),
+        (0.5, [4, 0.5, -1.0, [7, 3.0, 0.75, [6, -3.0, 0.5, 1.25]]]),
+        (0.25, [2, -3.25, 1.0, 2.0]),
+    ]
+    return exported.Exported(*prepared, layers=layers), exported.Exported(*prepared, trees=trees)
+
+
+@query
+def score_fixed(spark, d):
+    """Network and trees of fixed weights over the cohort, with failed entities."""
+    table = metadata.metadata_features(views.entity_text(spark, d))
+    failed = recordings.orphan_recordings(views.recording_index(spark, d), views.order_samples(spark, d))
+    scored = models.score_cohort(*fixed_models(), table, failed, fill_failed=0.0)
+    shown = ("predicted_outcome", "poor_probability", "predicted_cpc")
+    return scored.select("entity_id", *(_rounded(c) for c in shown), "failed")
+
+
 @query
 def train_and_evaluate(spark, d):
     return jobs.train_and_evaluate(

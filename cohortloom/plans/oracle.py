@@ -353,6 +353,39 @@ SELECT entity_id, {meta}, {", ".join(wide)}, quality
 FROM meta_of m LEFT JOIN quality_of USING (entity_id)"""
 
 
+def _score_fixed() -> str:
+    """The forward pass unit by unit and the trees split by split, as plain expressions."""
+    network, forest = c.fixed_models()
+    inputs = ", ".join(
+        f"(coalesce(CAST({n} AS DOUBLE), {f}) - ({m})) * {s} AS x{i}"
+        for i, (n, f, m, s) in enumerate(zip(network.names, network.fill, network.shift, network.scale))
+    )
+    steps, source, name, wide = [f"inputs AS (SELECT entity_id, {inputs} FROM meta_of)"], "inputs", "x", len(network.names)
+    for k, (weights, bias) in enumerate(network.layers):
+        last = k == len(network.layers) - 1
+        sums = [f"{b} + " + " + ".join(f"{name}{i} * ({w})" for i, w in enumerate(row)) for row, b in zip(weights, bias)]
+        cells = ", ".join(f"{x if last else f'1 / (1 + exp(-({x})))'} AS h{k}_{j}" for j, x in enumerate(sums))
+        keep = ", ".join(f"x{i}" for i in range(wide))
+        steps.append(f"layer{k} AS (SELECT entity_id, {keep}, {cells} FROM {source})")
+        source, name = f"layer{k}", f"h{k}_"
+
+    def walk(tree) -> str:
+        if isinstance(tree, float):
+            return f"CAST({tree} AS DOUBLE)"
+        at, cut, low, high = tree
+        return f"CASE WHEN x{at} <= {cut} THEN {walk(low)} ELSE {walk(high)} END"
+
+    cpc = " + ".join(f"{w} * ({walk(t)})" for w, t in forest.trees)
+    return f"""WITH {FIELDS}, {INDEX}, {ORDER_SAMPLES}, {", ".join(steps)},
+      failed_of AS (SELECT DISTINCT entity_id FROM index_of i WHERE record_id IS NOT NULL AND NOT EXISTS
+        (SELECT 1 FROM order_sample s WHERE s.entity_id = i.entity_id AND s.record_id = i.record_id)),
+      scored AS (SELECT entity_id, exp({name}1) / (exp({name}0) + exp({name}1)) AS p, {cpc} AS cpc,
+        entity_id IN (SELECT entity_id FROM failed_of) AS failed FROM {source})
+      SELECT entity_id, CASE WHEN failed THEN 0.0::DOUBLE WHEN p > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS predicted_outcome,
+        CASE WHEN failed THEN 0.0 ELSE round(p, 6) END AS poor_probability,
+        CASE WHEN failed THEN 0.0 ELSE round(least(5.0, greatest(1.0, cpc)), 6) END AS predicted_cpc, failed FROM scored"""
+
+
 def oracle_sql() -> dict[str, str]:
     series = "entity_id, record_id, channel"
     psd = _psd(SAMPLES, "sample_of", series, v.SAMPLE_N_FFT, v.SAMPLE_FS)
@@ -394,6 +427,28 @@ vec AS (SELECT vec_id AS entity_id, unnest(range(len(embedding))) AS idx,
             SELECT t.entity_id, i.seq, i.record_id, n_channels, n_samples, text FROM text_of t
             LEFT JOIN index_of i ON i.entity_id = t.entity_id
             LEFT JOIN stored s ON s.entity_id = i.entity_id AND s.record_id = i.record_id""",
+        "entity_recordings": f"""WITH {SPEC} SELECT entity_id, record_id AS seq, record_id,
+            CAST(64 AS DOUBLE) AS sampling_frequency, channels, longest AS num_samples
+            FROM longest_of JOIN (SELECT entity_id, record_id, string_agg(channel, ',' ORDER BY channel) AS channels
+              FROM spec_of GROUP BY entity_id, record_id) USING (entity_id, record_id)
+            UNION ALL SELECT DISTINCT entity_id, 9, CAST(NULL AS INTEGER), CAST(NULL AS DOUBLE), NULL, CAST(NULL AS BIGINT)
+            FROM sample_of""",
+        "entity_signals": f"""WITH {SPEC}, line_of AS (SELECT entity_id, record_id, channel,
+              CAST(row_number() OVER (PARTITION BY entity_id, record_id ORDER BY channel) - 1 AS INTEGER) AS position
+              FROM spec_of)
+            SELECT entity_id, record_id AS seq, record_id, channel, position, CAST(idx // 32 AS BIGINT) AS chunk,
+              CAST(idx // 32 * 32 AS BIGINT) AS "start", string_agg(CAST(raw AS VARCHAR), ',' ORDER BY idx) AS samples
+            FROM sample_of JOIN line_of USING (entity_id, record_id, channel)
+            GROUP BY entity_id, record_id, channel, position, idx // 32""",
+        "signal_chunks": f"""WITH {SAMPLES} SELECT entity_id, record_id, channel, CAST(idx // 20 AS BIGINT) AS chunk,
+            CAST(idx // 20 * 20 AS BIGINT) AS "start", string_agg(CAST(raw AS VARCHAR), ',' ORDER BY idx) AS samples
+            FROM sample_of GROUP BY entity_id, record_id, channel, idx // 20""",
+        "recording_states": """WITH v AS (SELECT label AS entity_id, CAST(vec_id % 3 AS INTEGER) AS record_id, vec_id,
+              unnest(range(len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)
+            SELECT entity_id, record_id, 'vector' AS channel, count(*) AS n, round(avg(x), 6) AS mean,
+              round(stddev_pop(x), 6) AS std, CAST(0 AS BIGINT) AS first_at,
+              round(arg_min(x, vec_id) FILTER (i = 0), 6) AS "first", round(sum(x), 4) AS total
+            FROM v GROUP BY entity_id, record_id""",
         "orphan_recordings": f"""WITH {INDEX}, {ORDER_SAMPLES} SELECT DISTINCT entity_id, record_id
             FROM index_of i WHERE record_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM order_sample s
               WHERE s.entity_id = i.entity_id AND s.record_id = i.record_id)""",
@@ -533,6 +588,8 @@ vec AS (SELECT vec_id AS entity_id, unnest(range(len(embedding))) AS idx,
             1000,
         )
         + PERMUTATION_COLUMNS,
+        "permutation_draws": """SELECT count(quality) AS n_x, count(toxic) AS n_y, CAST(1000 AS BIGINT) AS n_permutations,
+            round(abs(avg(1 - quality) - avg(toxic)), 6) AS statistic, TRUE AS p_agrees FROM labels""",
         "wald_test": f"""WITH {PAIRS}, {WALD} SELECT round(z, 6) AS statistic, round(p, 6) AS p_value
             FROM wald CROSS JOIN wald_p""",
         "wilcoxon_simple": f"""WITH {PAIRS}, {RANKS}, {SIMPLE} SELECT n, statistic,
@@ -540,8 +597,10 @@ vec AS (SELECT vec_id AS entity_id, unnest(range(len(embedding))) AS idx,
         "wilcoxon_normal": f"""WITH {PAIRS}, {RANKS}, {NORMAL} SELECT n, statistic, round(z, 6) AS z,
             round(p, 6) AS p_value FROM normal CROSS JOIN normal_p""",
         "test_decisions": _decisions(LABELS, 1000, 6),
-        "compare_unpaired": _decisions(UNPAIRED, 20, 4),
+        "compare_unpaired": _decisions(UNPAIRED, 1000, 4),
         "feature_matrix": _feature_matrix(),
+        "feature_matrix_pieces": _feature_matrix(),
+        "score_fixed": _score_fixed(),
         "mean_impute": f"WITH {FIELDS} SELECT entity_id, {imputed} FROM meta_of",
         "linear_score": f"""WITH {FIELDS}, s AS (SELECT entity_id, {logit} + ({c.SCORE_BIAS}) AS x FROM meta_of)
             SELECT entity_id, round(1 / (1 + exp(-x)), 6) AS probability,

@@ -96,6 +96,44 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(*keys, F.col("idx").cast("int").alias("idx"), "raw")
 
 
+def as_pieces(long: DataFrame, keys: list[str], value: str, length: int) -> DataFrame:
+    """Long samples as a table of array pieces, some of them short, of ``length`` samples at most."""
+    number = F.floor((F.col("idx") + F.pmod(F.xxhash64(*keys), F.lit(length))) / length)
+    grouped = long.groupBy(*keys, number.alias("piece")).agg(
+        F.min("idx").cast("long").alias("start"), F.array_sort(F.collect_list(F.struct("idx", value))).alias("held")
+    )
+    return grouped.select(*keys, "start", F.col(f"held.{value}").alias("samples"))
+
+
+def sample_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``samples`` as array pieces of up to seven raw values."""
+    return as_pieces(samples(spark, sf_dir), ["entity_id", "record_id", "channel"], "raw", 7)
+
+
+def gapped_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sample_index`` with an empty last slot for every entity."""
+    index = sample_index(spark, sf_dir).select("entity_id", "seq", "record_id")
+    gaps = index.select("entity_id").distinct().selectExpr("entity_id", "9 as seq", "cast(null as int) as record_id")
+    return index.unionByName(gaps)
+
+
+def user_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``user_samples`` as array pieces of up to three values."""
+    keys = ["entity_id", "record_id", "channel", "sampling_frequency"]
+    return as_pieces(user_samples(spark, sf_dir), keys, "value", 3)
+
+
+def embedding_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embedding vectors as numbered pieces of the recordings of their label."""
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("label").alias("entity_id"),
+        (F.col("vec_id") % 3).cast("int").alias("record_id"),
+        F.lit("vector").alias("channel"),
+        F.col("vec_id").alias("number"),
+        F.col("embedding").alias("samples"),
+    )
+
+
 def sample_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The recordings of ``samples`` in order."""
     return (

@@ -1,6 +1,8 @@
 import hashlib
+import itertools
 import math
 import random
+from fractions import Fraction
 
 import pytest
 from conftest import rows
@@ -41,7 +43,7 @@ def brute_permutation(data, n, seed):
 
 
 def test_permutation_matches_brute_force(pairs):
-    got = hy.permutation_test(pairs, 150, "7").head()
+    got = hy.permutation_test(pairs, 150, "7", "order").head()
     assert (got.n_x, got.n_y, got.n_permutations) == (700, 658, 150)
     assert got.n_above == brute_permutation(PAIRS, 150, "7")
     assert got.p_value == got.n_above / 150
@@ -50,28 +52,57 @@ def test_permutation_matches_brute_force(pairs):
 def test_permutation_p_inside(spark):
     data = [(i, i * 7 % 10, (i * 3 + 1) % 10 + (i % 9 == 0)) for i in range(300)]
     df = spark.createDataFrame(data, "entity_id long, actual int, predicted int")
-    got = hy.permutation_test(df.repartition(6), 200, "1").head()
+    got = hy.permutation_test(df.repartition(6), 200, "1", "order").head()
     assert 0 < got.p_value < 1
     assert got.n_above == brute_permutation(data, 200, "1")
-    assert tuple(got) == tuple(hy.permutation_test(df.coalesce(1), 200, "1").head())
+    assert tuple(got) == tuple(hy.permutation_test(df.coalesce(1), 200, "1", "order").head())
 
 
 def test_permutation_zone_is_checked(pairs, monkeypatch):
     monkeypatch.setattr(hy, "ZONE_SIGMAS", 0.01)
     with pytest.raises(Exception, match="split point"):
-        hy.permutation_test(pairs, 50).collect()
+        hy.permutation_test(pairs, 50, method="order").collect()
 
 
-def test_permutation_takes_any_doubles(spark):
+@pytest.mark.parametrize("factor", [1.0, 1e-12, 1e10, 1e-300, 1e300])
+@pytest.mark.parametrize("method", ["order", "draws"])
+def test_permutation_takes_any_doubles(spark, factor, method):
     rng = random.Random(8)
-    data = [(i, rng.gauss(2, 1), rng.gauss(2.1, 1) if i % 3 else None) for i in range(200)]
+    data = [(i, factor * rng.gauss(2, 1), factor * rng.gauss(2.1, 1) if i % 3 else None) for i in range(200)]
     df = spark.createDataFrame(data, "entity_id long, actual double, predicted double")
-    got = hy.permutation_test(df, 120, "3").head()
-    fixed = [(i, round(x * 10**9), None if y is None else round(y * 10**9)) for i, x, y in data]
-    assert got.n_above == brute_permutation(fixed, 120, "3") and 0 < got.p_value < 1
-    assert (got.n_x, got.n_y) == (200, 133)
+    got = hy.permutation_test(df, 120, "3", method).head()
+    exact = [(i, Fraction(x), None if y is None else Fraction(y)) for i, x, y in data]
+    if method == "order":
+        assert got.n_above == brute_permutation(exact, 120, "3")
+    assert 0 < got.p_value < 1 and (got.n_x, got.n_y) == (200, 133)
     y = [p for _, _, p in data if p is not None]
-    assert got.statistic == pytest.approx(abs(sum(x for _, x, _ in data) / 200 - sum(y) / 133), abs=1e-8)
+    assert got.statistic == pytest.approx(abs(sum(x for _, x, _ in data) / 200 - sum(y) / 133), rel=1e-9)
+
+
+def enumerated(x, y):
+    """p over all splits of the pool, by exact sums."""
+    pool = [Fraction(v) for v in x + y]
+    total, n_x = sum(pool), len(x)
+    gap = lambda s: abs(s * len(y) - (total - s) * n_x)
+    seen = gap(sum(pool[:n_x]))
+    splits = [sum(c) for c in itertools.combinations(pool, n_x)]
+    return sum(gap(s) > seen for s in splits) / len(splits)
+
+
+@pytest.mark.parametrize("x, y", [
+    ([1, 1, 2, 2, 5, 5], [1, 2, 3, 3, 3, 4, 4]), ([0.1, 0.2, 0.3, 1e-12], [0.15, 0.25, 7.5]),
+    ([1e10, 2e10, 1.5e10], [1e10, 3e10, 1e10, 1e10]), ([2, 2, 2], [2, 2]), ([-1e-12, 3e-12], [1e-12, 1e-12, 2e-12]),
+])
+def test_draws_against_all_splits(spark, monkeypatch, x, y):
+    data = [(i, a, None) for i, a in enumerate(map(float, x))] + [(i + 50, None, b) for i, b in enumerate(map(float, y))]
+    df = spark.createDataFrame(data, "entity_id long, actual double, predicted double")
+    p, n = enumerated(x, y), 4_000
+    for per_bucket in (50_000, 2):
+        monkeypatch.setattr(hy, "VALUES_PER_BUCKET", per_bucket)
+        got = hy.permutation_test(df.repartition(3), n, "9").head()
+        assert (got.n_x, got.n_y, got.n_permutations) == (len(x), len(y), n)
+        assert abs(got.p_value - p) <= 5 * math.sqrt(p * (1 - p) / n)
+        assert tuple(got) == tuple(hy.permutation_test(df.coalesce(1), n, "9").head())
 
 
 def test_unpaired_values_count_where_they_can(spark):
