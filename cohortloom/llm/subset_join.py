@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 
@@ -20,10 +21,14 @@ from cohortloom.operators.scale import maybe_broadcast, skew_join
 SHINGLE_WORDS, PERCENT = 3, 90
 #: Sizes between which the boundary of small and large sets is chosen.
 BOUNDARIES = range(10, 41)
+#: Rows of subsets that weigh as much as a row of a list, whose sets are compared whole.
+LIST_WEIGHT = 4
 #: Rounds in which lists are compared with one of their sets, before what is left of them is joined.
 STAR_ROUNDS = 3
 #: Sets that one copy of a frequent set is compared with.
-CHUNK = 2_000
+CHUNK = 256
+#: Bits that a set is folded to; two sets differ in as many members as bits, or more.
+FOLDED_BITS = 512
 _BASE = 0xD1B54A32D192ED03
 
 
@@ -83,8 +88,9 @@ class _Shared:
 
 
 def _sets(packs: DataFrame, shared: _Shared, percent: int) -> DataFrame:
-    """(key, n, node, held): size of every row's set; of those that can be linked, its id, and
-    at one row of each pack the shingles that other documents share, sorted."""
+    """(key, n, node, held, bits): size of every row's set; of those that can be linked, its id, and
+    at one row of each pack the shingles that other documents share, sorted, and all folded to
+    bits: whether an odd number of them have the same remainder."""
 
     def run(batches):
         def rows():
@@ -98,15 +104,21 @@ def _sets(packs: DataFrame, shared: _Shared, percent: int) -> DataFrame:
                     n = len(own)
                     # At least percent of the set must stand elsewhere.
                     if not n or 100 * int(common.sum()) < percent * n:
-                        yield key, n, None, None
+                        yield key, n, None, None, None
                         continue
                     node = xxhash.xxh3_128_digest(own.tobytes())
-                    yield key, n, node, None if node in seen else own[common].tobytes()
+                    if node in seen:
+                        yield key, n, node, None, None
+                        continue
+                    odd = np.bincount((own % np.uint64(FOLDED_BITS)).astype(np.int64), minlength=FOLDED_BITS) & 1
+                    bits = np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
+                    yield key, n, node, own[common].tobytes(), bits
                     seen.add(node)
 
-        yield from arrow_rows({"key": pa.int64(), "n": pa.int64(), "node": pa.binary(), "held": pa.binary()}, rows())
+        cells = {"key": pa.int64(), "n": pa.int64(), "node": pa.binary(), "held": pa.binary(), "bits": pa.list_(pa.int64())}
+        yield from arrow_rows(cells, rows())
 
-    return map_arrow(packs, run, "key long, n long, node binary, held binary")
+    return map_arrow(packs, run, "key long, n long, node binary, held binary, bits array<long>")
 
 
 def _entries(nodes: DataFrame, percent: int) -> DataFrame:
@@ -138,7 +150,7 @@ def _boundary(nodes: DataFrame, members: DataFrame, percent: int) -> int:
     """Size from which sets go through lists: least rows of subsets and lists together."""
     top = BOUNDARIES[-1]
     small = nodes.where(F.col("n") < top).groupBy("n", F.floor(F.octet_length("held") / 8).alias("c")).count().collect()
-    listed = members.groupBy(F.least("n", F.lit(top)).alias("n")).agg(F.sum("many").alias("rows")).collect()
+    listed = members.groupBy(F.least("n", F.lit(top)).alias("n")).agg(F.count(F.lit(1)).alias("rows")).collect()
 
     def rows(boundary: int) -> int:
         subsets = sum(
@@ -146,7 +158,7 @@ def _boundary(nodes: DataFrame, members: DataFrame, percent: int) -> int:
             for r in small
             if r.n < boundary
         )
-        return subsets + sum(r.rows for r in listed if 100 * r.n >= percent * boundary)
+        return subsets + LIST_WEIGHT * sum(r.rows for r in listed if 100 * r.n >= percent * boundary)
 
     return min(BOUNDARIES, key=rows)
 
@@ -242,49 +254,71 @@ def _linked(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return map_arrow(ordered, run, "a binary, b binary")
 
 
+def _members(entry: DataFrame, percent: int) -> DataFrame:
+    """Entries of lists that can link something, with ``one``: the set that all others of the list meet first.
+
+    That is the set with the fewest shingles of its own, as the text that others were copied
+    from. An entry so far back that not even the smallest set of its list is in reach goes.
+    """
+    one = F.struct((F.col("n") - F.col("c")).alias("alone"), "node", "n", "c", "at")
+    lists = entry.groupBy("token").agg(
+        F.count(F.lit(1)).alias("many"), F.min("n").alias("least_n"), F.min(one).alias("one")
+    )
+    lists = written_table(lists.where("many > 1").drop("many"), "list_sizes")
+    most = F.least(F.col("c"), F.col("n") - F.col("at"))
+    reaches = (100 + percent) * most >= percent * (F.col("n") + F.col("least_n"))
+    return skew_join(entry, lists, ["token"]).where(reaches).drop("least_n")
+
+
+def _differing_bits(one: str, other: str) -> Column:
+    """Bits in which two folded sets differ, a lower bound of the members that only one has."""
+    bits = (F.bit_count(F.get(f"{one}.bits", F.lit(i)).bitwiseXOR(F.get(f"{other}.bits", F.lit(i)))) for i in range(FOLDED_BITS // 64))
+    return functools.reduce(lambda x, y: x + y, bits)
+
+
 def _list_links(members: DataFrame, nodes: DataFrame, links: DataFrame, boundary: int, percent: int) -> DataFrame:
     """Labels (node, label) after all lists were compared, with the links found before.
 
-    In every list all sets meet the one that is in the most lists, which then leaves it; lists
-    whose sets are connected by now are done. Sets with one label need no further link. What is
-    left after a few rounds is joined within the lists, only across labels and only pairs that
-    sizes, shared shingles and places allow.
+    In every list all sets meet one, which then leaves it; lists whose sets are connected by now
+    are done, for sets with one label need no further link. What is left after a few rounds is
+    joined within the lists, only across labels and only pairs that sizes, shared shingles, places
+    and folded bits allow.
     """
-    weight = members.groupBy("node").agg(F.sum("many").alias("weight"))
-    listed = members.where(100 * F.col("n") >= percent * boundary).join(weight, "node").drop("many")
-    open_ = written_table(listed, "lists")
-    links = written_table(links, "links")
-    labels = written_table(components(links), "labels")
-    tried = None
+    large = members.where(100 * F.col("n") >= percent * boundary)
+    open_ = large.where(F.col("node") != F.col("one.node")).drop("one")
+    met = large.withColumn("other", F.struct("node", "n", "c", "at")).where(F.col("node") != F.col("one.node"))
+    tried, labels = None, None
     for turn in range(STAR_ROUNDS + 1):
+        pairs = met.where(_possible("one", "other", boundary, percent))
+        pairs = pairs.select(F.col("one.node").alias("a"), F.col("other.node").alias("b")).distinct()
+        if tried is not None:
+            pairs = pairs.join(maybe_broadcast(tried), ["a", "b"], "left_anti")
+        pairs = written_table(pairs, "candidates")
+        if labels is None or not pairs.isEmpty():
+            tried = pairs if tried is None else written_table(tried.unionByName(pairs), "tried")
+            links = written_table(links.unionByName(_linked(pairs, nodes, percent)).distinct(), "links")
+            labels = written_table(components(links), "labels")
         named = labels.withColumnRenamed("label", "found")
         labelled = open_.join(maybe_broadcast(named), "node", "left").withColumn("label", F.coalesce("found", "node")).drop("found")
         mixed = labelled.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y"))
         mixed = written_table(mixed.where("x <> y").select("token"), "mixed")
-        if mixed.isEmpty():
+        if turn == STAR_ROUNDS or mixed.isEmpty():
             break
         open_ = written_table(labelled.join(maybe_broadcast(mixed), "token"), "lists")
-        rank = F.struct("weight", "node")
-        if turn < STAR_ROUNDS:
-            row = F.struct("node", "n", "c", "at", "weight", "label")
-            centre = written_table(open_.groupBy("token").agg(F.max_by(row, rank).alias("one")), "centres")
-            met = skew_join(open_, centre, ["token"]).withColumn("other", row)
-            open_ = met.where(F.col("node") != F.col("one.node")).select(*open_.columns).drop("label")
+        row = F.struct((F.col("n") - F.col("c")).alias("alone"), "node", "n", "c", "at", "label")
+        if turn < STAR_ROUNDS - 1:
+            first = written_table(open_.groupBy("token").agg(F.min(row).alias("one")), "centres")
+            met = skew_join(open_, first, ["token"]).withColumn("other", row).where(F.col("node") != F.col("one.node"))
+            open_ = met.select("token", "node", "n", "c", "at")
+            met = met.where(F.col("one.label") != F.col("other.label"))
         else:
-            one, other = open_.alias("one"), open_.alias("other")
-            met = one.join(other, (F.col("one.token") == F.col("other.token"))
-                           & (F.struct("one.weight", "one.node") > F.struct("other.weight", "other.node"))
+            folded = written_table(open_.join(nodes.select("node", "bits"), "node"), "folded")
+            one, other = folded.alias("one"), folded.alias("other")
+            rank = (F.struct(F.col(f"{s}.n") - F.col(f"{s}.c"), F.col(f"{s}.node")) for s in ("one", "other"))
+            near = (100 + percent) * _differing_bits("one", "other") <= (100 - percent) * (F.col("one.n") + F.col("other.n"))
+            met = one.join(other, (F.col("one.token") == F.col("other.token")) & (next(rank) < next(rank))
                            & (F.col("one.label") != F.col("other.label"))
-                           & _possible("one", "other", boundary, percent))
-        pairs = met.where((F.col("one.label") != F.col("other.label")) & _possible("one", "other", boundary, percent))
-        pairs = pairs.select(F.col("one.node").alias("a"), F.col("other.node").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written_table(pairs, "candidates")
-        if not pairs.isEmpty():
-            tried = pairs if tried is None else written_table(tried.unionByName(pairs), "tried")
-            links = written_table(links.unionByName(_linked(pairs, nodes, percent)).distinct(), "links")
-            labels = written_table(components(links), "labels")
+                           & _possible("one", "other", boundary, percent) & near)
     return labels
 
 
@@ -310,10 +344,9 @@ def join(
     shared = _Shared(size, entries, parts)
     asked = pk.with_answers(packs, pk.exchange(packs, shared.send, shared.answer, parts))
     sets = written_table(_sets(asked, shared, percent), "sets")
-    nodes = written_table(sets.where("held is not null").select("node", "n", "held").dropDuplicates(["node"]), "nodes")
-    entry = written_table(_entries(nodes, percent), "entries")
-    lists = entry.groupBy("token").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
-    members = written_table(skew_join(entry, written_table(lists, "list_sizes"), ["token"]), "members")
+    nodes = sets.where("held is not null").select("node", "n", "held", "bits").dropDuplicates(["node"])
+    nodes = written_table(nodes, "nodes")
+    members = written_table(_members(written_table(_entries(nodes, percent), "entries"), percent), "members")
     boundary = _boundary(nodes, members, percent)
     labels = _list_links(members, nodes, _subset_links(nodes, boundary, percent), boundary, percent)
     alone = sets.where("node is null").select("key", "n", F.col("key").alias("component_id"))

@@ -65,7 +65,7 @@ def corpus(seed, sizes, n=60):
     return list(enumerate(texts, 1)) + [(None, texts[-1]), (3, texts[-1]), (3, texts[-1]), (None, None)]
 
 
-@pytest.mark.parametrize("seed, sizes, rounds", [(1, range(1, 30), 3), (2, range(20, 120), 0), (3, (9, 10, 11, 12, 20, 21, 22), 1)])
+@pytest.mark.parametrize("seed, sizes, rounds", [(1, range(1, 30), 3), (2, range(20, 120), 1), (3, (9, 10, 11, 12, 20, 21, 22), 2)])
 def test_against_all_pairs(spark, monkeypatch, seed, sizes, rounds):
     monkeypatch.setattr(packs, "PACK_BYTES", 2_000)
     monkeypatch.setattr(packs, "PACK_GROWTH", 0)
