@@ -11,10 +11,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.llm import hubs
 from cohortloom.llm import packs as pk
 from cohortloom.llm.block_anchors import Words
 from cohortloom.llm.shared import arrow_rows, filled, map_arrow, written_table
-from cohortloom.operators.scale import maybe_broadcast
+from cohortloom.operators.scale import maybe_broadcast, skew_join
 
 SHINGLE_WORDS, MIN_SIMILARITY = 5, 0.8
 #: Registers of a signature, and rows of a band: a pair at the least similarity shares no band
@@ -22,6 +23,8 @@ SHINGLE_WORDS, MIN_SIMILARITY = 5, 0.8
 REGISTERS, BAND_ROWS = 128, 4
 #: Pairs whose signatures agree less than this are no candidates: five standard deviations.
 MIN_AGREEMENT = MIN_SIMILARITY - 5 * math.sqrt(MIN_SIMILARITY * (1 - MIN_SIMILARITY) / REGISTERS)
+#: Bits that a bag is folded to.
+FOLDED_BITS = 1024
 _BASE = 0xB5297A4D3F84D5B5
 
 
@@ -123,7 +126,8 @@ def _bag_id(prints: np.ndarray, counts: np.ndarray) -> bytes:
 
 def sign(df: DataFrame, text: str = "text") -> DataFrame:
     """Replace texts by bag (id of the shingles and counts; null without words), n_shingles,
-    bands (a hash for each band) and sketch (8 bits of every register, 7 to a number)."""
+    bands (a hash for each band), sketch (8 bits of every register, 7 to a number) and bits (the
+    bag folded to bits)."""
     kept = [c for c in df.columns if c != text]
     source = df.select(*kept, filled(text).alias("text"))
 
@@ -144,19 +148,22 @@ def sign(df: DataFrame, text: str = "text") -> DataFrame:
                 for i, cells in enumerate(others):
                     a, b = edges[i], edges[i + 1]
                     if a == b:
-                        yield *cells, None, 0, [], []
+                        yield *cells, None, 0, [], [], []
                     else:
                         yield (
                             *cells, _bag_id(prints[a:b], counts[a:b]), int(counts[a:b].sum()),
                             bands[i].view(np.int64), sketch[i].view(np.int64),
+                            hubs.folded(prints[a:b], counts[a:b], FOLDED_BITS),
                         )
 
         cells = {c: pa.int64() for c in kept}
         cells |= {"bag": pa.binary(), "n_shingles": pa.int64()}
-        yield from arrow_rows(cells | {"bands": pa.list_(pa.int64()), "sketch": pa.list_(pa.int64())}, rows())
+        lists = {c: pa.list_(pa.int64()) for c in ("bands", "sketch", "bits")}
+        yield from arrow_rows(cells | lists, rows())
 
     fields = "".join(f"`{c}` long, " for c in kept)
-    return map_arrow(source, run, fields + "bag binary, n_shingles long, bands array<long>, sketch array<long>")
+    fields += "bag binary, n_shingles long, bands array<long>, sketch array<long>, bits array<long>"
+    return map_arrow(source, run, fields)
 
 
 def agreement(a: Column, b: Column) -> Column:
@@ -217,19 +224,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, min_similarity: float) -> Data
         yield from arrow_rows({"bag": pa.binary(), "held": pa.binary()}, rows())
 
     held = written_table(map_arrow(sources, counted, "bag binary, held binary").dropDuplicates(["bag"]), "bags")
-    both = pairs.join(held.withColumnsRenamed({"bag": "a", "held": "held_a"}), "a").join(
-        held.withColumnsRenamed({"bag": "b", "held": "held_b"}), "b"
-    )
 
-    def compare(batches):
-        for batch in batches:
-            found = [
-                similarity(x, y) >= min_similarity - 1e-12
-                for x, y in zip(batch["held_a"].to_pylist(), batch["held_b"].to_pylist())
-            ]
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(found, pa.bool_()))
+    def linked(one, other):
+        return similarity(one[0], other[0]) >= min_similarity - 1e-12
 
-    return map_arrow(both.select("a", "b", "held_a", "held_b"), compare, "a binary, b binary")
+    return hubs.linked_pairs(pairs, held.withColumnRenamed("bag", "node"), linked)
 
 
 def similarity(x: bytes, y: bytes) -> float:
@@ -255,7 +254,7 @@ def classes(
     """
     rows = df.select(F.col(key).cast("long").alias("key"), F.xxhash64(key, text).alias("row_key"), F.col(text).alias("text"))
     signed = written_table(sign(rows), "signatures")
-    nodes = signed.where("bag is not null").select("bag", "n_shingles", "bands", "sketch").dropDuplicates(["bag"])
+    nodes = signed.where("bag is not null").select("bag", "n_shingles", "bands", "sketch", "bits").dropDuplicates(["bag"])
     nodes = written_table(nodes, "nodes")
     placed = nodes.select("bag", F.explode("bands").alias("band"))
     shared = placed.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -264,19 +263,23 @@ def classes(
     members = written_table(members.join(degree, "bag").select("band", "bag", "degree"), "buckets")
     bag_of = signed.where("bag is not null").select("row_key", "bag")
     marked = rows.select("row_key", filled("text").alias("text"))
-    small = nodes.select("bag", "n_shingles", "sketch")
+    small = nodes.select("bag", "n_shingles", "sketch", "bits")
 
-    def allowed(n_a: str, n_b: str, s_a: str, s_b: str) -> Column:
-        sizes = F.least(n_a, n_b) >= min_similarity * F.greatest(n_a, n_b) - 1e-9
-        close = agreement(F.col(s_a), F.col(s_b)) >= MIN_AGREEMENT - MIN_SIMILARITY + min_similarity
-        return sizes & close
+    def allowed(one: str, other: str) -> Column:
+        """Whether sizes, signatures and folded bits of two bags allow the least similarity."""
+        (n, m), (s, t), (x, y) = ([F.col(f"{side}.{c}") for side in (one, other)] for c in ("n_shingles", "sketch", "bits"))
+        sizes = F.least(n, m) >= min_similarity * F.greatest(n, m) - 1e-9
+        close = agreement(s, t) >= MIN_AGREEMENT - MIN_SIMILARITY + min_similarity
+        apart = hubs.differing_bits(x, y, FOLDED_BITS)
+        return sizes & (apart * (1 + min_similarity) <= (1 - min_similarity) * (n + m) + 1e-6) & close
 
     def likely(pairs: DataFrame) -> DataFrame:
-        """Distinct pairs whose sizes and signatures allow the least similarity."""
+        """Distinct pairs that are allowed; ``a``, a centre, may stand in very many."""
         pairs = pairs.distinct()
         for side in "ab":
-            pairs = pairs.join(small.select(F.col("bag").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}")), side)
-        return pairs.where(allowed("n_a", "n_b", "s_a", "s_b")).select("a", "b")
+            cells = F.struct("n_shingles", "sketch", "bits").alias(f"of_{side}")
+            pairs = skew_join(pairs, small.select(F.col("bag").alias(side), cells), [side])
+        return pairs.where(allowed("of_a", "of_b")).select("a", "b")
 
     def checked(pairs: DataFrame) -> DataFrame:
         pairs = written_table(pairs, "candidates")
@@ -289,7 +292,7 @@ def classes(
     def starred(buckets: DataFrame) -> DataFrame:
         centre = buckets.groupBy("band").agg(F.max_by("bag", F.struct("degree", "bag")).alias("centre"))
         pairs = buckets.join(centre, "band").where("bag <> centre")
-        return pairs.select(F.greatest("bag", "centre").alias("a"), F.least("bag", "centre").alias("b"))
+        return pairs.select(F.col("centre").alias("a"), F.col("bag").alias("b"))
 
     links = checked(likely(starred(members)))
     labels = written_table(components(links), "labels")
@@ -303,19 +306,22 @@ def classes(
             # The filter is part of the join, which so puts out only what it lets through.
             known = written_table(open_.join(small, "bag"), "open")
             one, other = known.alias("one"), known.alias("other")
-            apart = (F.col("one.band") == F.col("other.band")) & (F.col("one.bag") > F.col("other.bag"))
-            passing = allowed("one.n_shingles", "other.n_shingles", "one.sketch", "other.sketch")
-            pairs = one.join(other, apart & (F.col("one.label") != F.col("other.label")) & passing).select(
+            rank = [F.struct(f"{side}.degree", f"{side}.bag") for side in ("one", "other")]
+            apart = (F.col("one.band") == F.col("other.band")) & (rank[0] > rank[1])
+            apart &= F.col("one.label") != F.col("other.label")
+            pairs = one.join(other, apart & allowed("one", "other")).select(
                 F.col("one.bag").alias("a"), F.col("other.bag").alias("b")
             )
         else:
             # The centres so far have been compared; the next in each bucket are others.
             centres = open_.groupBy("band").agg(F.max_by("label", F.struct("degree", "bag")).alias("done"))
             fresh = open_.join(centres, "band").where("label <> done").groupBy("band").agg(
-                F.max_by(F.struct("bag", "label"), F.struct("degree", "bag")).alias("next")
+                F.max_by(F.struct("degree", "bag", "label"), F.struct("degree", "bag")).alias("next")
             )
+            # The one that shares more buckets first, so that a pair has one form.
+            own, other = F.struct("degree", "bag"), F.struct("next.degree", "next.bag")
             pairs = open_.join(fresh, "band").where("label <> next.label").select(
-                F.greatest("bag", "next.bag").alias("a"), F.least("bag", "next.bag").alias("b")
+                F.greatest(own, other)["bag"].alias("a"), F.least(own, other)["bag"].alias("b")
             )
         found = checked(likely(pairs))
         links = written_table(links.unionByName(found).distinct(), "links")

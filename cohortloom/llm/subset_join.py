@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import itertools
 import math
 
@@ -12,6 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.llm import hubs
 from cohortloom.llm import packs as pk
 from cohortloom.llm.bagminhash import components
 from cohortloom.llm.block_anchors import Words
@@ -25,9 +25,7 @@ BOUNDARIES = range(10, 41)
 LIST_WEIGHT = 4
 #: Rounds in which lists are compared with one of their sets, before what is left of them is joined.
 STAR_ROUNDS = 3
-#: Sets that one copy of a frequent set is compared with.
-CHUNK = 256
-#: Bits that a set is folded to; two sets differ in as many members as bits, or more.
+#: Bits that a set is folded to.
 FOLDED_BITS = 512
 _BASE = 0xD1B54A32D192ED03
 
@@ -90,7 +88,7 @@ class _Shared:
 def _sets(packs: DataFrame, shared: _Shared, percent: int) -> DataFrame:
     """(key, n, node, held, bits): size of every row's set; of those that can be linked, its id, and
     at one row of each pack the shingles that other documents share, sorted, and all folded to
-    bits: whether an odd number of them have the same remainder."""
+    bits."""
 
     def run(batches):
         def rows():
@@ -110,9 +108,7 @@ def _sets(packs: DataFrame, shared: _Shared, percent: int) -> DataFrame:
                     if node in seen:
                         yield key, n, node, None, None
                         continue
-                    odd = np.bincount((own % np.uint64(FOLDED_BITS)).astype(np.int64), minlength=FOLDED_BITS) & 1
-                    bits = np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
-                    yield key, n, node, own[common].tobytes(), bits
+                    yield key, n, node, own[common].tobytes(), hubs.folded(own, None, FOLDED_BITS)
                     seen.add(node)
 
         cells = {"key": pa.int64(), "n": pa.int64(), "node": pa.binary(), "held": pa.binary(), "bits": pa.list_(pa.int64())}
@@ -220,38 +216,15 @@ def _possible(one: str, other: str, boundary: int, percent: int) -> Column:
 
 
 def _linked(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are linked, by their members.
+    """The pairs (a, b) whose sets are linked, by their members."""
 
-    ``a`` may be in very many pairs: it is sent once for every chunk of them.
-    """
-    pairs = written_table(pairs, "pairs")
-    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
-    chunk = F.pmod(F.xxhash64("b"), F.col("chunks"))
-    split = written_table(skew_join(pairs, many, ["a"]).select("a", "b", chunk.alias("chunk")), "pairs")
-    sets = nodes.select("node", "n", "held")
-    centres = split.select("a", "chunk").distinct()
-    first = sets.withColumnRenamed("node", "a").join(maybe_broadcast(centres), "a")
-    second = sets.withColumnRenamed("node", "b").join(maybe_broadcast(split), "b")
-    columns = ["a", "chunk", "b", "n", "held"]
-    both = first.withColumn("b", F.lit(None).cast("binary")).select(*columns).unionByName(second.select(*columns))
-    ordered = both.repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
+    def linked(one, other):
+        (m, held), (n, own) = one, other
+        x, y = np.frombuffer(held, "<u8"), np.frombuffer(own, "<u8")
+        common = len(x) + len(y) - len(np.union1d(x, y))
+        return 100 * common >= percent * (m + n - common)
 
-    def run(batches):
-        def rows():
-            size, members = 0, None
-            for batch in batches:
-                for a, _, b, n, held in zip(*(c.to_pylist() for c in batch.columns)):
-                    own = np.frombuffer(held, "<u8")
-                    if b is None:
-                        size, members = n, own
-                        continue
-                    common = len(own) + len(members) - len(np.union1d(own, members))
-                    if 100 * common >= percent * (size + n - common):
-                        yield a, b
-
-        yield from arrow_rows({"a": pa.binary(), "b": pa.binary()}, rows())
-
-    return map_arrow(ordered, run, "a binary, b binary")
+    return hubs.linked_pairs(pairs, nodes.select("node", "n", "held"), linked)
 
 
 def _members(entry: DataFrame, percent: int) -> DataFrame:
@@ -270,12 +243,6 @@ def _members(entry: DataFrame, percent: int) -> DataFrame:
     return skew_join(entry, lists, ["token"]).where(reaches).drop("least_n")
 
 
-def _differing_bits(one: str, other: str) -> Column:
-    """Bits in which two folded sets differ, a lower bound of the members that only one has."""
-    bits = (F.bit_count(F.get(f"{one}.bits", F.lit(i)).bitwiseXOR(F.get(f"{other}.bits", F.lit(i)))) for i in range(FOLDED_BITS // 64))
-    return functools.reduce(lambda x, y: x + y, bits)
-
-
 def _list_links(members: DataFrame, nodes: DataFrame, links: DataFrame, boundary: int, percent: int) -> DataFrame:
     """Labels (node, label) after all lists were compared, with the links found before.
 
@@ -315,7 +282,8 @@ def _list_links(members: DataFrame, nodes: DataFrame, links: DataFrame, boundary
             folded = written_table(open_.join(nodes.select("node", "bits"), "node"), "folded")
             one, other = folded.alias("one"), folded.alias("other")
             rank = (F.struct(F.col(f"{s}.n") - F.col(f"{s}.c"), F.col(f"{s}.node")) for s in ("one", "other"))
-            near = (100 + percent) * _differing_bits("one", "other") <= (100 - percent) * (F.col("one.n") + F.col("other.n"))
+            apart = hubs.differing_bits(F.col("one.bits"), F.col("other.bits"), FOLDED_BITS)
+            near = (100 + percent) * apart <= (100 - percent) * (F.col("one.n") + F.col("other.n"))
             met = one.join(other, (F.col("one.token") == F.col("other.token")) & (next(rank) < next(rank))
                            & (F.col("one.label") != F.col("other.label"))
                            & _possible("one", "other", boundary, percent) & near)
