@@ -551,8 +551,8 @@ def permutation_draws(spark, d):
     """
     pairs = views.labels(spark, d).withColumn("actual", 1 - F.col("actual"))
     drawn = hypothesis.permutation_test(pairs, 1000, SEED)
-    sorted_p = hypothesis.permutation_test(pairs, 1000, SEED, "order").select(F.col("p_value").alias("p"))
-    return drawn.crossJoin(sorted_p).select(
+    ordered = hypothesis.permutation_test(pairs, 1000, SEED, "order")
+    return drawn.join(ordered.select("n_x", "n_y", F.col("p_value").alias("p")), ["n_x", "n_y"]).select(
         "n_x", "n_y", "n_permutations", F.round("statistic", 6).alias("statistic"),
         (F.abs(F.col("p_value") - F.col("p")) < 0.1).alias("p_agrees"),
     )
