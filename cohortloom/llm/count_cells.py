@@ -17,8 +17,9 @@ from cohortloom.operators.scale import maybe_broadcast
 MIN_DOCUMENTS, TOP_TERMS = 30, 50
 #: Steps of a share, and what is added to every count.
 UNITS, ADDED = 1_000_000_000, 5
-#: Distinct terms that a task counts before it passes them on; bytes of a text counted at once.
-HELD_TERMS, SLICE_BYTES = 200_000, 4 << 20
+#: Distinct terms that a task counts before it passes them on, and rows of a batch of them; bytes
+#: of a text counted at once.
+HELD_TERMS, HELD_ROWS, SLICE_BYTES = 400_000, 1 << 14, 4 << 20
 #: Numbers of a table of sums that a task keeps before it passes them on.
 HELD_SUMS = 1 << 20
 # Fixed value: letters of ASCII and all bytes of other characters, after A-Z are lower-cased.
@@ -46,34 +47,35 @@ def term_counts(df: DataFrame, text: str = "text", lang: str = "lang", source: s
     rows = df.select(filled(lang).alias("lang"), filled(source).alias("source"), filled(text).cast("binary").alias("text"))
 
     def run(batches):
-        def counted():
-            groups: dict[tuple, tuple[Counter, Counter]] = {}
-
-            def flush():
-                for group, (n, docs) in groups.items():
-                    yield *group, "", 0, 0
-                    for term, count in n.items():
-                        yield *group, term.decode(), count, docs[term]
-                groups.clear()
-
-            for batch in batches:
-                for *group, text in zip(*(c.to_pylist() for c in batch.columns)):
-                    n, docs = groups.setdefault(tuple(group), (Counter(), Counter()))
-                    seen: set[bytes] = set()
-                    for piece in _slices(text):
-                        terms = _TERM.findall(piece.lower())
-                        n.update(terms)
-                        seen.update(terms)
-                    docs.update(seen)
-                if sum(len(n) for n, _ in groups.values()) > HELD_TERMS:
-                    yield from flush()
-            yield from flush()
-
-        cells = {"lang": pa.string(), "source": pa.string(), "term": pa.string(), "n": pa.int64(), "docs": pa.int64()}
-        yield from arrow_rows(cells, counted())
-
-    found = map_arrow(rows, run, "lang string, source string, term string, n long, docs long")
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+        groups: dict[tuple, tuple[Counter, Counter]] = {}
+
+        def flush():
+            for group, (n, docs) in groups.items():
+                terms, counts, within = [b"", *n], [0, *n.values()], [0, *map(docs.__getitem__, n)]
+                for at in range(0, len(terms), HELD_ROWS):
+                    own = terms[at : at + HELD_ROWS]
+                    cells = [pa.repeat(pa.scalar(name, pa.string()), len(own)) for name in group]
+                    cells += [pa.array(own, pa.binary())]
+                    cells += [pa.array(x[at : at + HELD_ROWS], pa.int64()) for x in (counts, within)]
+                    yield pa.RecordBatch.from_arrays(cells, names=["lang", "source", "term", "n", "docs"])
+            groups.clear()
+
+        for batch in batches:
+            for *group, text in zip(*(c.to_pylist() for c in batch.columns)):
+                n, docs = groups.setdefault(tuple(group), (Counter(), Counter()))
+                seen: set[bytes] = set()
+                for piece in _slices(text):
+                    terms = _TERM.findall(piece.lower())
+                    n.update(terms)
+                    seen.update(terms)
+                docs.update(seen)
+            if sum(len(n) for n, _ in groups.values()) > HELD_TERMS:
+                yield from flush()
+        yield from flush()
+
+    found = map_arrow(rows, run, "lang string, source string, term binary, n long, docs long")
+    named = found.withColumn("term", F.col("term").cast("string"))
+    return named.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
