@@ -552,10 +552,10 @@ def permutation_draws(spark, d):
     pairs = views.labels(spark, d).withColumn("actual", 1 - F.col("actual"))
     drawn = hypothesis.permutation_test(pairs, 1000, SEED)
     ordered = hypothesis.permutation_test(pairs, 1000, SEED, "order")
-    return drawn.join(ordered.select("n_x", "n_y", F.col("p_value").alias("p")), ["n_x", "n_y"]).select(
-        "n_x", "n_y", "n_permutations", F.round("statistic", 6).alias("statistic"),
-        (F.abs(F.col("p_value") - F.col("p")) < 0.1).alias("p_agrees"),
-    )
+    return drawn.unionByName(ordered).groupBy("n_x", "n_y", "n_permutations").agg(
+        F.round(F.min("statistic"), 6).alias("statistic"),
+        ((F.count(F.lit(1)) == 2) & (F.max("p_value") - F.min("p_value") < 0.1)).alias("p_agrees"),
+    )
 
 
 @query
