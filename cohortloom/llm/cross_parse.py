@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm.shared import filled, map_arrow
 
-#: Bound of the sample that is fitted: rows of each language, and bytes of their joined text.
+#: Bound of the sample that is fitted: texts of each language, and bytes of their joined text.
 TRAIN_ROWS = 64
 TRAIN_BYTES = 1 << 14
 #: Bytes of a text that are parsed in step with others; a phrase ends where its block ends.
 BLOCK = 512
 #: Bytes that are parsed at once; a multiple of the block.
 STEP_BYTES = 1 << 20
+#: Places of a long text from which its share of the learned bytes is taken.
+PIECES = 4
 UNDETERMINED = "und"
 
 
@@ -137,29 +139,48 @@ class Model:
 def training_texts(
     df: DataFrame, text: str, label: str, key: str, rows: int = TRAIN_ROWS, size: int = TRAIN_BYTES
 ) -> dict[str, bytes]:
-    """At most ``size`` bytes of text for each label, from ``rows`` rows picked by their key's hash.
+    """At most ``size`` bytes of text for each label, from ``rows`` different texts picked by their hash.
 
-    Held-out rows, null labels and texts without a letter are left out. The driver gets no
-    more than ``rows`` texts of ``size`` characters for each label.
+    Held-out rows, null labels and texts without a letter are left out. Every text gives an equal
+    share, so that one odd text cannot pass for its language; what short texts leave goes to the
+    longer ones, whose share comes from places all over the text. The driver gets no more than
+    ``rows`` texts of ``size`` characters for each label, however often a key repeats.
     """
     usable = df.where(
         ~held_out(F.col(key)) & F.col(key).isNotNull() & F.col(label).isNotNull()
         & F.col(text).rlike(r"\p{L}")
-    ).select(F.col(label).alias("label"), F.col(key).alias("key"), F.xxhash64(key).alias("order"))
-    place = F.row_number().over(Window.partitionBy("label").orderBy("order", "key"))
-    picked = usable.withColumn("place", place).where(F.col("place") <= rows).distinct()
-    texts = df.select(
-        F.col(label).alias("label"), F.col(key).alias("key"), F.substring(text, 1, size).alias("text")
-    )
-    joined = texts.join(F.broadcast(picked.select("label", "key", "place")), ["label", "key"])
+    ).select(F.col(label).alias("label"), F.col(text).alias("text"), F.xxhash64(text).alias("order"))
+    # Only hashes are ranked, copies once; a task passes no more than ``rows`` of a label on.
+    place = F.row_number().over(Window.partitionBy("label").orderBy("order"))
+    hashes = usable.select("label", "order").distinct()
+    picked = hashes.withColumn("place", place).where(F.col("place") <= rows).drop("place")
+    chosen = usable.join(F.broadcast(picked), ["label", "order"])
+    texts = chosen.select("label", "order", _spread("text", size).alias("text")).distinct()
     found: dict[str, list[bytes]] = {}
-    for row in sorted(joined.distinct().collect(), key=lambda r: (r.label, r.place, r.text)):
+    for row in sorted(texts.collect(), key=lambda r: (r.label, r.order, r.text)):
         found.setdefault(row.label, []).append(prepared(row.text))
-    # Each row gives an equal share, so that one odd text cannot pass for its language.
-    return {
-        label: b"\n".join(t[: max(1, size // len(texts))] for t in texts)[:size]
-        for label, texts in found.items()
-    }
+    return {label: _shares(texts, size) for label, texts in found.items()}
+
+
+def _spread(text: str, size: int) -> Column:
+    """A text of at most ``size`` characters whole, else pieces of equal length from all over it."""
+    step = (F.length(text) - F.lit(size // PIECES)) / (PIECES - 1)
+    pieces = [F.substring(text, F.floor(step * i).cast("int") + 1, F.lit(size // PIECES)) for i in range(PIECES)]
+    return F.when(F.length(text) <= size, F.col(text)).otherwise(F.concat(*pieces))
+
+
+def _shares(texts: list[bytes], size: int) -> bytes:
+    """The texts' shares of ``size`` bytes, the shortest first, so that what they leave is shared."""
+    parts, left = [], size
+    for i, text in enumerate(sorted(texts, key=len)):
+        room = max(PIECES, left // (len(texts) - i) - 1)
+        if len(text) > room:
+            long = room // PIECES
+            starts = (k * (len(text) - long) // (PIECES - 1) for k in range(PIECES))
+            text = b"".join(text[at : at + long] for at in starts)
+        parts.append(text)
+        left -= len(text) + 1
+    return b"\n".join(parts)[:size]
 
 
 def prepared(text: str) -> bytes:

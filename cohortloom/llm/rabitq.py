@@ -83,10 +83,10 @@ class Codes:
 
 
 def _nearest(codes: Codes, k: int, rows: pd.DataFrame, asked: pd.DataFrame) -> Iterator[tuple]:
-    """(query, vec, score) of the k best rows of one part of a cell for every query."""
+    """(query, key, vec, score) of the k best rows of one part of a cell for every query."""
     cell = int(rows["cell"].iloc[0])
     rows = rows.sort_values("vec_id", kind="stable")
-    ids = rows["vec_id"].to_numpy()
+    ids, keys, copies = (rows[c].to_numpy() for c in ("vec_id", "key", "copies"))
     vectors = _matrix(rows["vector"])
     norms = np.sqrt((vectors**2).sum(1))
     packed = np.frombuffer(b"".join(rows["code"]), np.uint8).reshape(len(rows), -1)
@@ -101,17 +101,19 @@ def _nearest(codes: Codes, k: int, rows: pd.DataFrame, asked: pd.DataFrame) -> I
             for j in [i + STEP_ROWS]
         ]
         estimate, error = (np.concatenate(x, axis=1) for x in zip(*parts))
-        own = ids[None, :] == some["query_id"].to_numpy()[:, None]
-        low = np.where(own, -np.inf, estimate - error)
-        # Rows whose upper bound reaches the k-th best lower bound are compared exactly; one
-        # more than k is taken, as equal rows with the query's id may hide among them.
+        # A query is no candidate of its own, but another row with the same id and vector is.
+        own = keys[None, :] == some["key"].to_numpy()[:, None]
+        others = np.broadcast_to(copies, own.shape) - own
+        low = np.where(others > 0, estimate - error, -np.inf)
+        # Rows whose upper bound reaches the k-th best lower bound are compared exactly.
         kth = np.partition(low, -min(k, len(ids)), axis=1)[:, -min(k, len(ids))]
-        chosen = (estimate + error >= kth[:, None]) & ~own
-        for q, query_id in enumerate(some["query_id"].to_numpy()):
+        chosen = (estimate + error >= kth[:, None]) & (others > 0)
+        for q, (query_id, key) in enumerate(zip(some["query_id"], some["key"])):
             near = np.flatnonzero(chosen[q])
             exact = (vectors[near] * queries[q]).sum(1) / (norms[near] * lengths[q])
-            for x in np.lexsort((ids[near], -exact))[:k]:
-                yield query_id, ids[near[x]], exact[x]
+            best = np.lexsort((ids[near], -exact))[:k]
+            for x in np.repeat(best, np.minimum(k, others[q, near[best]]))[:k]:
+                yield query_id, key, ids[near[x]], exact[x]
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -141,20 +143,23 @@ def nearest(
     """The k nearest rows by cosine of every row whose id is divisible by ``every``.
 
     Returns query_id, rank (from 1), vec_id and score (the cosine in double precision), nearest
-    first, ties to the smaller id; all candidates if there are fewer. Rows with the query's id
-    aren't its candidates; a repeated id counts once for each different vector. Cell centres are
-    fitted on at most SAMPLE_ROWS rows of smallest id hash; every row is coded. A query meets the
+    first, ties to the smaller id; all candidates if there are fewer. Every row but the query's own
+    is a candidate, also one with the same id: rows of a repeated id each have their own list, and
+    equal rows (compared once, with their number) have equal lists. Cell centres are fitted on at most SAMPLE_ROWS rows of smallest id hash; every row is coded. A query meets the
     rows of its ``probed`` nearest cells, in tasks of CELL_ROWS rows and CELL_QUERIES queries;
     what the bounds of the estimates don't rule out is compared exactly there, so that only k
     rows for each query and task move on.
     """
     schema = "query_id long, rank int, vec_id long, score double"
     spark = df.sparkSession
-    rows = usable(df, key, vector).distinct()
+    rows = usable(df, key, vector).groupBy("vec_id", "vector").agg(F.count(F.lit(1)).alias("copies"))
+    # Told apart by 128 bits of a hash of id and components.
+    written = F.concat(F.col("vec_id").cast("string"), F.lit(":"), F.array_join("vector", ","))
+    rows = rows.withColumn("key", F.md5(written))
     total = rows.count()
     if not total:
         return spark.createDataFrame([], schema)
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").select("vector").limit(SAMPLE_ROWS).collect()
+    sample = rows.orderBy(F.xxhash64("key"), "key").select("vector").limit(SAMPLE_ROWS).collect()
     unit = np.array([r.vector for r in sample])
     unit /= np.sqrt((unit**2).sum(1, keepdims=True))
     cells = min(MOST_CELLS, math.ceil(total / ROWS_PER_CELL), len(unit))
@@ -180,11 +185,11 @@ def nearest(
                 yield f
 
     coded_rows = rows.mapInPandas(
-        coded, "vec_id long, vector array<double>, cell int, code binary, r double, fit double, along double"
+        coded, "vec_id long, vector array<double>, copies long, key string, cell int, code binary, r double, fit double, along double"
     )
     queries = rows.where(F.col("vec_id") % every == 0).mapInPandas(
-        asking, "vec_id long, vector array<double>, cells array<int>"
-    ).select(F.col("vec_id").alias("query_id"), "vector", F.explode("cells").alias("cell"))
+        asking, "vec_id long, vector array<double>, copies long, key string, cells array<int>"
+    ).select(F.col("vec_id").alias("query_id"), "vector", "copies", "key", F.explode("cells").alias("cell"))
 
     # Rows and queries of each cell, as many numbers as cells: how often each side is split.
     def pieces(df, size):
@@ -198,22 +203,26 @@ def nearest(
             "cell int, row_parts int, query_parts int",
         )
     )
-    own = F.pmod(F.xxhash64("vec_id", "vector"), F.col("row_parts")).cast("int")
+    own = F.pmod(F.xxhash64("key"), F.col("row_parts")).cast("int")
     left = coded_rows.join(splits, "cell").withColumn("part", own).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.col("query_parts") - 1))
     ).drop("row_parts", "query_parts")
-    own = F.pmod(F.xxhash64("query_id", "vector"), F.col("query_parts")).cast("int")
+    own = F.pmod(F.xxhash64("key"), F.col("query_parts")).cast("int")
     right = queries.join(splits, "cell").withColumn("block", own).withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.col("row_parts") - 1))
     ).drop("row_parts", "query_parts")
 
     def compare(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         found = list(_nearest(codes, k, rows, asked)) if len(rows) and len(asked) else []
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+        return pd.DataFrame(found, columns=["query_id", "key", "vec_id", "score"])
 
     met = left.groupBy("cell", "part", "block").cogroup(
         right.groupBy("cell", "part", "block")
-    ).applyInPandas(compare, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ).applyInPandas(compare, "query_id long, key string, vec_id long, score double")
+    order = Window.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id")
     ranked = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    # Equal query rows were searched once; each gets the list.
+    repeated = rows.where((F.col("vec_id") % every == 0) & (F.col("copies") > 1)).select("key", "copies")
+    each = F.explode(F.sequence(F.lit(1), F.coalesce("copies", F.lit(1))))
+    listed = ranked.join(repeated, "key", "left").withColumn("copy", each)
+    return listed.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -83,3 +83,19 @@ def test_nothing_learned_and_empty_table(spark):
     model = cross_parse.Model(cross_parse.training_texts(df, "text", "lang", "doc_id"))
     assert [tuple(r) for r in cross_parse.predict(df, model).collect()] == [(1, "und", 0.0)]
     assert cross_parse.predict(df.where("doc_id = 2"), model).collect() == []
+
+
+def test_learned_texts_are_bounded_and_from_all_over(spark):
+    # One id for many long texts, and a language whose texts are short.
+    long = [(7, "".join(chr(97 + (i * 7 + j // 900) % 26) for j in range(9_000)), "en") for i in range(90)]
+    short = [(i, f"kort {i}", "nl") for i in range(1000, 1090)]
+    df = spark.createDataFrame(long + short + long[:5] * 3, "doc_id long, text string, lang string")
+    got = cross_parse.training_texts(df, "text", "lang", "doc_id", rows=8, size=1_600)
+    assert 1_500 < len(got["en"]) <= 1_600
+    pieces = got["en"].split(b"\n")
+    # A share holds letters of the start, the middle and the end of its text.
+    assert len(pieces) == 8 and all(len(set(p)) >= 4 for p in pieces)
+    texts = {t.encode() for _, t, _ in short}
+    assert len(got["nl"].split(b"\n")) == 8 and set(got["nl"].split(b"\n")) <= texts
+    again = cross_parse.training_texts(df.repartition(5), "text", "lang", "doc_id", rows=8, size=1_600)
+    assert again == got

@@ -48,7 +48,7 @@ def test_split_cells_ties_and_odd_rows(spark, monkeypatch):
     pairs += [(i, [1.0] * 8) for i in range(300, 420)]
     odd = [(450, None), (451, [0.0] * 8), (500, [float("nan")] * 8), (501, [1.0, None] + [0.0] * 6),
            (502, [float("inf")] + [0.0] * 7), (503, [1.0] * 7), (504, []), (None, [1.0] * 8)]
-    df = spark.createDataFrame([(*p, "x") for p in pairs + odd + pairs[:30]], "vec_id long, embedding array<double>, cell string")
+    df = spark.createDataFrame([(*p, "x") for p in pairs + odd], "vec_id long, embedding array<double>, cell string")
     got = answers(rabitq.nearest(df).collect())
     wanted = brute(pairs)
     assert got.keys() == wanted.keys()
@@ -74,3 +74,28 @@ def test_error_bounds_hold():
     estimate, error = codes.estimate(*coded, 0, unit[:100])
     inside = np.abs(estimate - unit[:100] @ unit.T) <= error
     assert inside.mean() > 0.98 and np.abs(estimate - unit[:100] @ unit.T).mean() < 0.1
+
+
+def test_rows_of_a_repeated_id_have_their_own_lists(spark, monkeypatch):
+    monkeypatch.setattr(rabitq, "CELL_ROWS", 40)
+    monkeypatch.setattr(rabitq, "CELL_QUERIES", 2)
+    rng = np.random.default_rng(3)
+    pairs = [(i, rng.standard_normal(6).tolist()) for i in range(120)]
+    # Another vector for two queries and a candidate, equal rows, and one row many times.
+    pairs += [(i, rng.standard_normal(6).tolist()) for i in (50, 50, 100, 7)]
+    pairs += [pairs[50], pairs[100], pairs[3], *[pairs[0]] * 9]
+    df = spark.createDataFrame(pairs, "vec_id long, embedding array<double>").repartition(5)
+    got = rabitq.nearest(df).collect()
+    lists = {}
+    for r in got:
+        lists.setdefault((r.query_id, r.rank), []).append((r.vec_id, round(r.score, 9)))
+    ids, x = np.array([i for i, _ in pairs]), np.array([v for _, v in pairs])
+    unit = x / np.sqrt((x**2).sum(1, keepdims=True))
+    wanted = {}
+    for q in np.flatnonzero(ids % 50 == 0):
+        score = np.round(unit @ unit[q], 9)
+        best = [i for i in np.lexsort((ids, -score)) if i != q][:5]
+        # Equal scores of equal ids are interchangeable, so that the own row may stand for its copy.
+        for rank, i in enumerate(best, 1):
+            wanted.setdefault((int(ids[q]), rank), []).append((int(ids[i]), float(score[i])))
+    assert {k: sorted(v) for k, v in lists.items()} == {k: sorted(v) for k, v in wanted.items()}
