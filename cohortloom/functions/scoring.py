@@ -35,7 +35,8 @@ def one_hot_sex(sex: Column) -> list[Column]:
 
 
 def clip_score(score: Column, low: float = SCORE_RANGE[0], high: float = SCORE_RANGE[1]) -> Column:
-    return F.when(score.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), score)))
+    """The score within its range; NaN has no place in it and gives NULL."""
+    return F.when(score.isNotNull() & ~F.isnan(score), F.greatest(F.lit(low), F.least(F.lit(high), score)))
 
 
 def sigmoid(logit: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import scoring, text as tx
 from cohortloom.operators import features as ft
-from cohortloom.operators import exported, hypothesis, metadata, metrics, models, pieces, recordings, signals
+from cohortloom.operators import exported, failures, hypothesis, metadata, metrics, models, pieces, recordings, signals
 from cohortloom.operators import similarity as sim
 from cohortloom.operators import spectral
 from cohortloom.operators.scale import scratch_path, spread, written_table
@@ -138,6 +138,16 @@ def load_labels(spark, d):
     return metadata.load_labels(views.entity_text(spark, d))
 
 
+@query
+def label_object(spark, d):
+    """Labels as one object, written in parts and read back; names hold commas and quotes."""
+    name = F.concat(F.lit('doc,"'), F.col("entity_id").cast("string"), F.lit('\\"'))
+    labels = views.labels(spark, d).select(name.alias("entity_id"), F.col("actual").cast("double").alias("label"))
+    path = scratch_path(spark, "label_object")
+    files.write_label_object(labels, path)
+    return files.read_label_map(spark, path, layout="object")
+
+
 @query
 def read_label_map(spark, d):
     path = scratch_path(spark, "label-map")
@@ -746,6 +756,19 @@ def score_fixed(spark, d):
     return scored.select("entity_id", *(_rounded(c) for c in shown), "failed")
 
 
+@query
+def score_failures(spark, d):
+    """Scores of fixed weights for every entity, with the first step in which it failed."""
+    text, index = views.gapped_text(spark, d), views.recording_index(spark, d)
+    # Line items have no order of their own: the smallest one stands first.
+    stored = views.order_samples(spark, d).withColumn("idx", F.col("raw"))
+    failed = failures.entity_failures(text, index, stored, views.order_spec(spark, d))
+    table = metadata.metadata_features(text)
+    scored = failures.score_entities(*fixed_models(), table, failed, fill_failed=0.0)
+    shown = ("predicted_outcome", "poor_probability", "predicted_cpc")
+    return scored.select("entity_id", *(_rounded(c) for c in shown), "error.step", "error.reason", "error.n")
+
+
 @query
 def train_and_evaluate(spark, d):
     return jobs.train_and_evaluate(

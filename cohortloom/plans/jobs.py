@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.operators import features as ft
-from cohortloom.operators import hypothesis, metadata, metrics, models, recordings, signals
+from cohortloom.operators import failures, hypothesis, metadata, metrics, models, recordings, signals
 from cohortloom.operators import similarity as sim
 from cohortloom.operators import spectral
 from cohortloom.operators.scale import written_table
@@ -114,6 +114,25 @@ def train_and_evaluate(
     return reports[0].unionByName(reports[1])
 
 
+def score(
+    entity_text: DataFrame,
+    index: DataFrame,
+    samples: DataFrame,
+    fitted: tuple[PipelineModel, PipelineModel],
+    spec: DataFrame | None = None,
+    fill_failed: float | None = 0.0,
+    observation: Observation | None = None,
+    **options,
+) -> DataFrame:
+    """Scores of every entity that has a text or a recording, failures of any step included.
+
+    ``samples`` are long with raw and rescaled values; ``options`` go to the feature table.
+    """
+    failed = failures.entity_failures(entity_text, index, samples, spec)
+    table = ft.feature_matrix(entity_text, index, samples, **options)
+    return failures.score_entities(*fitted, table, failed, fill_failed, observation)
+
+
 def compare_predictions(actual: DataFrame, predicted: DataFrame, **options) -> DataFrame:
     """All tests on two label maps (entity_id, label), paired by entity.
 

@@ -353,8 +353,11 @@ SELECT entity_id, {meta}, {", ".join(wide)}, quality
 FROM meta_of m LEFT JOIN quality_of USING (entity_id)"""
 
 
-def _score_fixed() -> str:
-    """The forward pass unit by unit and the trees split by split, as plain expressions."""
+def _fixed_scores() -> tuple[str, str]:
+    """The forward pass unit by unit and the trees split by split, as plain expressions.
+
+    Gives the steps and the query of (entity_id, p, cpc) that follows them.
+    """
     network, forest = c.fixed_models()
     inputs = ", ".join(
         f"(coalesce(CAST({n} AS DOUBLE), {f}) - ({m})) * {s} AS x{i}"
@@ -376,14 +379,41 @@ def _score_fixed() -> str:
         return f"CASE WHEN x{at} <= {cut} THEN {walk(low)} ELSE {walk(high)} END"
 
     cpc = " + ".join(f"{w} * ({walk(t)})" for w, t in forest.trees)
-    return f"""WITH {FIELDS}, {INDEX}, {ORDER_SAMPLES}, {", ".join(steps)},
+    last = f"SELECT entity_id, exp({name}1) / (exp({name}0) + exp({name}1)) AS p, {cpc} AS cpc FROM {source}"
+    return ", ".join(steps), last
+
+
+def _shown(failed: str) -> str:
+    return f"""CASE WHEN {failed} THEN 0.0::DOUBLE WHEN p > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS predicted_outcome,
+        CASE WHEN {failed} THEN 0.0 ELSE round(p, 6) END AS poor_probability,
+        CASE WHEN {failed} THEN 0.0 ELSE round(least(5.0, greatest(1.0, cpc)), 6) END AS predicted_cpc"""
+
+
+def _score_fixed() -> str:
+    steps, last = _fixed_scores()
+    return f"""WITH {FIELDS}, {INDEX}, {ORDER_SAMPLES}, {steps}, raw_score AS ({last}),
       failed_of AS (SELECT DISTINCT entity_id FROM index_of i WHERE record_id IS NOT NULL AND NOT EXISTS
         (SELECT 1 FROM order_sample s WHERE s.entity_id = i.entity_id AND s.record_id = i.record_id)),
-      scored AS (SELECT entity_id, exp({name}1) / (exp({name}0) + exp({name}1)) AS p, {cpc} AS cpc,
-        entity_id IN (SELECT entity_id FROM failed_of) AS failed FROM {source})
-      SELECT entity_id, CASE WHEN failed THEN 0.0::DOUBLE WHEN p > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS predicted_outcome,
-        CASE WHEN failed THEN 0.0 ELSE round(p, 6) END AS poor_probability,
-        CASE WHEN failed THEN 0.0 ELSE round(least(5.0, greatest(1.0, cpc)), 6) END AS predicted_cpc, failed FROM scored"""
+      scored AS (SELECT *, entity_id IN (SELECT entity_id FROM failed_of) AS failed FROM raw_score)
+      SELECT entity_id, {_shown("failed")}, failed FROM scored"""
+
+
+def _score_failures() -> str:
+    """The first of three steps in which an entity fails; a checksum is wrong for every 41st order."""
+    steps, last = _fixed_scores()
+    return f"""WITH {FIELDS}, {INDEX}, {ORDER_SAMPLES}, {steps}, raw_score AS ({last}),
+      named AS (SELECT DISTINCT entity_id, record_id FROM index_of WHERE record_id IS NOT NULL),
+      no_text AS (SELECT entity_id, 1::BIGINT AS n FROM raw_score WHERE CAST(entity_id AS BIGINT) % 13 = 0),
+      lost AS (SELECT entity_id, count(*) AS n FROM named i WHERE NOT EXISTS
+        (SELECT 1 FROM order_sample s WHERE s.entity_id = i.entity_id AND s.record_id = i.record_id) GROUP BY entity_id),
+      wrong AS (SELECT entity_id, count(*) AS n FROM (SELECT DISTINCT entity_id, record_id, channel FROM order_sample
+        JOIN named USING (entity_id, record_id) WHERE CAST(record_id AS BIGINT) % 41 = 0) GROUP BY entity_id),
+      told AS (SELECT r.*, t.n AS n1, l.n AS n2, w.n AS n3, coalesce(t.n, l.n, w.n) AS n FROM raw_score r
+        LEFT JOIN no_text t USING (entity_id) LEFT JOIN lost l USING (entity_id) LEFT JOIN wrong w USING (entity_id))
+      SELECT entity_id, {_shown("n IS NOT NULL")},
+        CASE WHEN n1 > 0 THEN 'text' WHEN n2 > 0 THEN 'recordings' WHEN n3 > 0 THEN 'signals' END AS step,
+        CASE WHEN n1 > 0 THEN 'no text' WHEN n2 > 0 THEN 'recording not stored'
+          WHEN n3 > 0 THEN 'header and samples differ' END AS reason, n FROM told"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -600,7 +630,11 @@ vec AS (SELECT vec_id AS entity_id, unnest(range(len(embedding))) AS idx,
         "compare_unpaired": _decisions(UNPAIRED, 1000, 4),
         "feature_matrix": _feature_matrix(),
         "feature_matrix_pieces": _feature_matrix(),
+        "label_object": """SELECT concat('doc,"', CAST(doc_id AS VARCHAR), chr(92), '"') AS entity_id,
+            max(CAST(quality AS DOUBLE)) AS label FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+            HAVING max(quality) IS NOT NULL""",
         "score_fixed": _score_fixed(),
+        "score_failures": _score_failures(),
         "mean_impute": f"WITH {FIELDS} SELECT entity_id, {imputed} FROM meta_of",
         "linear_score": f"""WITH {FIELDS}, s AS (SELECT entity_id, {logit} + ({c.SCORE_BIAS}) AS x FROM meta_of)
             SELECT entity_id, round(1 / (1 + exp(-x)), 6) AS probability,

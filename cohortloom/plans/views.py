@@ -81,6 +81,24 @@ def order_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gapped_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``entity_text`` where some entities' texts could not be read."""
+    lost = F.col("entity_id").cast("bigint") % 13 == 0
+    return entity_text(spark, sf_dir).withColumn("text", F.when(~lost, F.col("text")))
+
+
+def order_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What headers claim about ``order_samples``; some checksums are wrong."""
+    series = ["entity_id", "record_id", "channel"]
+    wrong = (F.col("record_id").cast("bigint") % 41 == 0).cast("int")
+    return order_samples(spark, sf_dir).groupBy(*series).agg(
+        F.max("record_id").alias("signal_file"),
+        F.count(F.lit(1)).alias("num_samples"),
+        F.min("raw").alias("initial_value"),
+        (F.sum("raw") + F.max(wrong)).alias("checksum"),
+    )
+
+
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as samples of ten entities with three recordings each."""
     raw = table(spark, sf_dir, "events").selectExpr(

@@ -2,15 +2,18 @@
 
 Layout: ``<root>/<entity>/*.txt`` (``Key: value`` lines), ``*.tsv`` (recording index
 with a header row), ``*.hea`` (recording headers). Folders written by Spark are named
-``entity_id=<entity>``; both spellings are read.
+``entity_id=<entity>``; both spellings are read, and so are folders directly below the root whose
+names start with ``_`` or ``.``, which Spark's readers pass over unless they are named.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.functions import text as tx
+from cohortloom.operators.scale import running_total, written_table
 
 # The header names of a recording index file.
 INDEX_COLUMNS = {"hour": "Hour", "time": "Time", "quality": "Quality", "record_id": "Record"}
@@ -30,12 +33,24 @@ def _entity_of(path: Column) -> Column:
     return F.when(folder.startswith(label), _decoded(escaped)).otherwise(folder)
 
 
+def _load(reader: DataFrameReader, root: str) -> DataFrame:
+    """Files below the root, at any depth; hidden folders directly below it are named one by one."""
+    reader = reader.option("recursiveFileLookup", True)
+    hidden = f"{root.rstrip('/')}/[_.]*/*"
+    try:
+        return reader.load([root, hidden])
+    except AnalysisException as error:
+        # A pattern without a match is an error; if the root is the one missing, so it stays.
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return reader.load(root)
+
+
 def _whole_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
     path = _decoded(F.col("_metadata.file_path"))
+    reader = spark.read.format("text").option("wholetext", True).option("pathGlobFilter", f"*{suffix}")
     return (
-        spark.read.text(
-            root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}"
-        )
+        _load(reader, root)
         .select(
             _entity_of(path).alias("entity_id"),
             F.regexp_extract(path, rf"([^/]+)\{suffix}$", 1).alias("file_name"),
@@ -47,9 +62,7 @@ def _whole_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
 def list_entities(spark: SparkSession, root: str) -> DataFrame:
     """Sorted entity folder names. Only paths are read, never file contents."""
     files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
+        _load(spark.read.format("binaryFile"), root)
         .select(_entity_of(F.col("path")).alias("entity_id"))
     )
     return files.distinct().orderBy("entity_id")
@@ -163,14 +176,7 @@ def numeric_labels(json_text: DataFrame, key: str | None = None, value: str = "v
     count as 1 and 0, NaN becomes NULL.
     """
     if key is None:
-        members = json_text.select(
-            F.explode(
-                F.arrays_zip(
-                    F.regexp_extract_all("json", F.lit(_MEMBER), F.lit(1)).alias("id"),
-                    F.regexp_extract_all("json", F.lit(_MEMBER), F.lit(2)).alias("raw"),
-                )
-            ).alias("m")
-        ).select(_unquoted(F.concat(F.lit('"'), "m.id", F.lit('"'))).alias("entity_id"), "m.raw")
+        members = _members(json_text)
     else:
 
         def member(name: str) -> Column:
@@ -183,6 +189,20 @@ def numeric_labels(json_text: DataFrame, key: str | None = None, value: str = "v
             .alias("entity_id"),
             member(value).alias("raw"),
         )
+    return _numbers(members)
+
+
+def _members(json_text: DataFrame, *kept: str) -> DataFrame:
+    """entity_id and raw value of every member of flat objects, or pieces of them, in ``json``."""
+    found = F.arrays_zip(
+        F.regexp_extract_all("json", F.lit(_MEMBER), F.lit(1)).alias("id"),
+        F.regexp_extract_all("json", F.lit(_MEMBER), F.lit(2)).alias("raw"),
+    )
+    members = json_text.select(*kept, F.explode(found).alias("m"))
+    return members.select(*kept, _unquoted(F.concat(F.lit('"'), "m.id", F.lit('"'))).alias("entity_id"), "m.raw")
+
+
+def _numbers(members: DataFrame) -> DataFrame:
     number = tx.parse_number(F.col("raw"))
     label = F.when(F.col("raw") == "true", 1.0).when(F.col("raw") == "false", 0.0).otherwise(number)
     return (
@@ -192,8 +212,65 @@ def numeric_labels(json_text: DataFrame, key: str | None = None, value: str = "v
     )
 
 
+def write_label_object(labels: DataFrame, path: str) -> None:
+    """(entity_id, label) as one ``{id: label}`` object in ordered parts, by many tasks.
+
+    The parts, put together in the order of their names, are the object: the first starts with the
+    brace, the last ends with it. Ids are sorted; rows without an id are left out, and of a repeated
+    id the largest label stays. A missing label is ``null``.
+    """
+    known = labels.where(F.col("entity_id").isNotNull()).groupBy(F.col("entity_id").cast("string").alias("id"))
+    rows = known.agg(F.max("label").alias("label"))
+    first = rows.agg(F.min("id")).head()[0]
+    listed = F.to_json(F.array("id"))
+    name = F.substring(listed, F.lit(2), F.length(listed) - 2)
+    comma = F.when(F.col("id") == first, F.lit("")).otherwise(F.lit(",")) if first is not None else F.lit("")
+    member = F.concat(comma, name, F.lit(": "), F.coalesce(F.col("label").cast("string"), F.lit("null")))
+    body = rows.select(F.lit(1).alias("place"), "id", member.alias("value"))
+    braces = rows.sparkSession.createDataFrame([(0, "", "{"), (2, "", "}")], "place int, id string, value string")
+    body.unionByName(braces).orderBy("place", "id").select("value").write.text(path)
+
+
+def label_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """Pieces of flat JSON objects between commas outside strings: file, place and json.
+
+    A file is split like any text, with the comma as the end of a line, so that one large object
+    is read by many tasks. A running count of quotes tells whether a piece starts inside a string;
+    such pieces are put back to the one before.
+    """
+    quotes = F.length(F.regexp_replace(F.regexp_replace("value", r"\\.", ""), '[^"]', ""))
+    pieces = (
+        spark.read.option("lineSep", ",").option("recursiveFileLookup", True).text(path)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+            "value",
+            (quotes % 2).cast("long").alias("odd"),
+        )
+    )
+    # Rows are numbered once: the counts read what was written.
+    pieces = written_table(pieces, "pieces")
+    order = ["block", "row"]
+    inside = running_total(pieces, F.col("odd"), "before", keys=["file"], order=order)
+    starts = inside.withColumn("starts", (F.col("before") % 2 == 0).cast("long"))
+    numbered = running_total(starts, F.col("starts"), "place", keys=["file"], order=order)
+    # The total counts what stands before a row: one that starts a member belongs to the next.
+    place = F.col("place") + F.col("starts")
+    together = numbered.groupBy("file", place.alias("place")).agg(
+        F.array_sort(F.collect_list(F.struct("block", "row", "value"))).alias("parts")
+    )
+    return together.select("file", "place", F.array_join("parts.value", ",").alias("json"))
+
+
 def read_label_map(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
-    """Label maps written line by line, or as a single object per file (``object``)."""
-    whole = layout == "object"
-    texts = spark.read.text(path, wholetext=whole, recursiveFileLookup=True).toDF("json")
-    return numeric_labels(texts) if whole else numeric_labels(texts, "entity_id", "label")
+    """Label maps written line by line, or as a single object per file (``object``).
+
+    Of a name that an object repeats, the last value counts.
+    """
+    if layout == "object":
+        members = _members(label_pieces(spark, path), "file", "place")
+        last = members.groupBy("file", "entity_id").agg(F.max_by("raw", "place").alias("raw"))
+        return _numbers(last)
+    texts = spark.read.text(path, recursiveFileLookup=True).toDF("json")
+    return numeric_labels(texts, "entity_id", "label")

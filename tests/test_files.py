@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from conftest import rows
 from cohortloom.operators import signals
@@ -70,13 +72,12 @@ def test_label_map_of_one_object(spark, tmp_path):
 
 @pytest.mark.parametrize("written", [True, False])
 def test_odd_entity_names(spark, tmp_path, written):
-    names = ["a b", "x=y", "_u", "p+q", "100%", "é", *(["a:b"] if written else [])]
+    names = ["a b", "x=y", "_u", ".y", "p+q", "100%", "é", *(["a:b"] if written else [])]
     root = tmp_path / "cohort"
     if written:
         texts = spark.createDataFrame([(n, "Age: 1") for n in names], "entity_id string, text string")
         files.write_entity_text(texts, str(root))
     else:
-        names.remove("_u")
         for n in names:
             (root / n).mkdir(parents=True)
             (root / n / "t.txt").write_text("Age: 1")
@@ -93,3 +94,42 @@ def test_label_map_keys_and_missing_labels(spark, tmp_path):
     (tmp_path / "o" / "one.json").write_text('{"\\u00e9": 1, "a\\"b": 2}')
     got = files.read_label_map(spark, str(tmp_path / "o"), layout="object")
     assert rows(got) == [('a"b', 2.0), ("é", 1.0)]
+
+
+def test_label_object_is_split_and_ordered(spark, tmp_path):
+    names = ["a", "b,c", 'd"e', "f\\", "g\\,", '","', "h: 1,", "é", "{,}", *(f"n{i:04d}" for i in range(3000))]
+    wanted = {n: float(i) for i, n in enumerate(names)}
+    labels = [*wanted.items(), ("none", None), (None, 1.0), ("a", -5.0)]
+    df = spark.createDataFrame(labels, "entity_id string, label double").repartition(7)
+    path = tmp_path / "object"
+    # So few rows would be put into one part.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    files.write_label_object(df, str(path))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sorted(path.glob("part-*"))
+    assert len(parts) > 1
+    whole = json.loads("".join(p.read_text() for p in parts))
+    assert whole == {**wanted, "none": None} and list(whole) == sorted(whole)
+    assert rows(files.read_label_map(spark, str(path), layout="object")) == rows_of(wanted)
+    # One file in one line, read by many tasks that cut it anywhere; a repeated name counts last.
+    (tmp_path / "one").mkdir()
+    text = json.dumps({"a": "early", "n0001": 77.0})[:-1] + ", " + json.dumps(wanted)[1:]
+    (tmp_path / "one" / "m.json").write_text(text)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        assert spark.read.text(str(tmp_path / "one")).rdd.getNumPartitions() > 20
+        assert rows(files.read_label_map(spark, str(tmp_path / "one"), layout="object")) == rows_of(wanted)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_empty_label_object(spark, tmp_path):
+    df = spark.createDataFrame([], "entity_id string, label double")
+    files.write_label_object(df, str(tmp_path / "object"))
+    assert json.loads("".join(p.read_text() for p in sorted((tmp_path / "object").glob("part-*")))) == {}
+    assert files.read_label_map(spark, str(tmp_path / "object"), layout="object").collect() == []
+
+
+def rows_of(labels):
+    return sorted(labels.items(), key=repr)
