@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cohortloom.llm import hubs
 from cohortloom.llm import packs as pk
 from cohortloom.llm.block_anchors import Words
-from cohortloom.llm.shared import arrow_rows, filled, map_arrow, written_table
+from cohortloom.llm.shared import arrow_rows, filled, free_name, map_arrow, row_id, written_table
 from cohortloom.operators.scale import maybe_broadcast, skew_join
 
 SHINGLE_WORDS, MIN_SIMILARITY = 5, 0.8
@@ -125,11 +125,13 @@ def _bag_id(prints: np.ndarray, counts: np.ndarray) -> bytes:
 
 
 def sign(df: DataFrame, text: str = "text") -> DataFrame:
-    """Replace texts by bag (id of the shingles and counts; null without words), n_shingles,
+    """Replace texts, beside columns of longs or bytes, by bag (id of the shingles and counts; null without words), n_shingles,
     bands (a hash for each band), sketch (8 bits of every register, 7 to a number) and bits (the
     bag folded to bits)."""
     kept = [c for c in df.columns if c != text]
     source = df.select(*kept, filled(text).alias("text"))
+    plain = {"bigint": pa.int64(), "binary": pa.binary()}
+    others_types = {c: plain[df.schema[c].dataType.simpleString()] for c in kept}
 
     def run(batches):
         def rows():
@@ -156,12 +158,12 @@ def sign(df: DataFrame, text: str = "text") -> DataFrame:
                             hubs.folded(prints[a:b], counts[a:b], FOLDED_BITS),
                         )
 
-        cells = {c: pa.int64() for c in kept}
+        cells = dict(others_types)
         cells |= {"bag": pa.binary(), "n_shingles": pa.int64()}
         lists = {c: pa.list_(pa.int64()) for c in ("bands", "sketch", "bits")}
         yield from arrow_rows(cells | lists, rows())
 
-    fields = "".join(f"`{c}` long, " for c in kept)
+    fields = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in kept)
     fields += "bag binary, n_shingles long, bands array<long>, sketch array<long>, bits array<long>"
     return map_arrow(source, run, fields)
 
@@ -246,13 +248,13 @@ def classes(
 
     Two texts are linked if the weighted Jaccard similarity of their word shingles, counted with
     multiplicity, reaches ``min_similarity``; classes are what links connect, and ``class_id`` is
-    the smallest key of the class (null if it has none). A text without words is alone. ``row_key`` tells apart rows of one key. Texts with equal shingles are
+    the smallest key of the class (null if it has none). A text without words is alone. ``row_key`` has 128 bits and tells apart rows of one key. Texts with equal shingles are
     one node, so that exact copies in any number cost nothing further. In every bucket of a band all
     nodes are compared with the one that shares the most buckets; where that leaves several
     classes in a bucket, once more, and then all pairs across the classes left. Pairs are compared
     by signature first and by their shingles before they count; no bucket is capped.
     """
-    rows = df.select(F.col(key).cast("long").alias("key"), F.xxhash64(key, text).alias("row_key"), F.col(text).alias("text"))
+    rows = df.select(F.col(key).cast("long").alias("key"), row_id(key, text).alias("row_key"), F.col(text).alias("text"))
     signed = written_table(sign(rows), "signatures")
     nodes = signed.where("bag is not null").select("bag", "n_shingles", "bands", "sketch", "bits").dropDuplicates(["bag"])
     nodes = written_table(nodes, "nodes")
@@ -349,12 +351,13 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "row_key")
     first = found.groupBy("label").agg(F.min(order).alias("first"))
     kept = found.join(first, "label").withColumn("stays", F.col("row_key") == F.col("first.row_key"))
-    gone = kept.where("not stays").select(F.col("row_key").alias("__row")).distinct()
-    many = kept.where("stays").groupBy(F.col("row_key").alias("__row")).count().where("count > 1").select("__row")
-    marked = df.withColumn("__row", F.xxhash64(key, text))
-    left = marked.join(maybe_broadcast(written_table(gone, "gone")), "__row", "left_anti")
+    name = free_name(df, "row_key")
+    gone = kept.where("not stays").select(F.col("row_key").alias(name)).distinct()
+    many = kept.where("stays").groupBy(F.col("row_key").alias(name)).count().where("count > 1").select(name)
+    marked = df.withColumn(name, row_id(key, text))
+    left = marked.join(maybe_broadcast(written_table(gone, "gone")), name, "left_anti")
     # Rows alike in key and text: one of each stays.
     many = maybe_broadcast(written_table(many, "repeated"))
-    single = left.join(many, "__row", "left_anti")
-    repeated = left.join(many, "__row", "left_semi").dropDuplicates(["__row"])
-    return single.unionByName(repeated).drop("__row")
+    single = left.join(many, name, "left_anti")
+    repeated = left.join(many, name, "left_semi").dropDuplicates([name])
+    return single.unionByName(repeated).drop(name)

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortloom.llm.shared import filled, map_arrow
 
@@ -225,8 +226,8 @@ def with_language(
     source = df.select(
         *(F.col(f"`{c}`").alias(i) for c, i in zip(kept, inner)), filled(text).alias("text")
     )
-    fields = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in source.schema[: len(kept)])
-    found = map_arrow(source, run, f"{fields}pred string, score double")
+    told = [T.StructField("pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    found = map_arrow(source, run, T.StructType([*source.schema.fields[: len(kept)], *told]))
     return found.toDF(*kept, pred, score)
 
 

@@ -10,6 +10,7 @@ texts stay where they are.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable, Iterator, Sequence
 
@@ -18,10 +19,10 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortloom.llm.shared import arrow_rows, filled, map_arrow, scratch_path
 
-PACK_SCHEMA = "pack long, keys array<long>, sizes array<int>, more array<string>, text binary"
 #: Least bytes of text in a pack, and what it grows by with the square root of all bytes, so
 #: that neither packs nor the parts they send become too many.
 PACK_BYTES, PACK_GROWTH = 1 << 20, 8
@@ -36,9 +37,9 @@ def write_packs(
     """Pack all rows into a table in the shared scratch folder; also returns the bytes of text.
 
     With ``ordered``, the packs' numbers follow the keys, null keys first. Null texts are empty.
-    ``carried`` names columns that go along as JSON, in ``more``.
+    ``carried`` names columns that go along with their types, as a struct in ``more``.
     """
-    more = F.to_json(F.struct(*carried)) if carried else F.lit(None).cast("string")
+    more = F.struct(*(F.col(f"`{c}`") for c in carried)) if carried else F.lit(None).cast("string")
     rows = df.select(
         F.col(key).cast("long").alias("key"), more.alias("more"), filled(text).alias("text")
     )
@@ -50,9 +51,20 @@ def write_packs(
         rows = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order, "text")
     placed = rows.select(F.spark_partition_id().alias("place"), "key", "more", "text")
 
+    schema = T.StructType([
+        T.StructField("pack", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType())),
+        T.StructField("sizes", T.ArrayType(T.IntegerType())),
+        T.StructField("more", T.ArrayType(placed.schema["more"].dataType)),
+        T.StructField("text", T.BinaryType()),
+    ])
+
     def gather(batches):
+        batches = iter(batches)
+        first = next(batches, None)
+        if first is None:
+            return
         cells = {"pack": pa.int64(), "keys": pa.list_(pa.int64()), "sizes": pa.list_(pa.int32()),
-                 "more": pa.list_(pa.string()), "text": pa.binary()}
+                 "more": pa.list_(first.schema.field("more").type), "text": pa.binary()}
 
         def packed():
             docs, held, number, place = [], 0, 0, 0
@@ -62,7 +74,7 @@ def write_packs(
                 data = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
                 return place << 32 | number, keys, [*map(len, texts)], more, data
 
-            for batch in batches:
+            for batch in itertools.chain([first], batches):
                 for place, key, more, text in zip(*(c.to_pylist() for c in batch.columns)):
                     data = text.encode()
                     if held and held + len(data) > size:
@@ -76,8 +88,8 @@ def write_packs(
         yield from arrow_rows(cells, packed(), 1)
 
     path = scratch_path(df.sparkSession, "packs")
-    map_arrow(placed, gather, PACK_SCHEMA).write.parquet(path)
-    return df.sparkSession.read.schema(PACK_SCHEMA).parquet(path), total
+    map_arrow(placed, gather, schema).write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path), total
 
 
 def squeezed(values: np.ndarray) -> bytes:
@@ -191,10 +203,12 @@ def with_answers(packs: DataFrame, *answers: DataFrame) -> DataFrame:
 
 
 def pack_rows(batches) -> Iterator[dict]:
-    """Rows of packs one by one, with sizes as an array and the plain text."""
+    """Rows of packs one by one, with sizes as an array, ``more`` as Arrow holds it and the plain text."""
     for batch in batches:
+        plain = batch.select([c for c in batch.schema.names if c != "more"])
         for i in range(batch.num_rows):
-            row = batch.slice(i, 1).to_pylist()[0]
+            row = plain.slice(i, 1).to_pylist()[0]
+            row["more"] = batch.column("more")[i].values
             row["sizes"] = np.array(row["sizes"], dtype=np.int64)
             row["text"] = zstandard.ZstdDecompressor().decompress(row["text"])
             yield row

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.operators.scale import scratch_path, written_table
 
-__all__ = ["arrow_rows", "broadcast_texts", "documents", "filled", "map_arrow", "scratch_path", "written_table"]
+__all__ = [
+    "arrow_rows", "broadcast_texts", "documents", "filled", "free_name", "map_arrow", "row_id",
+    "scratch_path", "written_table",
+]
 
 #: Bytes of a batch that goes to a Python worker; one long text may exceed it alone.
 BATCH_BYTES = 4 << 20
@@ -29,6 +32,20 @@ def filled(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """The stem, with underscores after it until the table has no such column in any case."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
+def row_id(key: str, text: str) -> Column:
+    """128 bits that tell rows of different key or text apart; nulls differ from empty texts."""
+    cells = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in (key, text)]
+    return F.unhex(F.md5(F.concat_ws(":", *cells)))
+
+
 def broadcast_texts(df: DataFrame, source: DataFrame, text: str) -> DataFrame:
     """Broadcast hint only if the texts that ``df`` is made of have few bytes in all."""
     size = source.agg(F.sum(F.octet_length(text) + 64)).head()[0] or 0

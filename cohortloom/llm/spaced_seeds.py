@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.shared import broadcast_texts, written_table
+from cohortloom.llm.shared import broadcast_texts, free_name, row_id, written_table
 from cohortloom.operators.scale import maybe_broadcast
 
 #: Aligned words that are compared, and how many of them must be equal.
@@ -105,7 +105,7 @@ def overlaps(
     shuffle beyond the limit; aligned documents are read again, only those.
     """
     source = docs.select(F.col(key).alias("doc"), "text").withColumn(
-        "row_key", F.xxhash64("doc", "text")
+        "row_key", row_id("doc", "text")
     )
     items = benchmark.select(F.col(item).alias("item"), "text").distinct()
     if masks is None:
@@ -174,9 +174,10 @@ def overlaps(
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The documents without any benchmark item, all columns and repeated rows kept."""
     found = written_table(overlaps(docs, benchmark, key, **options).select("row_key"), "leaks")
-    marked = docs.withColumn("__row_key", F.xxhash64(F.col(key), F.col("text")))
-    dirty = found.distinct().withColumnRenamed("row_key", "__row_key")
-    return marked.join(maybe_broadcast(dirty), "__row_key", "left_anti").drop("__row_key")
+    name = free_name(docs, "row_key")
+    marked = docs.withColumn(name, row_id(key, "text"))
+    dirty = found.distinct().withColumnRenamed("row_key", name)
+    return marked.join(maybe_broadcast(dirty), name, "left_anti").drop(name)
 
 
 def oracle_sql(window: int = WINDOW, min_same: int = MIN_SAME) -> str:

@@ -11,6 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortloom.llm import packs as pk
 from cohortloom.llm.shared import arrow_rows, map_arrow, written_table
@@ -370,7 +371,7 @@ def remove_duplicates(
     earlier: in a row of smaller key (null keys first), or earlier in the same text. Rows of one
     key stand in a fixed order. Strings never cross texts and are judged on the input. ``kept``
     holds the bytes left, which may break a character unless ``characters`` widens every cut to
-    whole ones; ``n_spans`` counts removed runs. Columns named in ``carried`` are returned as JSON in ``more``.
+    whole ones; ``n_spans`` counts removed runs. Columns named in ``carried`` are returned, unchanged, as a struct ``more``.
 
     Sorting all suffixes would move the text many times. So strings are first told apart by the
     least hash of the ``mark``-byte runs in them: a string whose mark is nowhere else can't be
@@ -413,36 +414,37 @@ def remove_duplicates(
     )
 
     def cut(batches):
-        def rows():
-            for row in pk.pack_rows(batches):
-                start, count = np.frombuffer(row["answers0"], "<i8").reshape(2, -1)
-                found = row["answers1"] or ()
-                raw = np.frombuffer(row["text"], np.uint8)
-                marks = np.zeros(len(raw) + 1, np.int64)
-                at = np.append(start, np.array([x["at"] for x in found], np.int64))
-                n = np.append(count, np.array([x["n"] for x in found], np.int64))
-                np.add.at(marks, at, 1)
-                np.add.at(marks, at + n + length - 1, -1)
-                removed = np.cumsum(marks[:-1]) > 0
-                if characters:
-                    _widen(removed, raw, row["sizes"])
-                end = 0
-                for doc_key, size, more in zip(row["keys"], row["sizes"].tolist(), row["more"]):
-                    own = removed[end : end + size]
-                    left = raw[end : end + size][~own].tobytes()
-                    spans = int(own[:1].sum() + (own[1:] & ~own[:-1]).sum())
-                    yield doc_key, size, size - len(left), spans, more, left
-                    end += size
-
-        cells = {"key": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(),
-                 "n_spans": pa.int64(), "more": pa.string(), "kept": pa.binary()}
-        yield from arrow_rows(cells, rows())
-
-    found = map_arrow(
-        pk.with_answers(packs, decided, runs),
-        cut,
-        "key long, n_bytes long, n_removed long, n_spans long, more string, kept binary",
-    )
+        # A batch for each pack, so that carried columns stay as Arrow holds them.
+        for row in pk.pack_rows(batches):
+            start, count = np.frombuffer(row["answers0"], "<i8").reshape(2, -1)
+            found = row["answers1"] or ()
+            raw = np.frombuffer(row["text"], np.uint8)
+            marks = np.zeros(len(raw) + 1, np.int64)
+            at = np.append(start, np.array([x["at"] for x in found], np.int64))
+            n = np.append(count, np.array([x["n"] for x in found], np.int64))
+            np.add.at(marks, at, 1)
+            np.add.at(marks, at + n + length - 1, -1)
+            removed = np.cumsum(marks[:-1]) > 0
+            if characters:
+                _widen(removed, raw, row["sizes"])
+            end, spans, kept = 0, [], []
+            for size in row["sizes"].tolist():
+                own = removed[end : end + size]
+                kept.append(raw[end : end + size][~own].tobytes())
+                spans.append(int(own[:1].sum() + (own[1:] & ~own[:-1]).sum()))
+                end += size
+            lengths = row["sizes"] - np.array([len(x) for x in kept], np.int64)
+            cells = {
+                "key": pa.array(row["keys"], pa.int64()), "n_bytes": pa.array(row["sizes"]),
+                "n_removed": pa.array(lengths), "n_spans": pa.array(spans, pa.int64()),
+                "more": row["more"], "kept": pa.array(kept, pa.binary()),
+            }
+            yield pa.RecordBatch.from_arrays(list(cells.values()), names=list(cells))
+
+    one = T.StructField("more", packs.schema["more"].dataType.elementType)
+    counts = [T.StructField(c, T.LongType()) for c in ("key", "n_bytes", "n_removed", "n_spans")]
+    schema = T.StructType([*counts, one, T.StructField("kept", T.BinaryType())])
+    found = map_arrow(pk.with_answers(packs, decided, runs), cut, schema)
     found = found.withColumnRenamed("key", key)
     return found if carried else found.drop("more")
 

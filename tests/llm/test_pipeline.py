@@ -1,5 +1,7 @@
 """The stages against plain versions of each, on their own inputs, and whole."""
 
+import datetime
+import decimal
 import hashlib
 
 import duckdb
@@ -8,6 +10,7 @@ import public_tokenizers
 import tiktoken
 import pandas as pd
 import regex
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cohortloom.llm import bpe, spaced_seeds
@@ -93,6 +96,39 @@ def test_replacement_characters_stay_and_cuts_take_whole_characters(spark, tmp_p
     assert [r.n_chars for r in rows] == [len(r.text) for r in rows]
 
 
+def test_columns_keep_types_and_names(spark, tmp_path):
+    shared = "".join(f"part {i} " for i in range(40))
+    when = datetime.datetime(2024, 2, 29, 1, 2, 3, 456789)
+    cells = (when, when.date(), decimal.Decimal("1.50"), {1: "a", 2: None}, [None, 2.5], (b"\x00\xff", None), None)
+    rows = [(1, "head " + shared, *cells), (2, shared + "tail", *cells), (3, "wholly different words", *cells[:3], None, None, None, 7)]
+    schema = (
+        "doc_id long, text string, row_key timestamp_ntz, language date, Lead decimal(9,2), more map<int,string>,"
+        " `a.b` array<double>, pack struct<`x y`: binary, z: int>, __row long"
+    )
+    docs = spark.createDataFrame(rows, schema)
+    docs = docs.withColumn("at", F.lit("1969-12-31 23:59:59.000001").cast("timestamp"))
+    docs = docs.withColumn("lang", F.lit("en"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, str(tmp_path))
+        assert found.columns == docs.columns and found.dtypes == docs.dtypes, name
+        wanted = {r.doc_id: tuple(r) for r in docs.collect()}
+        for r in found.collect():
+            assert (r[0], *r[2:]) == (wanted[r.doc_id][0], *wanted[r.doc_id][2:]), name
+            assert r.text == (wanted[r.doc_id][1] if name != "suffix_array_dedup" or r.doc_id != 2 else "tail"), name
+
+
+def test_table_of_id_and_text(spark, tmp_path):
+    shared = "".join(f"part {i} " for i in range(40))
+    docs = spark.createDataFrame([(1, "head " + shared), (2, shared + "tail"), (2, None)], "doc_id long, text string")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = corpus_pipeline.suffix_array_dedup(spark, docs, str(tmp_path))
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "head " + shared), (2, ""), (2, "tail")]
+    kept = corpus_pipeline.near_dedup(spark, docs, str(tmp_path)).collect()
+    assert sorted(map(str, kept)) == sorted(map(str, docs.where("doc_id = 1 OR text IS NULL").collect()))
+    assert sorted(map(str, corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect())) == sorted(map(str, docs.collect()))
+
+
 def test_empty_tables(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
