@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from cohortloom.llm import bagminhash, bpe, cross_parse, spaced_seeds, suffix_dedup  # noqa: E402
-from cohortloom.llm.shared import written_table  # noqa: E402
+from cohortloom.llm.shared import free_name, written_table  # noqa: E402
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -26,12 +26,13 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language; texts that are null or have no letter go."""
     model = cross_parse.Model(cross_parse.training_texts(docs, "text", "lang", "doc_id"))
-    found = cross_parse.with_language(docs, model, pred="__language", score="__lead")
+    pred, lead = free_name(docs, "language"), free_name(docs, "lead")
+    found = cross_parse.with_language(docs, model, pred=pred, score=lead)
     # With nothing to learn from, only texts without a letter can be told.
-    known = F.col("__language") != cross_parse.UNDETERMINED
+    known = F.col(pred) != cross_parse.UNDETERMINED
     if not model.languages:
         known = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return found.where(known).drop("__language", "__lead")
+    return found.where(known).drop(pred, lead)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,14 +48,12 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """
     carried = [c for c in docs.columns if c not in ("doc_id", "text")]
     found = suffix_dedup.remove_duplicates(docs, carried=carried, characters=True)
-    fields = docs.select(*carried).schema
     text = F.col("kept").cast("string")
     values = {c: F.col("more")[c] for c in carried}
-    whole = found.select("doc_id", text.alias("text"), F.from_json("more", fields).alias("more"))
-    values |= {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    values |= {"doc_id": F.col("doc_id"), "text": text}
     if "n_chars" in carried:
-        values["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return whole.select(*(values[c].alias(c) for c in docs.columns))
+        values["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return found.select(*(values[c].alias(c) for c in docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
