@@ -8,6 +8,12 @@ names start with ``_`` or ``.``, which Spark's readers pass over unless they are
 
 from __future__ import annotations
 
+import os
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -111,8 +117,12 @@ def recording_columns(index_text: DataFrame, sep: str = "\t") -> DataFrame:
 
 def write_entity_text(entity_text: DataFrame, root: str) -> None:
     """One text file per entity, written by every core."""
-    rows = entity_text.select("entity_id", "text")
-    _by_entity(rows).write.partitionBy("entity_id").text(root)
+    rows = _by_entity(entity_text.select("entity_id", "text"))
+    local = _local_path(rows.sparkSession, root)
+    if local is None:
+        rows.write.partitionBy("entity_id").text(root)
+    else:
+        _write_folders(rows.sortWithinPartitions("entity_id"), local, "txt")
 
 
 def _by_entity(rows: DataFrame) -> DataFrame:
@@ -121,6 +131,58 @@ def _by_entity(rows: DataFrame) -> DataFrame:
     return rows.repartition(tasks, "entity_id")
 
 
+# What Spark's writers escape in the name of a folder, and the folder of a missing key.
+_ESCAPED = r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]"""
+_NO_KEY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _local_path(spark: SparkSession, root: str) -> str | None:
+    """Path of the root, if it lies in a folder that the system of every executor mounts."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    uri = system.makeQualified(path).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
+def _write_folders(lines: DataFrame, root: str, extension: str, header: str | None = None) -> None:
+    """(entity_id, line), sorted by entity in each task, as files in mounted folders.
+
+    The files are those of Spark's partitioned writers, which start a process for the mode of every
+    file there. A file gets its name when it is whole, so that a repeated task does no harm.
+    """
+    if os.path.exists(root):
+        raise AnalysisException(f"[PATH_ALREADY_EXISTS] Path {root} already exists.")
+    os.makedirs(root)
+    first = b"" if header is None else f"{header}\n".encode()
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
+        name = f"part-{task:05d}.{extension}"
+        file, at, files = None, "", 0
+
+        def close() -> None:
+            file.close()
+            os.replace(file.name, f"{at}/{name}")
+
+        for batch in batches:
+            for entity, line in zip(batch[0].to_pylist(), batch[1].to_pylist()):
+                folder = re.sub(_ESCAPED, lambda c: f"%{ord(c[0]):02X}", entity) if entity else _NO_KEY
+                folder = f"{root}/entity_id={folder}"
+                if folder != at:
+                    if file:
+                        close()
+                    os.makedirs(folder, exist_ok=True)
+                    file, at, files = open(f"{folder}/.{name}.{attempt}", "wb"), folder, files + 1
+                    file.write(first)
+                file.write(f"{line or ''}\n".encode())
+        if file:
+            close()
+        yield pa.record_batch([pa.array([files], pa.int64())], names=["files"])
+
+    lines.mapInArrow(write, "files long").agg(F.sum("files")).head()
+    open(f"{root}/_SUCCESS", "w").close()
+
+
 def write_recording_index(index: DataFrame, root: str) -> None:
     """One tab-separated file per entity, rows in ``seq`` order.
 

@@ -133,3 +133,29 @@ def test_empty_label_object(spark, tmp_path):
 
 def rows_of(labels):
     return sorted(labels.items(), key=repr)
+
+
+def test_folders_are_those_of_sparks_writer(spark, tmp_path, monkeypatch):
+    names = ["a b", 'q"#%\'*/:=?\\{[]^', "\x01\t\n\x1f\x7f}|<>", "é", "twice", "twice", "", None, "no text"]
+    texts = [(n, None if n == "no text" else f"Age: {i}\né\r") for i, n in enumerate(names)]
+    df = spark.createDataFrame(texts, "entity_id string, text string")
+    with monkeypatch.context() as patch:
+        patch.setattr(files, "_local_path", lambda spark, root: None)
+        files.write_entity_text(df, str(tmp_path / "by_spark"))
+    writer = type(df.write)
+    with monkeypatch.context() as patch:
+        # Spark's writer starts a process for every file of a mounted folder.
+        patch.setattr(writer, "text", lambda *_, **__: pytest.fail("one process per entity"))
+        files.write_entity_text(df, f"file://{tmp_path}/direct")
+
+    def held(root):
+        found = {}
+        for file in root.glob("*/*.txt"):
+            found.setdefault(file.parent.name, []).append(sorted(file.read_bytes().split(b"\n")))
+        return {name: sorted(parts) for name, parts in found.items()}
+
+    assert held(tmp_path / "direct") == held(tmp_path / "by_spark")
+    assert not list((tmp_path / "direct").glob("*/.*")) and (tmp_path / "direct" / "_SUCCESS").exists()
+    assert rows(files.read_entity_text(spark, str(tmp_path / "direct")))
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        files.write_entity_text(df, str(tmp_path / "direct"))
