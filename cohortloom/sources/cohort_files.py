@@ -71,6 +71,8 @@ def list_entities(spark: SparkSession, root: str) -> DataFrame:
         _load(spark.read.format("binaryFile"), root)
         .select(_entity_of(F.col("path")).alias("entity_id"))
     )
+    # A task lists the paths of a few files only: so many of them would each write shuffle files.
+    files = files.coalesce(4 * spark.sparkContext.defaultParallelism)
     return files.distinct().orderBy("entity_id")
 
 
@@ -189,14 +191,15 @@ def write_recording_index(index: DataFrame, root: str) -> None:
     The layout itself puts an entity's rows in one file; keep large indexes in parquet.
     """
     cells = [F.col(c).cast("string").alias(name) for c, name in INDEX_COLUMNS.items()]
-    (
-        _by_entity(index)
-        .sortWithinPartitions("entity_id", "seq")
-        .select("entity_id", *cells)
-        .write.partitionBy("entity_id")
-        .option("extension", "tsv")
-        .csv(root, sep="\t", header=True, nullValue="nan")
-    )
+    rows = _by_entity(index).sortWithinPartitions("entity_id", "seq")
+    form = {"sep": "\t", "nullValue": "nan"}
+    local = _local_path(index.sparkSession, root)
+    if local is None:
+        writer = rows.select("entity_id", *cells).write.partitionBy("entity_id")
+        writer.option("extension", "tsv").csv(root, header=True, **form)
+    else:
+        line = F.to_csv(F.struct(*cells), form).alias("line")
+        _write_folders(rows.select("entity_id", line), local, "tsv", "\t".join(INDEX_COLUMNS.values()))
 
 
 COHORT_TABLES = ("entity_text", "recording_index", "samples")

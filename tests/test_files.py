@@ -159,3 +159,19 @@ def test_folders_are_those_of_sparks_writer(spark, tmp_path, monkeypatch):
     assert rows(files.read_entity_text(spark, str(tmp_path / "direct")))
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         files.write_entity_text(df, str(tmp_path / "direct"))
+
+
+def test_index_files_are_those_of_sparks_writer(spark, tmp_path, monkeypatch):
+    cells = ["1:00", "", " x ", 'a"b', "t\tt", "n\nn", "nan", None, "é,", "\\", "#"]
+    index = [(f"e{i % 3}", i, None if i == 4 else i / 3, c, None if i % 2 else 0.5, c) for i, c in enumerate(cells)]
+    df = spark.createDataFrame(
+        [*index, *index[:2]], "entity_id string, seq int, hour double, time string, quality double, record_id string"
+    )
+    with monkeypatch.context() as patch:
+        patch.setattr(files, "_local_path", lambda spark, root: None)
+        files.write_recording_index(df, str(tmp_path / "by_spark"))
+    with monkeypatch.context() as patch:
+        patch.setattr(type(df.write), "csv", lambda *_, **__: pytest.fail("one process per entity"))
+        files.write_recording_index(df, f"file://{tmp_path}/direct")
+    held = [{f.parent.name: f.read_bytes() for f in (tmp_path / n).glob("*/*.tsv")} for n in ("by_spark", "direct")]
+    assert held[0] == held[1] and len(held[0]) == 3
