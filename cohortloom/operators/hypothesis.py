@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortloom.functions import digests
 from cohortloom.operators.scale import ROWS_PER_TASK, running_total, skew_join, written_table
 
 # Half-width of the uncertain zone around the split point, in standard deviations.
@@ -28,6 +29,10 @@ VALUE_BITS = 52
 VALUES_PER_BUCKET, MOST_BUCKETS = 50_000, 1_000
 # Rows that the generator of the draws can take.
 MOST_DRAWN = 1_000_000_000
+# Hashes of permuted rows that a task computes.
+HASHES_PER_TASK = 100_000_000
+# Bits of the lower part of a value: sums of either part fit 64 bits.
+LOW_BITS = 26
 # Exact whole numbers wider than a BIGINT.
 _WIDE = "decimal(38,0)"
 
@@ -97,7 +102,6 @@ def permutation_test(
         F.count_if(~F.col("is_x")).alias("n_y"),
         F.sum(F.when(F.col("is_x"), wide)).alias("s_x"),
         F.sum(F.when(~F.col("is_x"), wide)).alias("s_y"),
-        F.max(F.abs("scaled")).alias("largest"),
     ).head()
     n_x, n_y = size.n_x, size.n_y
     if not n_x or not n_y:
@@ -107,8 +111,7 @@ def permutation_test(
     if method == "draws" and n < MOST_DRAWN:
         sums = _drawn_sums(pool, permutations, seed, n_x)
     elif method in ("draws", "order"):
-        fits = size.largest * n < 1 << 62
-        sums = _ordered_sums(pool, permutations, seed, n_x, n, "long" if fits else _WIDE)
+        sums = _ordered_sums(pool, permutations, seed, n_x, n)
     else:
         raise ValueError(f"unknown method: {method}")
     difference = F.abs(F.col("s_x") * F.lit(n).cast(_WIDE) - F.lit(str(total * n_x)).cast(_WIDE))
@@ -123,57 +126,98 @@ def permutation_test(
     )
 
 
-def _ordered_sums(
-    pool: DataFrame, permutations: int, seed: str, n_x: int, n: int, sum_type: str
-) -> DataFrame:
+def _ordered_sums(pool: DataFrame, permutations: int, seed: str, n_x: int, n: int) -> DataFrame:
     """s_x of every permutation, by sorting rows.
 
     Permutation k orders the pool by md5(seed|k|row) and puts the first n_x rows in the
     first sample. That cut lies near the share n_x/n of the hash range: hashes well
     below it are only summed, those well above are dropped, and just the few around it
     (about sqrt(n) per permutation) are ranked. Work spreads over rows and
-    permutations alike.
+    permutations alike; a task hashes its rows for many permutations at once and sums in place.
     """
     share = n_x / n
     zone = ZONE_SIGMAS * math.sqrt(share * (1 - share) / n)
 
-    def hash_at(position: float) -> str:
-        if position >= 1:
-            return "g"
-        return format(int(max(position, 0.0) * 16**15), "015x")
-
-    spark = pool.sparkSession
-    tasks = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        spark.sparkContext.defaultParallelism,
-        math.ceil(n * permutations / ROWS_PER_TASK),
-    )
-    permuted = (
-        pool.select("row_id", F.col("scaled").alias("value"))
-        .repartition(tasks, "row_id")
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("perm"))
-        .withColumn("h", F.md5(F.concat_ws("|", F.lit(seed), F.col("perm"), F.col("row_id"))))
-        .where(F.col("h") < hash_at(share + zone))
-    )
+    def hash_at(position: float) -> int:
+        return 16**15 if position >= 1 else int(max(position, 0.0) * 16**15)
+
+    low_end, high_end = hash_at(share - zone), hash_at(share + zone)
+    schema = "perm int, place binary, n long, high long, low long"
+    types = [pa.int32(), pa.binary(), *[pa.int64()] * 3]
+    names = [part.split()[0] for part in schema.split(", ")]
+    low_bits, held_rows, most_bytes = LOW_BITS, digests.CHUNK, digests.MAX_BYTES
+    salted_md5, leading, digest_bytes = digests.salted_md5, digests.leading, digests.digest_bytes
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        below = np.zeros((permutations, 3), dtype=np.int64)
+
+        def batch(*cells) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, types)], names=names)
+
+        def zone_rows(ids: list[bytes] | None, value: np.ndarray, prefixes: list[bytes]) -> Iterator[pa.RecordBatch]:
+            """Adds the rows below the zone to the sums and gives those inside it."""
+            high, low = value >> low_bits, value & ((1 << low_bits) - 1)
+            # Sums of this many rows are exact in doubles.
+            parts = np.stack([np.ones(len(value)), high, low], axis=1)
+            for part, words in salted_md5(ids if ids is not None else [b""], prefixes):
+                lead = leading(words)
+                # Rows without an id have no place of their own.
+                first = lead < np.uint64(low_end if ids is not None else high_end)
+                if ids is None:
+                    first = np.repeat(first, len(value), axis=1)
+                below[part] += np.rint(first.astype(np.float64) @ parts).astype(np.int64)
+                if ids is not None:
+                    at = np.nonzero((lead >= np.uint64(low_end)) & (lead < np.uint64(high_end)))
+                    if len(at[0]):
+                        places = [d + ids[i] for d, i in zip(digest_bytes(words, at), at[1].tolist())]
+                        ones = np.ones(len(places), dtype=np.int64)
+                        yield batch(at[0] + part.start, places, ones, high[at[1]], low[at[1]])
+
+        def rows_of(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held)
+            ids, value = table["row_id"].cast(pa.binary()).to_pylist(), table["value"].to_numpy()
+            prefixes = [f"{seed}|{k}|".encode() for k in range(permutations)]
+            kind = np.array([-1 if i is None else len(i) + len(prefixes[-1]) > most_bytes for i in ids])
+            for k in (0, 1):
+                if (kind == k).any():
+                    yield from zone_rows([ids[i] for i in np.flatnonzero(kind == k)], value[kind == k], prefixes)
+            if (kind == -1).any():
+                yield from zone_rows(None, value[kind == -1], [p[:-1] for p in prefixes])
+
+        held, size = [], 0
+        for one in batches:
+            held, size = [*held, one], size + one.num_rows
+            if size >= held_rows:
+                yield from rows_of(held)
+                held, size = [], 0
+        if size:
+            yield from rows_of(held)
+        n_below, high, low = below.T
+        yield batch(np.arange(permutations), [None] * permutations, n_below, high, low)
+
+    tasks = max(pool.sparkSession.sparkContext.defaultParallelism, math.ceil(n * permutations / HASHES_PER_TASK))
+    rows = pool.select("row_id", F.col("scaled").alias("value")).repartition(tasks, "row_id")
     # Rows below the zone share one group per permutation; zone rows are their own.
-    place = F.when(F.col("h") >= hash_at(share - zone), F.concat("h", "row_id"))
-    groups = permuted.groupBy("perm", place.alias("place")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast(sum_type)).alias("s")
+    groups = rows.mapInArrow(sums, schema).where("n > 0").repartition("perm").groupBy("perm", "place").agg(
+        *[F.sum(c).alias(c) for c in ("n", "high", "low")]
     )
     filled = F.expr(
         "sum(n) over (partition by perm order by place asc nulls first "
         "rows between unbounded preceding and current row)"
     )
+    inside = F.col("filled") <= n_x
     per_perm = (
         groups.withColumn("filled", filled)
         .groupBy("perm")
         .agg(
-            F.sum(F.when(F.col("filled") <= n_x, F.col("s").cast(_WIDE))).alias("s_x"),
+            F.sum(F.when(inside, F.col("high"))).alias("high"),
+            F.sum(F.when(inside, F.col("low"))).alias("low"),
             F.count_if(F.col("filled") == n_x).alias("cut_found"),
         )
     )
+    s_x = F.col("high").cast(_WIDE) * F.lit(1 << LOW_BITS).cast("decimal(9,0)") + F.col("low").cast(_WIDE)
     return per_perm.select(
-        F.when(F.col("cut_found") == 1, F.col("s_x")).otherwise(
+        F.when(F.col("cut_found") == 1, s_x.cast(_WIDE)).otherwise(
             F.raise_error(F.lit("split point outside its zone; raise ZONE_SIGMAS")).cast(_WIDE)
         ).alias("s_x")
     )
