@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -22,6 +23,8 @@ HIDDEN_LAYERS = (128, 64, 32, 16)
 MAX_ITERATIONS = 50
 L2_PENALTY = 0.001
 TREE_ROUNDS, TREE_DEPTH = 20, 4
+# Rows of a part that a fit reads in one task.
+LEAST_ROWS, MOST_ROWS = 2_000, 500_000
 
 
 def _preparation(names: Sequence[str]) -> list:
@@ -42,7 +45,19 @@ def _labelled(
     """Features of the entities with a label, written once: every fitting pass reads them."""
     known = labels.where(F.col(label).isNotNull()).select("entity_id", label)
     rows = features.select("entity_id", *names).join(known, "entity_id")
-    return written_table(rows, "labelled")
+    return _even_parts(written_table(rows, "labelled"))
+
+
+def _even_parts(rows: DataFrame) -> DataFrame:
+    """The rows in equal parts for the cores: narrow rows cost a fit their number, not their bytes.
+
+    A table of few bytes comes in one part, and every step of a fit would then run on one core.
+    """
+    n, cores = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
+    parts = cores * math.ceil(n / (cores * MOST_ROWS)) if n > cores * LEAST_ROWS else math.ceil(n / LEAST_ROWS)
+    if parts <= 1:
+        return rows
+    return written_table(rows.repartition(parts, "entity_id").sortWithinPartitions("entity_id"), "parts")
 
 
 def fit_outcome(

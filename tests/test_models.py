@@ -84,3 +84,16 @@ def test_whole_job(spark, data):
     ).collect()
     assert [r.part for r in report] == ["training", "held_out"]
     assert all(0 <= r.outcome_accuracy <= 1 for r in report)
+
+
+def test_fitting_tables_come_in_even_parts(spark):
+    features = spark.range(20_000).selectExpr("id as entity_id", "cast(id % 7 as double) as a").coalesce(1)
+    labels = spark.range(20_000).selectExpr("id as entity_id", "cast(id % 2 as double) as outcome")
+    sizes = [0] * 8
+    rows = models._labelled(features, labels, ["a"], "outcome")
+    for r in rows.groupBy(F.spark_partition_id().alias("part")).count().collect():
+        sizes[r.part] = r["count"]
+    assert len(sizes) == 8 and min(sizes) > 2_000
+    assert rows.agg(F.sum("entity_id"), F.countDistinct("entity_id")).head()[:] == (19_999 * 10_000, 20_000)
+    few = models._labelled(features.limit(30), labels, ["a"], "outcome")
+    assert few.rdd.getNumPartitions() == 1
