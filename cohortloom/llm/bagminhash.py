@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,8 @@ REGISTERS, BAND_ROWS = 128, 4
 MIN_AGREEMENT = MIN_SIMILARITY - 5 * math.sqrt(MIN_SIMILARITY * (1 - MIN_SIMILARITY) / REGISTERS)
 #: Bits that a bag is folded to.
 FOLDED_BITS = 1024
+#: Rows with signatures and folded bits, some 300 bytes each, that may be sent to every executor.
+BROADCAST_SIGNED = 20_000
 _BASE = 0xB5297A4D3F84D5B5
 
 
@@ -241,6 +243,25 @@ def similarity(x: bytes, y: bytes) -> float:
     return common / max(1, int(v.sum()) + int(w.sum()) - common)
 
 
+def across(buckets: DataFrame, cells: DataFrame, allowed: Callable[[str, str], Column]) -> DataFrame:
+    """Pairs (a, b) of bags with different labels that share a bucket and are allowed, each once.
+
+    ``buckets`` has band, bag, degree and label, ``cells`` what ``allowed`` compares of each bag. All
+    filters are part of the join, which so puts out only what they let through, and a pair only in
+    the first of the bands that its two bags share.
+    """
+    shared = buckets.groupBy("bag").agg(F.array_sort(F.collect_list("band")).alias("shared"))
+    cells = cells.join(maybe_broadcast(written_table(shared, "shared")), "bag")
+    known = written_table(buckets.join(cells, "bag"), "open")
+    one, other = known.alias("one"), known.alias("other")
+    rank = [F.struct(f"{side}.degree", f"{side}.bag") for side in ("one", "other")]
+    apart = (F.col("one.band") == F.col("other.band")) & (rank[0] > rank[1])
+    apart &= F.col("one.label") != F.col("other.label")
+    first = F.array_min(F.array_intersect("one.shared", "other.shared")) == F.col("one.band")
+    pairs = one.join(other, apart & allowed("one", "other") & first)
+    return pairs.select(F.col("one.bag").alias("a"), F.col("other.bag").alias("b"))
+
+
 def classes(
     df: DataFrame, key: str = "doc_id", text: str = "text", min_similarity: float = MIN_SIMILARITY
 ) -> DataFrame:
@@ -258,7 +279,8 @@ def classes(
     signed = written_table(sign(rows), "signatures")
     nodes = signed.where("bag is not null").select("bag", "n_shingles", "bands", "sketch", "bits").dropDuplicates(["bag"])
     nodes = written_table(nodes, "nodes")
-    placed = nodes.select("bag", F.explode("bands").alias("band"))
+    # Dealt by band once, for the counts and for the join with them.
+    placed = nodes.select("bag", F.explode("bands").alias("band")).repartition("band")
     shared = placed.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = written_table(placed.join(shared, "band"), "members")
     degree = members.groupBy("bag").agg(F.sum("n").alias("degree"))
@@ -277,10 +299,15 @@ def classes(
 
     def likely(pairs: DataFrame) -> DataFrame:
         """Distinct pairs that are allowed; ``a``, a centre, may stand in very many."""
-        pairs = pairs.distinct()
+        # Joins below count frequent keys first, and so read the pairs more than once.
+        pairs = written_table(pairs.distinct(), "pairs")
+        paired = pairs.select(F.col("a").alias("bag")).unionAll(pairs.select("b")).distinct()
+        known = written_table(small.join(maybe_broadcast(written_table(paired, "paired")), "bag", "left_semi"), "paired")
         for side in "ab":
             cells = F.struct("n_shingles", "sketch", "bits").alias(f"of_{side}")
-            pairs = skew_join(pairs, small.select(F.col("bag").alias(side), cells), [side])
+            pairs = skew_join(
+                pairs, known.select(F.col("bag").alias(side), cells), [side], broadcast_rows=BROADCAST_SIGNED
+            )
         return pairs.where(allowed("of_a", "of_b")).select("a", "b")
 
     def checked(pairs: DataFrame) -> DataFrame:
@@ -305,15 +332,7 @@ def classes(
         if open_.isEmpty():
             break
         if last:
-            # The filter is part of the join, which so puts out only what it lets through.
-            known = written_table(open_.join(small, "bag"), "open")
-            one, other = known.alias("one"), known.alias("other")
-            rank = [F.struct(f"{side}.degree", f"{side}.bag") for side in ("one", "other")]
-            apart = (F.col("one.band") == F.col("other.band")) & (rank[0] > rank[1])
-            apart &= F.col("one.label") != F.col("other.label")
-            pairs = one.join(other, apart & allowed("one", "other")).select(
-                F.col("one.bag").alias("a"), F.col("other.bag").alias("b")
-            )
+            found = across(open_, small, allowed)
         else:
             # The centres so far have been compared; the next in each bucket are others.
             centres = open_.groupBy("band").agg(F.max_by("label", F.struct("degree", "bag")).alias("done"))
@@ -325,7 +344,8 @@ def classes(
             pairs = open_.join(fresh, "band").where("label <> next.label").select(
                 F.greatest(own, other)["bag"].alias("a"), F.least(own, other)["bag"].alias("b")
             )
-        found = checked(likely(pairs))
+            found = likely(pairs)
+        found = checked(found)
         links = written_table(links.unionByName(found).distinct(), "links")
         labels = written_table(components(links), "labels")
 

@@ -8,6 +8,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 from cohortloom.llm import bagminhash, registry
+from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -126,3 +127,16 @@ def test_sketch_agreement(spark):
     df = spark.createDataFrame([(signed[0].sketch, signed[i].sketch) for i in range(3)], "a array<long>, b array<long>")
     same = [r[0] for r in df.select(bagminhash.agreement(df.a, df.b)).collect()]
     assert same[0] == 1.0 and 0.8 < same[1] < 1.0 and same[2] < 0.1
+
+
+def test_pairs_across_classes_come_once(spark):
+    shared = {"p": [1, 2, 3, 5], "q": [2, 3, 5], "r": [3, 5, 9], "s": [9], "t": [4]}
+    label = {"p": "p", "q": "q", "r": "q", "s": "s", "t": "t"}
+    rows = [(band, bag.encode(), 7, label[bag].encode()) for bag, bands in shared.items() for band in bands]
+    buckets = spark.createDataFrame(rows, "band long, bag binary, degree long, label binary").repartition(3)
+    cells = spark.createDataFrame([(bag.encode(), bag != "s") for bag in shared], "bag binary, fits boolean")
+    allowed = lambda one, other: F.col(f"{one}.fits") | F.col(f"{other}.fits")
+    found = sorted((r.a.decode(), r.b.decode()) for r in bagminhash.across(buckets, cells, allowed).collect())
+    assert found == [("q", "p"), ("r", "p"), ("s", "r")]
+    neither = lambda one, other: F.col(f"{one}.fits") & F.col(f"{other}.fits")
+    assert bagminhash.across(buckets, cells, neither).count() == 2
