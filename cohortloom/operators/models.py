@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cohortloom.functions import scoring
 from cohortloom.operators.exported import Exported, raw_scores
 from cohortloom.operators.features import mean_imputer, usable_features
-from cohortloom.operators.scale import written_table
+from cohortloom.operators.scale import scratch_path, written_table
 
 # Hidden layer sizes of the outcome network and rounds of training.
 HIDDEN_LAYERS = (128, 64, 32, 16)
@@ -85,7 +85,18 @@ def fit_outcome(
             maxIter=MAX_ITERATIONS,
             regParam=L2_PENALTY,
         )
-    return Pipeline(stages=[*_preparation(usable), model]).fit(rows)
+    fitted = Pipeline(stages=[*_preparation(usable), model]).fit(rows)
+    return fitted if kind == "network" else _without_summary(fitted, rows)
+
+
+def _without_summary(fitted: PipelineModel, rows: DataFrame) -> PipelineModel:
+    """The model as it is saved, without the summary of its training.
+
+    A logistic model's summary holds the session, which can't go to tasks once any rows were observed.
+    """
+    path = scratch_path(rows.sparkSession, "model")
+    fitted.save(path)
+    return PipelineModel.load(path)
 
 
 def fit_cpc(
