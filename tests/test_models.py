@@ -2,6 +2,7 @@ import pytest
 from cohortloom.operators import features as ft
 from cohortloom.operators import metrics, models
 from cohortloom.plans import jobs, views
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 
@@ -56,6 +57,15 @@ def test_fitted_models_survive_saving(features, tmp_path):
     assert p == model.transform(features).select("prediction").collect()
 
 
+def test_logistic_model_after_observed_rows(features):
+    observed = Observation()
+    features.observe(observed, F.count(F.lit(1)).alias("n")).collect()
+    assert observed.get == {"n": 200}
+    labels = features.select("entity_id", "outcome", "cpc")
+    model = models.fit_outcome(features, labels, ["a", "b"], "logistic")
+    assert model.transform(features).select("prediction").where("prediction in (0, 1)").count() == 200
+
+
 def test_split_is_stable(features):
     training, held = models.hash_split(features, 0.25)
     assert training.count() + held.count() == 200
