@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,8 +21,8 @@ from cohortloom.llm.shared import arrow_rows, filled, map_arrow, scratch_path
 RANK_BITS = 512
 #: Ids of one matrix; a longer shard holds several, a longer document goes across them.
 MATRIX_IDS = 1 << 19
-#: Bytes of text that one shard takes.
-SHARD_BYTES = 24 << 20
+#: Bytes of text that one shard takes; each shard learns its words anew.
+SHARD_BYTES = 64 << 20
 #: Shape of the files: a row for each matrix.
 SCHEMA = "shard int, matrix int, n long, planes int, bits binary, ranks binary, docs binary, ends binary, split boolean"
 
@@ -45,11 +46,14 @@ class WaveletMatrix:
         ranks = np.zeros((bits, width * 8 // RANK_BITS + 1), dtype="<u4")
         order = ids.astype(np.uint16) if bits <= 16 else ids
         for p in range(bits):
-            bit = (order >> (bits - 1 - p)) & 1 == 1
+            bit = (order & order.dtype.type(1 << (bits - 1 - p))).astype(bool)
             planes[p, : -(-n // 8)] = np.packbits(bit)
-            counts = np.bitwise_count(planes[p].reshape(-1, RANK_BITS // 8)).sum(1)
+            counts = np.bitwise_count(planes[p].view("<u8").reshape(-1, RANK_BITS // 64)).sum(1)
             ranks[p, 1:] = np.cumsum(counts)
-            order = np.concatenate([order[~bit], order[bit]])
+            before, order = order, np.empty_like(order)
+            zeros = n - int(ranks[p, -1])
+            np.compress(~bit, before, out=order[:zeros])
+            np.compress(bit, before, out=order[zeros:])
         return cls(n, planes, ranks)
 
     @classmethod
@@ -125,14 +129,15 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All ids in order: every plane, from the last, puts its rows back where they were."""
-        value = np.zeros(self.n, dtype=np.uint32)
+        value = np.zeros(self.n, dtype=np.uint16 if len(self.planes) <= 16 else np.uint32)
         for p in reversed(range(len(self.planes))):
-            bit = np.unpackbits(self.planes[p], count=self.n).astype(bool)
+            bit = np.unpackbits(self.planes[p], count=self.n).view(bool)
             zeros = self.n - self.ones[p]
+            value[zeros:] |= value.dtype.type(1 << (len(self.planes) - 1 - p))
             back = np.empty_like(value)
             back[~bit], back[bit] = value[:zeros], value[zeros:]
-            value = back | (bit.astype(np.uint32) << np.uint32(len(self.planes) - 1 - p))
-        return value
+            value = back
+        return value.astype(np.uint32)
 
 
 class WordCodec:
@@ -140,23 +145,36 @@ class WordCodec:
 
     The file's normaliser and splitter work on a text as a whole; within Latin-1 text without
     control characters they come to lower-casing and the splitter's own pattern, so that words
-    may be looked up. Any other text goes to the library whole, as does one that holds the
-    content of an added token, in letters of either case.
+    may be looked up. Such texts are cut all at once, by the kinds of their bytes in Latin-1, and the
+    different words among them are told apart by Arrow. Any other text goes to the library whole, as
+    does one that holds the content of an added token, in letters of either case.
     """
 
     #: Words kept between batches, and words that go to the library as one text.
-    MOST_WORDS, JOINED_WORDS = 400_000, 1_000
+    MOST_WORDS, JOINED_WORDS = 600_000, 100
+    #: Kinds of bytes in Latin-1.
+    BLANK, LETTER, DIGIT, SIGN = range(4)
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[str, bytes] = {}
-        # The letters of lower-cased Latin-1; other signs that count as numbers are odd.
-        letters = "a-zªµºß-öø-ÿ"
-        self.words = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[0-9]|[^\s{letters}0-9]+")
+        self._forget()
+        # Signs that count as numbers are odd, as are control characters.
         self.odd = re.compile(r"[^\t\n\r -~¡-±´-¸º»¿-ÿ]")
+        self.kinds = np.full(256, self.SIGN, dtype=np.uint8)
+        self.kinds[list(b"\t\n\r ")] = self.BLANK
+        self.kinds[list(b"0123456789")] = self.DIGIT
+        letters = "abcdefghijklmnopqrstuvwxyzªµº" + "".join(map(chr, range(0xDF, 0x100))).replace("÷", "")
+        self.kinds[list(letters.encode("latin-1"))] = self.LETTER
         file = json.loads(definition)
+        # Words that are lower-cased and cut already need neither the normaliser nor the splitter.
+        splitter = file.get("pre_tokenizer") or {}
+        after = [p for p in splitter.get("pretokenizers", [splitter]) if p and p["type"] != "Split"]
+        bare = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *after]}
+        self.by_word = Tokenizer.from_str(
+            json.dumps(file | {"normalizer": None, "added_tokens": [], "pre_tokenizer": bare})
+        )
         self.added = [t["content"].lower() for t in file.get("added_tokens") or ()]
         ending = file["model"].get("end_of_word_suffix") or ""
         vocabulary = self.tokenizer.get_vocab()
@@ -165,40 +183,101 @@ class WordCodec:
             self.ends[[i for token, i in vocabulary.items() if token.endswith(ending)]] = True
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        plain = [self._split(t) for t in texts]
-        if len(self.known) > self.MOST_WORDS:
-            self.known.clear()
-        new = set().union(*filter(None, plain)).difference(self.known)
-        self._learn(sorted(new))
-        odd = iter(self._library([t for t, words in zip(texts, plain) if words is None]))
-        lookup = self.known.__getitem__
-        return [
-            next(odd) if words is None else np.frombuffer(b"".join(map(lookup, words)), "<u4")
-            for words in plain
-        ]
-
-    def _split(self, text: str) -> list[str] | None:
-        """The words of a text that may be looked up; None for any other."""
+        plain = [self._plain(t) for t in texts]
+        odd = iter(self._library([t for t, data in zip(texts, plain) if data is None], self.tokenizer))
+        looked_up = iter(self._look_up([data for data in plain if data is not None]))
+        return [next(odd) if data is None else next(looked_up) for data in plain]
+
+    def _plain(self, text: str) -> bytes | None:
+        """The lower-cased bytes of a text whose words may be looked up; None for any other."""
         if self.odd.search(text):
             return None
         lower = text.lower()
-        return None if any(a in lower for a in self.added) else self.words.findall(lower)
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode words, many in one text, cut again after the tokens that end a word."""
-        groups = [words[i : i + self.JOINED_WORDS] for i in range(0, len(words), self.JOINED_WORDS)]
-        for group, ids in zip(groups, self._library([" ".join(g) for g in groups])):
+        return None if any(a in lower for a in self.added) else lower.encode("latin-1")
+
+    def _look_up(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of texts by their words."""
+        data = b" ".join(texts)
+        if not data:
+            return [np.empty(0, dtype="<u4")] * len(texts)
+        edges = self._edges(data)
+        # What lies between edges, blanks too, as one column over the bytes as they are.
+        cells = pa.Array.from_buffers(
+            pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(data)]
+        ).dictionary_encode()
+        places = self._places(cells.dictionary)[cells.indices.to_numpy()]
+        counts = self.sizes[places]
+        after = np.cumsum(counts)
+        ids = self.ids[np.repeat(self.starts[places] - after + counts, counts) + np.arange(after[-1])]
+        # A text's first word starts at or after its first byte.
+        firsts = np.cumsum([len(t) + 1 for t in texts[:-1]], dtype=np.int64)
+        return np.split(ids, np.append(0, after)[np.searchsorted(edges[:-1], firsts)])
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where different words stand among the known ones, the new ones learned."""
+        if len(self.known) > self.MOST_WORDS:
+            self._forget()
+        places = pc.index_in(words, value_set=self.known)
+        absent = places.is_null()
+        places = places.fill_null(0).to_numpy(zero_copy_only=False)
+        if pc.any(absent).as_py():
+            new, at = words.filter(absent), absent.to_numpy(zero_copy_only=False)
+            places = places.copy()
+            places[at] = len(self.known) + np.arange(len(new))
+            sizes, ids = self._learned(new.to_pylist())
+            self.known = pa.concat_arrays([self.known, new])
+            self.starts = np.append(self.starts, len(self.ids) + np.cumsum(sizes) - sizes)
+            self.sizes = np.append(self.sizes, sizes)
+            self.ids = np.append(self.ids, ids)
+        return places
+
+    def _forget(self) -> None:
+        """No words but the empty one are known."""
+        self.known = pa.array([b""], pa.large_binary())
+        self.starts, self.sizes, self.ids = np.zeros(1, np.int64), np.zeros(1, np.int64), np.empty(0, "<u4")
+
+    def _edges(self, data: bytes) -> np.ndarray:
+        """Where the splitter's words and the blanks between them begin, and the end of the bytes.
+
+        Letters, signs and blanks run on, every digit is a word; an apostrophe before which no sign
+        stands takes the letters of 's 't 'm 'd 're 've 'll with it.
+        """
+        raw = np.frombuffer(data, np.uint8)
+        kinds = self.kinds[raw]
+        starts = np.flatnonzero((kinds[1:] != kinds[:-1]) | (kinds[1:] == self.DIGIT)) + 1
+        edges = np.concatenate([[0], starts, [len(raw)]])
+        lone = np.flatnonzero((raw[edges[:-1]] == ord("'")) & (np.diff(edges) == 1))
+        lone = lone[edges[lone] + 1 < len(raw)]
+        first = raw[edges[lone] + 1]
+        second = raw[np.minimum(edges[lone] + 2, len(raw) - 1)]
+        second[edges[lone] + 2 >= len(raw)] = 0
+        taken = np.isin(first, list(b"stmd")) + 2 * (
+            np.isin(first, list(b"rv")) & (second == ord("e")) | (first == ord("l")) & (second == ord("l"))
+        )
+        edges[lone + 1] += taken
+        return edges
+
+    def _learned(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids of words, and the ids: many words go as one text, cut after the tokens that end a word."""
+        sizes, out = np.zeros(len(words), np.int64), []
+        full = np.array([not w.isspace() for w in words])
+        firsts = range(0, len(words), self.JOINED_WORDS)
+        groups = [words[i : i + self.JOINED_WORDS] for i in firsts]
+        for i, group, ids in zip(firsts, groups, self._library([b" ".join(g).decode("latin-1") for g in groups], self.by_word)):
+            places = i + np.flatnonzero(full[i : i + len(group)])
             ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) != len(group):
-                self.known |= {w: x.tobytes() for w, x in zip(group, self._library(group))}
-                continue
-            data, at = ids.tobytes(), 0
-            for word, end in zip(group, (ends * 4).tolist()):
-                self.known[word] = data[at:end]
-                at = end
-
-    def _library(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+            if len(ends) == len(places):
+                sizes[places] = np.diff(ends, prepend=0)
+                out.append(ids)
+            else:
+                single = self._library([w.decode("latin-1") for w in group], self.by_word)
+                sizes[i : i + len(group)] = [len(x) for x in single]
+                out += single
+        return sizes, np.concatenate(out)
+
+    @staticmethod
+    def _library(texts: list[str], tokenizer) -> list[np.ndarray]:
+        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [np.array(x.ids, dtype="<u4") for x in found]
 
 

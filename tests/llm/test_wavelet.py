@@ -1,5 +1,6 @@
 """Access, counts and places against plain arrays; documents against the tokenizer library."""
 
+import random
 import zlib
 
 import numpy as np
@@ -62,6 +63,32 @@ def test_documents_come_back(spark, tmp_path, monkeypatch, room, shard):
     assert sorted(tuple(r) for r in got) == sorted(wanted(sorted(rows)))
 
 
+def test_texts_are_cut_all_at_once(monkeypatch):
+    with open(PATH, encoding="utf-8") as file:
+        codec = wavelet.WordCodec(file.read())
+    library, draw = Tokenizer.from_file(PATH), random.Random(5)
+    parts = [*"''strevmld", "re", "ve", "ll", *" \n\t\r", "12", ".", "!", *"ßÉ÷×µªºÿ¡aB", "中", "\x85", "<|endoftext|>"]
+    texts = ["".join(draw.choices(parts[: draw.choice([11, 17, 30, len(parts)])], k=draw.randint(0, 40))) for _ in range(3_000)]
+    plain = [t for t in texts if codec._plain(t) is not None]
+    words = library.pre_tokenizer.pre_tokenize_str
+    # Cuts lie where the file's own splitter cuts, and only words go to the library, one time each.
+    for t in plain[:300]:
+        data = codec._plain(t)
+        edges = codec._edges(data).tolist() if data else [0]
+        cells = [data[a:b].decode("latin-1") for a, b in zip(edges, edges[1:])]
+        cut = [c for c in cells if c.strip()]
+        assert cut == [data.decode("latin-1")[a:b] for _, (a, b) in words(data.decode("latin-1"))]
+    wanted_ids = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    for most in (50, wavelet.WordCodec.MOST_WORDS):
+        monkeypatch.setattr(codec, "MOST_WORDS", most)
+        got = [ids.tolist() for i in range(0, len(texts), 100) for ids in codec.encode(texts[i : i + 100])]
+        assert got == wanted_ids
+    asked = []
+    monkeypatch.setattr(codec, "_learned", lambda words: asked.append(words))
+    codec.encode(texts[-100:])
+    assert asked == []
+
+
 def test_added_tokens_as_the_library_reads_them(spark, tmp_path):
     texts = [
         "see <|endoftext|> here", "<|startoftext|><|endoftext|>", "a <|ENDOFTEXT|> b", "<|endoftext", "é<|endoftext|>漢",
