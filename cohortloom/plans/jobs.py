@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from cohortloom.operators import features as ft
 from cohortloom.operators import failures, hypothesis, metadata, metrics, models, recordings, signals
@@ -75,12 +77,18 @@ def train(
     kinds: tuple[str, str] = ("network", "trees"),
     save_to: str | None = None,
 ) -> tuple[PipelineModel, PipelineModel]:
-    """Outcome and score model fitted on one feature table, saved below ``save_to`` if given."""
+    """Outcome and score model fitted on one feature table, saved below ``save_to`` if given.
+
+    A fit is a chain of short jobs, so both run at once: the tasks of one fill the gaps of the other.
+    """
     labels = metadata.load_labels(entity_text)
-    fitted = (
-        models.fit_outcome(features, labels, names, kinds[0]),
-        models.fit_cpc(features, labels, names, kinds[1]),
-    )
+
+    def fit(step, kind: str) -> PipelineModel:
+        return step(features, labels, names, kind)
+
+    with ThreadPoolExecutor(2) as pool:
+        run = inheritable_thread_target(features.sparkSession)(fit)
+        fitted = tuple(pool.map(run, (models.fit_outcome, models.fit_cpc), kinds))
     if save_to:
         for name, model in zip(("outcome", "cpc"), fitted):
             model.write().save(f"{save_to.rstrip('/')}/{name}")

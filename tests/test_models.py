@@ -1,3 +1,5 @@
+import threading
+
 import pytest
 from cohortloom.operators import features as ft
 from cohortloom.operators import metrics, models
@@ -96,6 +98,29 @@ def test_whole_job(spark, data):
     assert all(0 <= r.outcome_accuracy <= 1 for r in report)
 
 
+def test_both_models_are_fitted_at_once(spark, data, features, monkeypatch):
+    both = threading.Barrier(2, timeout=20)
+
+    def step(name):
+        def fit(table, labels, names, kind):
+            both.wait()
+            assert spark.sparkContext.getLocalProperty("fits") == "set by the caller"
+            return f"{name} {kind} of {table.count()} rows by {names}"
+
+        return fit
+
+    monkeypatch.setattr(models, "fit_outcome", step("outcome"))
+    monkeypatch.setattr(models, "fit_cpc", step("cpc"))
+    spark.sparkContext.setLocalProperty("fits", "set by the caller")
+    fitted = jobs.train(views.entity_text(spark, data), features, ["a"], ("logistic", "linear"))
+    spark.sparkContext.setLocalProperty("fits", None)
+    assert fitted == ("outcome logistic of 200 rows by ['a']", "cpc linear of 200 rows by ['a']")
+    monkeypatch.setattr(models, "fit_cpc", lambda *a: 1 / 0)
+    monkeypatch.setattr(models, "fit_outcome", lambda *a: None)
+    with pytest.raises(ZeroDivisionError):
+        jobs.train(views.entity_text(spark, data), features, ["a"])
+
+
 def test_fitting_tables_come_in_even_parts(spark):
     features = spark.range(20_000).selectExpr("id as entity_id", "cast(id % 7 as double) as a").coalesce(1)
     labels = spark.range(20_000).selectExpr("id as entity_id", "cast(id % 2 as double) as outcome")
