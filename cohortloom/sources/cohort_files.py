@@ -4,13 +4,18 @@ Layout: ``<root>/<entity>/*.txt`` (``Key: value`` lines), ``*.tsv`` (recording i
 with a header row), ``*.hea`` (recording headers). Folders written by Spark are named
 ``entity_id=<entity>``; both spellings are read, and so are folders directly below the root whose
 names start with ``_`` or ``.``, which Spark's readers pass over unless they are named.
+
+Below a mounted root the tasks list, read and write the files themselves: Spark's readers hold every
+file in the driver and open some 30 of them in a task.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import stat
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -24,6 +29,8 @@ from cohortloom.operators.scale import running_total, written_table
 # The header names of a recording index file.
 INDEX_COLUMNS = {"hour": "Hour", "time": "Time", "quality": "Quality", "record_id": "Record"}
 _INDEX_TYPES = {"hour": "int", "time": "string", "quality": "float", "record_id": "string"}
+# Names and bytes of files that a task which lists or reads folders holds at once.
+_NAMES, _HELD_BYTES = 10_000, 4 << 20
 
 
 def _decoded(text: Column) -> Column:
@@ -52,6 +59,80 @@ def _load(reader: DataFrameReader, root: str) -> DataFrame:
         return reader.load(root)
 
 
+def _local_root(spark: SparkSession, root: str) -> str | None:
+    """The root's path if it is one folder that tasks can list; a pattern is left to Spark."""
+    local = _local_path(spark, root)
+    return local if local and not re.search(r"[{}\[\]*?\\]", local) and os.path.isdir(local) else None
+
+
+def _is_hidden(name: str, is_folder: bool) -> bool:
+    """Whether Spark's readers pass over a file or a folder of this name."""
+    marked = name.startswith("_") and "=" not in name or name.startswith(".") or name.endswith("._COPYING_")
+    return marked and not (is_folder and name.startswith(("_metadata", "_common_metadata")))
+
+
+def _files_at(path: str, suffix: str, named: bool) -> Iterator[tuple[str, int]]:
+    """Paths and sizes of the files that Spark's readers find at a path, which is named or itself found."""
+    name = os.path.basename(path)
+    try:
+        held = os.stat(path)
+    except FileNotFoundError:
+        # A link to nothing is passed over; what is gone since it was listed raises again.
+        os.lstat(path)
+        return
+    if stat.S_ISDIR(held.st_mode):
+        if named or not _is_hidden(name, True):
+            for inner in os.listdir(path):
+                yield from _files_at(f"{path}/{inner}", suffix, False)
+    elif held.st_size and name.endswith(suffix) and not _is_hidden(name, False):
+        yield path, held.st_size
+
+
+def _mounted_files(spark: SparkSession, root: str, suffix: str = "", whole: bool = False) -> DataFrame:
+    """path and, if asked for, value of every file that holds bytes below a mounted root, by many tasks.
+
+    One task streams the names in the root; the others get a share of them each and list what lies below.
+    """
+
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            with os.scandir(root) as entries:
+                while some := [entry.name for entry in islice(entries, _NAMES)]:
+                    yield pa.record_batch([pa.array(some, pa.string())], names=["name"])
+
+    def found(name: str) -> Iterator[tuple[str, int]]:
+        path = f"{root}/{name}"
+        if name[0] in "_." and os.path.isdir(path):
+            for inner in os.listdir(path):
+                yield from _files_at(f"{path}/{inner}", suffix, True)
+        else:
+            yield from _files_at(path, suffix, False)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        paths, values, held = [], [], 0
+
+        def batch() -> pa.RecordBatch:
+            columns = [pa.array(paths, pa.string())] + [pa.array(values, pa.binary())] * whole
+            return pa.record_batch(columns, names=["path", "value"][: len(columns)])
+
+        for given in batches:
+            for name in given[0].to_pylist():
+                for path, size in found(name):
+                    if paths and (held + size > _HELD_BYTES or len(paths) == _NAMES):
+                        yield batch()
+                        paths, values, held = [], [], 0
+                    paths.append(path)
+                    if whole:
+                        with open(path, "rb") as file:
+                            values.append(file.read())
+                        held += size
+        yield batch()
+
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    listed = spark.range(0, 1, 1, 1).mapInArrow(names, "name string").repartition(tasks, "name")
+    return listed.mapInArrow(read, "path string, value binary" if whole else "path string")
+
+
 def _whole_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
     path = _decoded(F.col("_metadata.file_path"))
     reader = spark.read.format("text").option("wholetext", True).option("pathGlobFilter", f"*{suffix}")
@@ -67,13 +148,13 @@ def _whole_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
 
 def list_entities(spark: SparkSession, root: str) -> DataFrame:
     """Sorted entity folder names. Only paths are read, never file contents."""
-    files = (
-        _load(spark.read.format("binaryFile"), root)
-        .select(_entity_of(F.col("path")).alias("entity_id"))
-    )
-    # A task lists the paths of a few files only: so many of them would each write shuffle files.
-    files = files.coalesce(4 * spark.sparkContext.defaultParallelism)
-    return files.distinct().orderBy("entity_id")
+    local = _local_root(spark, root)
+    if local is None:
+        # A task lists the paths of a few files only: so many of them would each write shuffle files.
+        files = _load(spark.read.format("binaryFile"), root).coalesce(4 * spark.sparkContext.defaultParallelism)
+    else:
+        files = _mounted_files(spark, local)
+    return files.select(_entity_of(F.col("path")).alias("entity_id")).distinct().orderBy("entity_id")
 
 
 def read_entity_text(spark: SparkSession, root: str) -> DataFrame:

@@ -175,3 +175,60 @@ def test_index_files_are_those_of_sparks_writer(spark, tmp_path, monkeypatch):
         files.write_recording_index(df, f"file://{tmp_path}/direct")
     held = [{f.parent.name: f.read_bytes() for f in (tmp_path / n).glob("*/*.tsv")} for n in ("by_spark", "direct")]
     assert held[0] == held[1] and len(held[0]) == 3
+
+
+@pytest.fixture()
+def odd_layout(tmp_path):
+    """Folders at any depth, hidden names, links, and files without bytes."""
+    root = tmp_path / "odd"
+    named = [
+        "a/x.txt", "a/deep/deeper/y.txt", "a/_deep/y.txt", "a/.deep/y.txt", "a/_d=1/y.txt", "a/_metadata_d/y.txt",
+        "a/_skip.txt", "a/.skip.txt", "a/_metadata.txt", "a/_k=v.txt", "a/z.txt._COPYING_", "a/.txt", "a/h.hea",
+        "b._COPYING_/t.txt", "_u/t.txt", "_u/_in/t.txt", "_u/.in/t.txt", "_u/.t.txt", "_u/in/_d/t.txt", "_u/c._COPYING_/t.txt",
+        ".v/t.txt", "_m=1/t.txt", "_metadata_x/t.txt", "_common_metadata/t.txt", "entity_id=p%2Fq%25/t.txt", "entity_id=_r/t.txt",
+        "100%/t.txt", "p+q/t+u%20.txt", "a b/t.txt", "\u00e9/t.txt", "only.hea/only.hea", "top.txt", "_top.txt", "_SUCCESS",
+    ]
+    for i, name in enumerate(named):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes([b"Age: 1", b"\n\n", b"a\xff\xe2\x82 b\r\n", b"\xc3\xa9\x00\n\r"][i % 4])
+    for name in ("no bytes/t.txt", "a/empty.txt"):
+        (root / name).parent.mkdir(exist_ok=True)
+        (root / name).touch()
+    (root / "no files").mkdir()
+    (root / "linked").symlink_to(root / "a")
+    (root / "a" / "nowhere.txt").symlink_to(root / "gone")
+    return str(root)
+
+
+def by_spark(monkeypatch, read):
+    with monkeypatch.context() as patch:
+        patch.setattr(files, "_local_path", lambda spark, root: None)
+        return rows(read())
+
+
+def by_tasks(spark, monkeypatch, read):
+    with monkeypatch.context() as patch:
+        # Spark's readers hold every file in the driver.
+        patch.setattr(type(spark.read), "load", lambda *_, **__: pytest.fail("listed by the driver"))
+        return rows(read())
+
+
+@pytest.mark.parametrize("bounds", [(10_000, 4 << 20), (2, 4 << 20), (10_000, 7)])
+def test_mounted_folders_are_listed_by_tasks(spark, odd_layout, monkeypatch, bounds):
+    wanted = by_spark(monkeypatch, lambda: files.list_entities(spark, odd_layout))
+    assert {("deeper",), ("_in",), ("p/q%",), ("100%",), ("odd",), ("linked",), ("only.hea",)} <= set(wanted)
+    assert not {("a/_deep",), ("_d",), ("no bytes",), ("no files",)} & set(wanted)
+    for name, bound in zip(("_NAMES", "_HELD_BYTES"), bounds):
+        monkeypatch.setattr(files, name, bound, raising=False)
+    assert by_tasks(spark, monkeypatch, lambda: files.list_entities(spark, f"file://{odd_layout}/")) == wanted
+
+
+def test_patterns_and_missing_roots_are_left_to_spark(spark, tmp_path, monkeypatch):
+    for name in ("c1/a/t.txt", "c2/b/t.txt", "d/c/t.txt"):
+        (tmp_path / name).parent.mkdir(parents=True)
+        (tmp_path / name).write_text("Age: 1")
+    assert rows(files.list_entities(spark, f"{tmp_path}/c*")) == [("a",), ("b",)]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        files.list_entities(spark, f"{tmp_path}/e")
+    (tmp_path / "e").mkdir()
+    assert files.list_entities(spark, f"{tmp_path}/e").collect() == []
