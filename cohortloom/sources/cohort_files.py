@@ -134,14 +134,20 @@ def _mounted_files(spark: SparkSession, root: str, suffix: str = "", whole: bool
 
 
 def _whole_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
-    path = _decoded(F.col("_metadata.file_path"))
-    reader = spark.read.format("text").option("wholetext", True).option("pathGlobFilter", f"*{suffix}")
+    local = _local_root(spark, root)
+    if local is None:
+        path = _decoded(F.col("_metadata.file_path"))
+        reader = spark.read.format("text").option("wholetext", True).option("pathGlobFilter", f"*{suffix}")
+        files = _load(reader, root)
+    else:
+        path = F.col("path")
+        files = _mounted_files(spark, local, suffix, whole=True)
     return (
-        _load(reader, root)
+        files
         .select(
             _entity_of(path).alias("entity_id"),
             F.regexp_extract(path, rf"([^/]+)\{suffix}$", 1).alias("file_name"),
-            F.regexp_replace("value", r"\n\z", "").alias("text"),
+            F.regexp_replace(F.col("value").cast("string"), r"\n\z", "").alias("text"),
         )
     )
 

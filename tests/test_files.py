@@ -217,7 +217,7 @@ def by_tasks(spark, monkeypatch, read):
 def test_mounted_folders_are_listed_by_tasks(spark, odd_layout, monkeypatch, bounds):
     wanted = by_spark(monkeypatch, lambda: files.list_entities(spark, odd_layout))
     assert {("deeper",), ("_in",), ("p/q%",), ("100%",), ("odd",), ("linked",), ("only.hea",)} <= set(wanted)
-    assert not {("a/_deep",), ("_d",), ("no bytes",), ("no files",)} & set(wanted)
+    assert not {("_deep",), ("_d",), ("no bytes",), ("no files",)} & set(wanted)
     for name, bound in zip(("_NAMES", "_HELD_BYTES"), bounds):
         monkeypatch.setattr(files, name, bound, raising=False)
     assert by_tasks(spark, monkeypatch, lambda: files.list_entities(spark, f"file://{odd_layout}/")) == wanted
@@ -232,3 +232,13 @@ def test_patterns_and_missing_roots_are_left_to_spark(spark, tmp_path, monkeypat
         files.list_entities(spark, f"{tmp_path}/e")
     (tmp_path / "e").mkdir()
     assert files.list_entities(spark, f"{tmp_path}/e").collect() == []
+
+
+@pytest.mark.parametrize("bounds", [(10_000, 4 << 20), (2, 4 << 20), (10_000, 7)])
+def test_mounted_files_are_read_by_tasks(spark, odd_layout, monkeypatch, bounds):
+    readers = (files.read_entity_text, files.read_record_headers)
+    wanted = [by_spark(monkeypatch, lambda: read(spark, odd_layout)) for read in readers]
+    assert [len(found) for found in wanted] == [25, 3]
+    for name, bound in zip(("_NAMES", "_HELD_BYTES"), bounds):
+        monkeypatch.setattr(files, name, bound, raising=False)
+    assert [by_tasks(spark, monkeypatch, lambda: read(spark, odd_layout)) for read in readers] == wanted
