@@ -242,3 +242,23 @@ def test_mounted_files_are_read_by_tasks(spark, odd_layout, monkeypatch, bounds)
     for name, bound in zip(("_NAMES", "_HELD_BYTES"), bounds):
         monkeypatch.setattr(files, name, bound, raising=False)
     assert [by_tasks(spark, monkeypatch, lambda: read(spark, odd_layout)) for read in readers] == wanted
+
+
+def test_cells_are_found_once(spark):
+    index = spark.createDataFrame([("e", "Record\tHour\n r1 \t1\n")], "entity_id string, text string")
+    typed = files.recording_columns(index)
+    assert rows(typed) == [("e", 0, 1.0, None, None, "r1")]
+    optimized = typed._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("array_position(") == len(files.INDEX_COLUMNS)
+
+
+def test_index_files_are_read_by_tasks(spark, tmp_path, monkeypatch):
+    index = spark.createDataFrame(
+        [(f"e{i % 5}", i, None if i % 7 == 4 else i / 3, ["1:00", " ", None, "a\tb"][i % 4], 0.5, f"r{i}") for i in range(60)],
+        "entity_id string, seq int, hour double, time string, quality double, record_id string",
+    )
+    root = str(tmp_path / "index")
+    files.write_recording_index(index, root)
+    wanted = by_spark(monkeypatch, lambda: files.read_recording_index(spark, root))
+    assert len(wanted) == 60
+    assert by_tasks(spark, monkeypatch, lambda: files.read_recording_index(spark, root)) == wanted
